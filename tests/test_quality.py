@@ -1,0 +1,185 @@
+import pytest
+from pyspark.sql import functions as F
+
+from marketlake.contracts import DEPENDENCIES, FOREIGN_KEYS, MARKETS, OUTCOMES, TAGS, ForeignKey
+from marketlake.operators import quality
+
+DEPENDENCY = "dependency_uuid string, outcome_id_a string, outcome_id_b string, relationship_type string, comments string"
+
+
+def _dependencies(spark, *rows):
+    return spark.createDataFrame(list(rows), DEPENDENCY)
+
+
+def _failures(bad, key):
+    return {r[key]: sorted(r[quality.FAILED_RULES]) for r in bad.collect()}
+
+
+def test_dependency_rules(spark):
+    df = _dependencies(
+        spark,
+        ("1", "a", "b", "implies", None),
+        ("2", "b", "a", "mutex", "ok"),
+        ("3", "c", "c", "implies", None),
+        ("4", "d", "e", "implies", None),
+        ("5", "d", "e", "equivalent", None),
+        ("6", "f", "g", "nonsense", None),
+        ("7", "h", "i", None, "x" * 501),
+        ("", "j", "k", "implies", None),
+    )
+    good, bad = quality.split(df, DEPENDENCIES)
+    assert sorted(r["dependency_uuid"] for r in good.collect()) == ["1", "2"]
+    assert _failures(bad, "dependency_uuid") == {
+        "3": ["outcome_a_and_b_are_distinct"],
+        "4": ["unique_outcome_pair"],
+        "5": ["unique_outcome_pair"],
+        "6": ["relationship_type|is_in"],
+        "7": ["comments|max_length", "relationship_type|nullability"],
+        "": ["dependency_uuid|min_length"],
+    }
+
+
+def test_group_rules_see_rows_that_break_other_rules(spark):
+    df = _dependencies(
+        spark, ("1", "a", "b", "implies", None), ("1", "c", "d", "nonsense", None)
+    )
+    good, bad = quality.split(df, DEPENDENCIES)
+    assert good.count() == 0
+    assert bad.filter(F.array_contains(quality.FAILED_RULES, "primary_key")).count() == 2
+
+
+def test_split_is_a_partition_of_the_input(spark):
+    df = _dependencies(
+        spark,
+        *[
+            (str(i % 50), f"a{i % 9}", f"b{i % 13}", ("implies", "bad", None)[i % 3], "c" * (i * 7))
+            for i in range(100)
+        ],
+    )
+    good, bad = quality.split(df, DEPENDENCIES)
+    together = good.unionByName(bad.drop(quality.FAILED_RULES))
+    assert together.exceptAll(df).isEmpty() and df.exceptAll(together).isEmpty()
+    assert bad.filter(F.size(quality.FAILED_RULES) == 0).isEmpty()
+
+
+def _landed_tag(spark, **values):
+    row = {**dict.fromkeys(TAGS.names), **dict(tag_id="1", tag_slug="s", requires_translation="false")}
+    row.update(values)
+    return spark.createDataFrame([tuple(row.values())], ", ".join(f"{c} string" for c in row))
+
+
+@pytest.mark.parametrize(
+    "values, failed",
+    [
+        ({}, []),
+        ({"label": None}, []),
+        ({"label": ""}, ["label|min_length"]),
+        ({"label": "é" * 127}, []),
+        ({"label": "é" * 128}, ["label|max_length"]),
+        ({"force_show": "yes"}, ["force_show|castable"]),
+        ({"requires_translation": "1"}, ["requires_translation|castable", "requires_translation|nullability"]),
+        ({"tag_id": None}, ["tag_id|nullability"]),
+        ({"created_at": "x" * 256}, ["created_at|max_length"]),
+    ],
+)
+def test_coercion_and_row_rules(spark, values, failed):
+    checked = quality.coerce(_landed_tag(spark, **values), TAGS)
+    good, bad = quality.split(checked, TAGS)
+    assert good.count() == (0 if failed else 1)
+    assert [sorted(r[quality.FAILED_RULES]) for r in bad.collect()] == ([failed] if failed else [])
+    assert [f.dataType for f in good.schema] == [f.dataType for f in TAGS.struct_type()]
+
+
+def test_token_count_rule_of_markets(spark):
+    rule = quality.row_rules(MARKETS)["clob_token_ids_format"]
+    cases = [None, '["a","b"]', '["a"]', '["a","b","c"]', "broken"]
+    df = spark.createDataFrame([(c,) for c in cases], "clob_token_ids string")
+    got = [r[0] for r in df.select(F.coalesce(rule, F.lit(True))).collect()]
+    assert got == [True, True, False, False, False]
+
+
+def test_shared_tokens_fail_as_a_group(spark):
+    schema = ", ".join(f"{c.name} {c.kind}" for c in OUTCOMES.columns)
+    df = spark.createDataFrame(
+        [
+            (f"m{i}-0", f"s{i}@yes", 0, f"m{i}", f"s{i}", "q?", "Yes", 0.5, token)
+            for i, token in enumerate(["t", "t", "u"])
+        ]
+        + [("m9-2", "s9@x", 2, "m9", "s9", "q?", "", None, "w")],
+        schema,
+    )
+    good, bad = quality.split(df, OUTCOMES)
+    assert [r["outcome_id"] for r in good.collect()] == ["m2-0"]
+    assert _failures(bad, "outcome_id") == {
+        "m0-0": ["unique_clob_token_id"],
+        "m1-0": ["unique_clob_token_id"],
+        "m9-2": ["outcome_index|is_in"],
+    }
+
+
+def test_proven_keys_are_not_grouped_again(spark):
+    assert list(quality.group_rules(TAGS)) == ["primary_key", "unique_tag_slug"]
+    assert list(quality.group_rules(TAGS, [("tag_id",)])) == ["unique_tag_slug"]
+
+
+def test_enforce_raises_with_counts(spark):
+    df = _dependencies(spark, ("1", "a", "a", "x", None), ("2", "b", "b", "implies", None))
+    _, bad = quality.split(df, DEPENDENCIES)
+    with pytest.raises(quality.ContractViolation) as e:
+        quality.enforce(bad, DEPENDENCIES)
+    assert e.value.counts == {"outcome_a_and_b_are_distinct": 2, "relationship_type|is_in": 1}
+
+
+def test_null_profile(spark):
+    df = spark.createDataFrame([(1, None, "x"), (2, None, None)], "a int, b int, c string")
+    got = {r["column_name"]: (r["non_null"], r["all_null"]) for r in quality.null_profile(df).collect()}
+    assert got == {"a": (2, False), "b": (0, True), "c": (1, False)}
+    empty = quality.null_profile(df.limit(0)).collect()
+    assert all(r["all_null"] and r["n_rows"] == 0 for r in empty)
+
+
+def test_foreign_key_report(spark):
+    child = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", None), ("d", "y")], "id string, p string")
+    parent = spark.createDataFrame([("y",)], "p string")
+    fk = ForeignKey("child", "p", "parent", "p")
+    report = quality.foreign_key_report({"child": child, "parent": parent}, [fk])
+    assert [tuple(r) for r in report.collect()] == [("child.p->parent.p", "x", 2)]
+    assert len({f.name for f in FOREIGN_KEYS}) == 8
+
+
+def test_widened_columns_keep_fractions(spark):
+    wide = MARKETS.widen("one_day_price_change")
+    assert wide.column("one_day_price_change").kind == "double"
+    with pytest.raises(ValueError):
+        MARKETS.widen("nope")
+
+
+def test_hot_key_is_split_by_the_skew_join(spark):
+    """A key that holds a third of all rows does not end up in one join task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = spark.range(60_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        marked = quality.mark_duplicates(df, ["k"], "dup")
+        marked.write.format("noop").mode("overwrite").save()
+        assert marked.filter("dup").count() == 20_000
+        rows = marked.collect()
+        assert len(rows) == 60_000
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
