@@ -21,13 +21,11 @@ def keep_last(
 
 
 def link(
-    df: DataFrame, columns: Sequence[str], keys: Sequence[str], order: Sequence[str | Column]
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """One row per key pair, carrying the slugs of the latest copy."""
-    order_columns = [_col(c).alias(f"_o{i}") for i, c in enumerate(order)]
-    narrow = df.select(*columns, *order_columns)
-    names = [f"_o{i}" for i in range(len(order_columns))]
-    return keep_last(narrow, keys, names).select(*columns)
+    narrow = df.select(*columns, *[c for c in order if c not in columns])
+    return keep_last(narrow, keys, order).select(*columns)
 
 
 def _col(c: str | Column) -> Column:

@@ -203,6 +203,11 @@ def split(
     return good, bad
 
 
+def quarantine_schema(contract: Contract) -> T.StructType:
+    fields = [T.StructField(c.name, c.data_type) for c in contract.columns]
+    return T.StructType([*fields, T.StructField(FAILED_RULES, T.ArrayType(T.StringType()))])
+
+
 def _no_names() -> Column:
     return F.array().cast("array<string>")
 

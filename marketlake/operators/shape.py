@@ -20,19 +20,28 @@ ARRAY_POS = "_array_pos"
 
 
 def explode_structs(
-    df: DataFrame, array: str, carry: Sequence[str | Column], outer: bool = False
+    df: DataFrame,
+    array: str,
+    carry: Sequence[str | Column],
+    outer: bool = False,
+    only: Sequence[str] = (),
 ) -> DataFrame:
     """One row per struct of ``array``: the carried columns, then the struct's fields.
 
     ``outer`` keeps rows with an empty or NULL array as one all-NULL row.  The outer
     generator is used in both cases: for the inner one Catalyst adds a
     ``size(array) > 0`` filter below the explode, which would parse a JSON array twice.
+    ``only`` names the fields wanted: a scan prunes nested columns that are picked before
+    the explode, but not several ones picked after it.
     ``_array_pos`` holds the element's position.
     """
-    fields = df.schema[array].dataType.elementType.names
+    fields = list(only) or df.schema[array].dataType.elementType.names
     carried = df.select(*carry).columns
     _require_distinct([*carried, *fields])
-    rows = df.select(*carry, F.posexplode_outer(array).alias(ARRAY_POS, "_element"))
+    elements = F.col(array)
+    if only:
+        elements = F.arrays_zip(*[F.col(f"{array}.{f}").alias(f) for f in only])
+    rows = df.select(*carry, F.posexplode_outer(elements).alias(ARRAY_POS, "_element"))
     if not outer:
         rows = rows.filter(F.col(ARRAY_POS).isNotNull())
     return rows.select(*[f"`{c}`" for c in carried], ARRAY_POS, "_element.*")

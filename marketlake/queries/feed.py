@@ -43,10 +43,6 @@ def array_of(fields: list[T.StructField]) -> T.ArrayType:
     return T.ArrayType(T.StructType(fields))
 
 
-def _json_strings(*parts: Column) -> Column:
-    return F.to_json(F.array(*parts))
-
-
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with their order, customer and part; orders without lines once.
 
@@ -72,36 +68,49 @@ def _status(code: str) -> Column:
     return F.col("o_orderstatus") == code
 
 
-def _market(question: Column, condition: Column) -> Column:
+def _market_columns(rows: DataFrame) -> DataFrame:
+    """Values that both copies of a market share, computed once per line."""
     key = F.concat(F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber"))
-    names = F.when(
-        F.col("l_suppkey") % 7 == 0,
-        _json_strings(F.col("l_returnflag"), F.col("l_linestatus"), F.lit("X")),
-    ).otherwise(_json_strings(F.col("l_returnflag"), F.col("l_linestatus")))
-    prices = _json_strings(F.col("l_discount").cast("string"), F.col("l_tax").cast("string"))
+
+    def texts(*parts: Column) -> Column:
+        return F.concat(F.lit('["'), F.concat_ws('","', *parts), F.lit('"]'))
+
+    third = F.when(F.col("l_suppkey") % 7 == 0, "X")
     # Lines of a large quantity share the tokens of their part.
     stem = F.when(F.col("l_quantity") > 40, F.col("l_partkey").cast("string")).otherwise(key)
-    tokens = F.when(F.col("l_suppkey") % 11 == 0, F.lit("[]")).otherwise(
-        _json_strings(F.concat(stem, F.lit("a")), F.concat(stem, F.lit("b")))
+    return rows.withColumns(
+        {
+            "_key": key,
+            "_start": F.date_format("o_orderdate", "yyyy-MM-dd"),
+            "_names": texts(F.col("l_returnflag"), F.col("l_linestatus"), third),
+            "_prices": texts(F.col("l_discount").cast("string"), F.col("l_tax").cast("string")),
+            "_tokens": F.when(F.col("l_suppkey") % 11 == 0, "[]").otherwise(
+                texts(F.concat(stem, F.lit("a")), F.concat(stem, F.lit("b")))
+            ),
+            "_image": F.when(F.col("l_quantity") >= 45, "é" * 251).otherwise(
+                "https://img.example.com/x.png"
+            ),
+        }
     )
+
+
+def _market(question: Column, condition: Column) -> Column:
     return F.struct(
-        key.alias("id"),
+        F.col("_key").alias("id"),
         F.concat(F.lit("order-"), F.col("l_orderkey"), F.lit("-line-"), F.col("l_linenumber")).alias(
             "slug"
         ),
         (F.col("l_linenumber") == 1).alias("new"),
         question.alias("question"),
         condition.alias("conditionId"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("startDate"),
-        names.alias("outcomes"),
-        prices.alias("outcomePrices"),
-        tokens.alias("clobTokenIds"),
+        F.col("_start").alias("startDate"),
+        F.col("_names").alias("outcomes"),
+        F.col("_prices").alias("outcomePrices"),
+        F.col("_tokens").alias("clobTokenIds"),
         _status("O").alias("active"),
         _status("F").alias("closed"),
         _status("P").alias("archived"),
-        F.when(F.col("l_quantity") >= 45, F.repeat(F.lit("é"), 251))
-        .otherwise("https://img.example.com/x.png")
-        .alias("image"),
+        F.col("_image").alias("image"),
         F.lit("https://img.example.com/i.png").alias("icon"),
         F.col("l_extendedprice").alias("volume24Hr"),
         F.col("l_discount").alias("spread"),
@@ -119,7 +128,7 @@ def documents(
 
     ``arrays`` names the nested arrays to land.
     """
-    rows = lines(spark, sf_dir)
+    rows = _market_columns(lines(spark, sf_dir))
     good = F.concat(F.lit("0x"), F.lpad(F.col("l_partkey").cast("string"), 64, "0"))
     market = _market(
         F.concat(F.lit("Shipped on "), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("?")),
@@ -166,7 +175,7 @@ def documents(
         F.concat(F.lit("order-"), F.col("o_orderkey")).alias("slug"),
         F.concat(F.lit("ORDER"), F.col("o_orderkey")).alias("ticker"),
         F.concat(F.lit("Order of customer "), F.col("o_custkey")).alias("title"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("startDate"),
+        F.col("_start").alias("startDate"),
         _status("O").alias("active"),
         _status("F").alias("closed"),
         _status("P").alias("archived"),

@@ -8,6 +8,8 @@ A page is one file holding a JSON array of events.  List pages are named
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,6 +129,21 @@ def event_rows(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("_pos").isNotNull()).drop("_malformed")
 
 
+def without_fields(schema: T.StructType, names: Collection[str]) -> T.StructType:
+    """The schema without the named fields, also inside nested arrays of structs."""
+
+    def prune(t: T.DataType) -> T.DataType:
+        if isinstance(t, T.ArrayType):
+            return T.ArrayType(prune(t.elementType), t.containsNull)
+        if isinstance(t, T.StructType):
+            return without_fields(t, names)
+        return t
+
+    return T.StructType(
+        [T.StructField(f.name, prune(f.dataType), f.nullable) for f in schema if f.name not in names]
+    )
+
+
 def infer_schema(
     spark: SparkSession, path: str, sampling_ratio: float = 1.0, multi_line: bool = True
 ) -> T.StructType:

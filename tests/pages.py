@@ -12,12 +12,15 @@ CONDITION = "0x" + "a" * 64
 
 
 def _filled(contract, carried=(), **values):
-    """Every landed field of a contract, so that inference sees all of them."""
+    """Every landed field of a contract but the optional ones, so that inference sees them."""
+    names = landed_fields_by_column(contract)
     own = {f.name: None for f in landed_fields(contract, carried)}
     unknown = set(values) - set(own) - {"unknownField", "clobRewards", "eventMetadata"}
     assert not unknown, unknown
+    for column in contract.optional:
+        own.pop(names[column])
     for column in contract.columns:
-        name = landed_fields_by_column(contract).get(column.name)
+        name = names[column.name]
         if name in own and column.kind == "boolean":
             own[name] = False
         elif name in own and column.kind in ("double", "bigint", "int"):

@@ -1,0 +1,60 @@
+"""Every registered query against its SQL equivalent."""
+
+import math
+
+import pytest
+
+duckdb = pytest.importorskip("duckdb")
+
+import __spark_entry__ as contract  # noqa: E402
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+@pytest.fixture(scope="module")
+def sql(sf_dir):
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
+    return connection
+
+
+@pytest.fixture(autouse=True)
+def restore_settings(spark):
+    from marketlake.session import engine_settings
+
+    with engine_settings(spark):
+        yield
+
+
+def _plain(value):
+    if value is None or (isinstance(value, float) and math.isnan(value)):
+        return "NULL"
+    if isinstance(value, float):
+        return repr(round(value, 9) + 0.0)
+    return str(value)
+
+
+def _sorted(rows, columns):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_plain(r[i]) for i in order) for r in rows)
+
+
+def test_every_query_has_an_oracle():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+def test_query_matches_sql(spark, sf_dir, sql, name):
+    df = contract.queries()[name](spark, sf_dir)
+    expected = sql.execute(contract.oracle_sql()[name])
+    columns = [c[0] for c in expected.description]
+    assert sorted(df.columns) == sorted(columns)
+    assert _sorted(df.collect(), df.columns) == _sorted(expected.fetchall(), columns)
+
+
+def test_entry(spark):
+    assert not contract.entry(spark).isEmpty()
