@@ -3,20 +3,15 @@
 A contract is the single description of a published table: column order, Spark
 types, nullability, byte-length bounds, allowed values, row rules, unique keys
 and the primary key.  Contracts are plain data: nothing here touches Spark until
-``struct_type`` or a rule expression is asked for.
+``struct_type`` is asked for.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.functions.lists import has_json_length, is_json_array
-
 _SPARK_TYPES: dict[str, T.DataType] = {
     "string": T.StringType(),
     "boolean": T.BooleanType(),
@@ -45,10 +40,10 @@ class Col:
 
 @dataclass(frozen=True)
 class RowRule:
-    """A named per-row predicate; a NULL result counts as a pass."""
+    """A named per-row predicate in SQL; a NULL result counts as a pass."""
 
     name: str
-    predicate: Callable[[], Column]
+    predicate: str
 
 
 @dataclass(frozen=True)
@@ -128,8 +123,12 @@ MARKETS = Contract(
     primary_key=("market_id",),
     unique={"unique_market_slug": ("market_slug",), "unique_market_id": ("market_id",)},
     row_rules=(
-        RowRule("clob_token_ids_format", lambda: has_json_length(F.col("clob_token_ids"), 2)),
-        RowRule("outcomes_json", lambda: is_json_array(F.col("outcomes"))),
+        # NULL text passes; malformed text fails instead of stopping the job.
+        RowRule(
+            "clob_token_ids_format",
+            "clob_token_ids IS NULL OR coalesce(json_array_length(clob_token_ids) = 2, false)",
+        ),
+        RowRule("outcomes_json", "outcomes IS NULL OR json_array_length(outcomes) IS NOT NULL"),
     ),
     columns=_columns("""
         market_id                        string  required
@@ -436,10 +435,7 @@ DEPENDENCIES = Contract(
     # An ordered pair: (a, b) and (b, a) may both be present.
     unique={"unique_outcome_pair": ("outcome_id_a", "outcome_id_b")},
     row_rules=(
-        RowRule(
-            "outcome_a_and_b_are_distinct",
-            lambda: F.col("outcome_id_a") != F.col("outcome_id_b"),
-        ),
+        RowRule("outcome_a_and_b_are_distinct", "outcome_id_a <> outcome_id_b"),
     ),
     columns=(
         Col("dependency_uuid", "string", False, 1, 255),

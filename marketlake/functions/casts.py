@@ -9,32 +9,30 @@ from pyspark.sql import types as T
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def to_integer(c: Column, source: T.DataType, target: T.DataType) -> Column:
-    """Truncate toward zero; NULL when the text is no number or out of range.
-
-    Text goes through a wide decimal because ``try_cast('1.9' AS BIGINT)`` is NULL
-    and a double would lose digits above 2**53.
-    """
-    if isinstance(source, T.StringType):
-        c = c.try_cast("decimal(38,10)")
-    return c.try_cast(target)
-
-
-def to_boolean(c: Column, source: T.DataType) -> Column:
-    """Only true/false text is a boolean; Spark alone would accept '1' and 'yes' too."""
-    if isinstance(source, T.StringType):
-        return F.when(c == "true", F.lit(True)).when(c == "false", F.lit(False))
-    return c.cast("boolean")
+def cast_text(name: str, source: T.DataType, target: T.DataType) -> str:
+    """SQL text that casts column ``name``; NULL when the value does not cast.
 
+    Integers truncate toward zero.  Landed text goes through a wide decimal, because
+    ``try_cast('1.9' AS BIGINT)`` is NULL and a double would lose digits above 2**53.
+    Only ``true`` and ``false`` are boolean texts; Spark alone would take '1' and 'yes'.
 
-def to_type(c: Column, source: T.DataType, target: T.DataType) -> Column:
+    The cast is text because a wide table has hundreds of them, and every call on a
+    Column is a round trip to the JVM.
+    """
+    column, text = f"`{name}`", isinstance(source, T.StringType)
     if source == target:
-        return c
+        return column
     if isinstance(target, T.BooleanType):
-        return to_boolean(c, source)
-    if isinstance(target, _INTEGRAL):
-        return to_integer(c, source, target)
-    return c.try_cast(target)
+        if text:
+            return f"CASE {column} WHEN 'true' THEN true WHEN 'false' THEN false END"
+        return f"CAST({column} AS BOOLEAN)"
+    if isinstance(target, _INTEGRAL) and text:
+        column = f"try_cast({column} AS DECIMAL(38,10))"
+    return f"try_cast({column} AS {target.simpleString()})"
+
+
+def to_type(name: str, source: T.DataType, target: T.DataType) -> Column:
+    return F.expr(cast_text(name, source, target))
 
 
 def uint32(c: Column) -> Column:

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.contracts import Contract, ForeignKey
-from marketlake.functions.casts import to_type
+from marketlake.functions.casts import cast_text
 
 CAST_FAILED = "_cast_failed"
 ROW_FAILED = "_row_failed"
+NO_NAMES = "CAST(array() AS ARRAY<STRING>)"
 FAILED_RULES = "failed_rules"
 
 
@@ -35,53 +36,52 @@ def coerce(df: DataFrame, contract: Contract) -> DataFrame:
     ``_cast_failed`` lists the columns whose value was present but did not cast; it is
     NULL on clean rows, so it costs almost nothing to store.
     """
-    typed, failures = [], []
+    schema = df.schema
+    typed, failures = [], {}
     for c in contract.columns:
-        source = df.schema[c.name].dataType
-        cast = to_type(F.col(c.name), source, c.data_type)
-        typed.append(cast.alias(c.name))
+        source = schema[c.name].dataType
+        cast = cast_text(c.name, source, c.data_type)
+        typed.append(f"{cast} AS `{c.name}`")
         if source != c.data_type:
-            failures.append((c.name, F.col(c.name).isNotNull() & cast.isNull()))
-    engine = [c for c in df.columns if c.startswith("_")]
-    return df.select(*typed, _names_where(failures).alias(CAST_FAILED), *engine)
+            failures[c.name] = f"`{c.name}` IS NOT NULL AND {cast} IS NULL"
+    engine = [c for c in schema.names if c.startswith("_")]
+    return df.selectExpr(*typed, f"{_names_where(failures)} AS {CAST_FAILED}", *engine)
 
 
 # -- row rules --------------------------------------------------------------
 
 
-def row_rules(contract: Contract) -> dict[str, Column]:
-    """Rule name to predicate, for all rules that need one row only."""
-    rules: dict[str, Column] = {}
+def row_rules(contract: Contract) -> dict[str, str]:
+    """Rule name to SQL predicate, for all rules that need one row only."""
+    rules: dict[str, str] = {}
     for c in contract.columns:
-        value = F.col(c.name)
         if not c.nullable:
-            rules[f"{c.name}|nullability"] = value.isNotNull()
+            rules[f"{c.name}|nullability"] = f"`{c.name}` IS NOT NULL"
         if c.min_length:
-            rules[f"{c.name}|min_length"] = F.octet_length(value) >= c.min_length
+            rules[f"{c.name}|min_length"] = f"octet_length(`{c.name}`) >= {c.min_length}"
         if c.max_length is not None:
-            rules[f"{c.name}|max_length"] = F.octet_length(value) <= c.max_length
+            rules[f"{c.name}|max_length"] = f"octet_length(`{c.name}`) <= {c.max_length}"
         if c.values:
-            rules[f"{c.name}|is_in"] = value.isin(*c.values)
+            values = ", ".join(repr(v) for v in c.values)
+            rules[f"{c.name}|is_in"] = f"`{c.name}` IN ({values})"
     for rule in contract.row_rules:
-        rules[rule.name] = rule.predicate()
+        rules[rule.name] = rule.predicate
     return rules
 
 
-def _broken(predicate: Column) -> Column:
-    """A rule that evaluates to NULL passes."""
-    return ~F.coalesce(predicate, F.lit(True))
+def _names_where(conditions: Mapping[str, str], earlier: str | None = None) -> str:
+    """SQL for the array of names whose condition holds, or NULL when none does.
 
-
-def _names_where(conditions: Sequence[tuple[str, Column]]) -> Column:
-    """Array of the names whose condition holds, or NULL when none does.
-
-    The array is only built on rows where some condition holds.
+    ``earlier`` is a column with names to put in front.  The array is only built on rows
+    where there is something to name.
     """
-    if not conditions:
-        return F.lit(None).cast("array<string>")
-    some = reduce(lambda a, b: a | b, [cond for _, cond in conditions])
-    names = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in conditions]))
-    return F.when(some, names)
+    some = [f"({c})" for c in conditions.values()]
+    found = ", ".join(f"CASE WHEN {c} THEN '{name}' END" for name, c in conditions.items())
+    names = f"array_compact(array({found}))" if conditions else NO_NAMES
+    if earlier is not None:
+        some.append(f"{earlier} IS NOT NULL")
+        names = f"concat(coalesce(transform({earlier}, c -> concat(c, '|castable')), {NO_NAMES}), {names})"
+    return f"CASE WHEN {' OR '.join(some) or 'false'} THEN {names} END"
 
 
 # -- group rules ------------------------------------------------------------
@@ -156,19 +156,15 @@ def group_duplicates(
 def check_rows(df: DataFrame, contract: Contract) -> DataFrame:
     """Add ``_row_failed``: the failed casts and row rules, or NULL on a clean row.
 
-    The column is stored with the staged table, so a later check of clean rows reads
-    it and the key columns instead of every column again.
+    A rule that evaluates to NULL passes.  The column is stored with the staged table, so
+    a later check of clean rows reads it and the key columns instead of every column.
     """
-    conditions = [(name, _broken(p)) for name, p in row_rules(contract).items()]
-    engine = [c for c in df.columns if c.startswith("_") and c != CAST_FAILED]
-    failed = _names_where(conditions)
-    if CAST_FAILED in df.columns:
-        castable = F.transform(CAST_FAILED, lambda c: F.concat(c, F.lit("|castable")))
-        failed = F.when(
-            F.col(CAST_FAILED).isNotNull(),
-            F.concat(castable, F.coalesce(failed, _no_names())),
-        ).otherwise(failed)
-    return df.select(*contract.names, failed.alias(ROW_FAILED), *engine)
+    columns = df.columns
+    broken = {name: f"NOT coalesce({p}, true)" for name, p in row_rules(contract).items()}
+    failed = _names_where(broken, CAST_FAILED if CAST_FAILED in columns else None)
+    names = [f"`{c}`" for c in contract.names]
+    engine = [c for c in columns if c.startswith("_") and c != CAST_FAILED]
+    return df.selectExpr(*names, f"{failed} AS {ROW_FAILED}", *engine)
 
 
 def split(
@@ -195,11 +191,12 @@ def split(
     group_failed = F.array_compact(
         F.array(*[F.when(F.col(f), F.lit(name)) for name, f in flags.items()])
     )
-    failed = F.coalesce(row_failed, _no_names())
+    failed = F.coalesce(row_failed, F.expr(NO_NAMES))
     if flags:
         failed = F.concat(failed, group_failed)
-    good = rows.filter(~broken).select(*contract.names)
-    bad = rows.filter(broken).select(*contract.names, failed.alias(FAILED_RULES))
+    names = [f"`{c}`" for c in contract.names]
+    good = rows.filter(~broken).selectExpr(*names)
+    bad = rows.filter(broken).withColumn(FAILED_RULES, failed).selectExpr(*names, FAILED_RULES)
     return good, bad
 
 
@@ -208,10 +205,6 @@ def quarantine_schema(contract: Contract) -> T.StructType:
     return T.StructType([*fields, T.StructField(FAILED_RULES, T.ArrayType(T.StringType()))])
 
 
-def _no_names() -> Column:
-    return F.array().cast("array<string>")
-
-
 def rule_counts(bad: DataFrame) -> DataFrame:
     """Failing rows per rule."""
     return (

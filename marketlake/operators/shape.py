@@ -98,7 +98,8 @@ def conform(df: DataFrame, contract: Contract, optional: Sequence[str] | None =
     nulls = {c: F.lit(None).cast(contract.column(c).data_type) for c in added}
     if nulls:
         df = df.withColumns(nulls)
-    return Conformed(df.select(*contract.names, *engine), dropped, added)
+    names = [f"`{c}`" for c in contract.names]
+    return Conformed(df.selectExpr(*names, *engine), dropped, added)
 
 
 def require_columns(names: Sequence[str], contract: Contract) -> None:

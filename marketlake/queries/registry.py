@@ -311,7 +311,7 @@ def feed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the feed of active open events since a date selects."""
     pages = landing.page_rows(order_pages(spark, sf_dir), _ORDER_EVENT)
     typed = landing.event_rows(pages).withColumns(
-        {c: to_type(F.col(c), T.StringType(), T.BooleanType()) for c in ("active", "closed")}
+        {c: to_type(c, T.StringType(), T.BooleanType()) for c in ("active", "closed")}
     )
     wanted = landing.feed_predicate(active=True, closed=False, start_date_min="1998-01-01")
     return typed.filter(wanted).select("id", "startDate")
@@ -468,15 +468,15 @@ def cast_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             "part"
         ),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"),
-        "l_tax",
+        (F.col("l_tax") * -10).alias("tax"),
     )
     text = T.StringType()
     return rows.select(
         "id",
-        to_type(F.col("amount"), text, T.LongType()).alias("whole_amount"),
-        to_type(F.col("l_tax") * -10, T.DoubleType(), T.LongType()).alias("whole_tax"),
-        to_type(F.col("flag"), text, T.BooleanType()).alias("flag"),
-        to_type(F.col("part"), text, T.DoubleType()).alias("part_number"),
+        to_type("amount", text, T.LongType()).alias("whole_amount"),
+        to_type("tax", T.DoubleType(), T.LongType()).alias("whole_tax"),
+        to_type("flag", text, T.BooleanType()).alias("flag"),
+        to_type("part", text, T.DoubleType()).alias("part_number"),
         uint32(F.col("part")).alias("part_id"),
         year(F.col("shipped")).alias("ship_year"),
     )

@@ -85,10 +85,11 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], now: datetime |
     unique on both sides, so the join has no hot key.
     """
     stamp = now if isinstance(now, Column) else F.lit(now)
-    columns = [c for c in old.columns if c not in AUDIT_COLUMNS]
-    before = old.select(F.struct(*columns).alias("_old"), *AUDIT_COLUMNS, *_keys(keys, "_k"))
-    after = new.select(F.struct(*columns).alias("_new"), *_keys(keys, "_k"))
+    row = ", ".join(f"`{c}`" for c in old.columns if c not in AUDIT_COLUMNS)
     key_names = [f"_k{i}" for i in range(len(keys))]
+    key_texts = [f"`{k}` AS {name}" for k, name in zip(keys, key_names)]
+    before = old.selectExpr(f"struct({row}) AS _old", *AUDIT_COLUMNS, *key_texts)
+    after = new.selectExpr(f"struct({row}) AS _new", *key_texts)
     joined = before.join(after, key_names, "full_outer")
     inserted = F.col("_old").isNull()
     changed = F.col("_new").isNotNull() & ~F.col("_old").eqNullSafe(F.col("_new"))
@@ -97,7 +98,3 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], now: datetime |
         F.when(inserted, stamp).otherwise(F.col("db_created_at")).alias("db_created_at"),
         F.when(changed, stamp).otherwise(F.col("db_updated_at")).alias("db_updated_at"),
     ).select("_row.*", *AUDIT_COLUMNS)
-
-
-def _keys(keys: Sequence[str], prefix: str) -> list[Column]:
-    return [F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]

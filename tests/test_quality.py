@@ -94,7 +94,7 @@ def test_token_count_rule_of_markets(spark):
     rule = quality.row_rules(MARKETS)["clob_token_ids_format"]
     cases = [None, '["a","b"]', '["a"]', '["a","b","c"]', "broken"]
     df = spark.createDataFrame([(c,) for c in cases], "clob_token_ids string")
-    got = [r[0] for r in df.select(F.coalesce(rule, F.lit(True))).collect()]
+    got = [r[0] for r in df.select(F.coalesce(F.expr(rule), F.lit(True))).collect()]
     assert got == [True, True, False, False, False]
 
 
