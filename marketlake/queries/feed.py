@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,61 +64,75 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _status(code: str) -> Column:
-    return F.col("o_orderstatus") == code
-
-
-def _market_columns(rows: DataFrame) -> DataFrame:
-    """Values that both copies of a market share, computed once per line."""
-    key = F.concat(F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber"))
-
-    def texts(*parts: Column) -> Column:
-        return F.concat(F.lit('["'), F.concat_ws('","', *parts), F.lit('"]'))
-
-    third = F.when(F.col("l_suppkey") % 7 == 0, "X")
-    # Lines of a large quantity share the tokens of their part.
-    stem = F.when(F.col("l_quantity") > 40, F.col("l_partkey").cast("string")).otherwise(key)
-    return rows.withColumns(
-        {
-            "_key": key,
-            "_start": F.date_format("o_orderdate", "yyyy-MM-dd"),
-            "_names": texts(F.col("l_returnflag"), F.col("l_linestatus"), third),
-            "_prices": texts(F.col("l_discount").cast("string"), F.col("l_tax").cast("string")),
-            "_tokens": F.when(F.col("l_suppkey") % 11 == 0, "[]").otherwise(
-                texts(F.concat(stem, F.lit("a")), F.concat(stem, F.lit("b")))
-            ),
-            "_image": F.when(F.col("l_quantity") >= 45, "é" * 251).otherwise(
-                "https://img.example.com/x.png"
-            ),
-        }
-    )
-
+# The documents are SQL text: as Column calls they would take seconds to put together.
+
+_STATUS = """
+  'active', o_orderstatus = 'O', 'closed', o_orderstatus = 'F', 'archived', o_orderstatus = 'P'"""
+
+# Values that both copies of a market share, computed once per line.  Lines of a large
+# quantity share the tokens of their part.
+_LINE_VALUES = {
+    "_key": "concat(l_orderkey, '-', l_linenumber)",
+    "_start": "date_format(o_orderdate, 'yyyy-MM-dd')",
+    "_names": """concat('["', concat_ws('","', l_returnflag, l_linestatus,
+        CASE WHEN l_suppkey % 7 = 0 THEN 'X' END), '"]')""",
+    "_prices": """concat('["', l_discount, '","', l_tax, '"]')""",
+    "_stem": """CASE WHEN l_quantity > 40 THEN CAST(l_partkey AS STRING)
+        ELSE concat(l_orderkey, '-', l_linenumber) END""",
+    "_image": f"""CASE WHEN l_quantity >= 45 THEN '{"é" * 251}'
+        ELSE 'https://img.example.com/x.png' END""",
+}
+
+
+def _market(question: str, condition: str) -> str:
+    return f"""named_struct(
+  'id', _key,
+  'slug', concat('order-', l_orderkey, '-line-', l_linenumber),
+  'new', l_linenumber = 1,
+  'question', {question},
+  'conditionId', {condition},
+  'startDate', _start,
+  'outcomes', _names,
+  'outcomePrices', _prices,
+  'clobTokenIds', CASE WHEN l_suppkey % 11 = 0 THEN '[]'
+    ELSE concat('["', _stem, 'a","', _stem, 'b"]') END,
+  {_STATUS},
+  'image', _image,
+  'icon', 'https://img.example.com/i.png',
+  'volume24Hr', l_extendedprice,
+  'spread', l_discount,
+  'oneDayPriceChange', -l_tax,
+  'orderMinSize', l_quantity,
+  'clobRewards', array(named_struct('id', l_suppkey)),
+  'unknownField', 'x')"""
+
+
+def _tag(column: str) -> str:
+    return f"""named_struct('id', {column}, 'slug', lower({column}),
+  'label', concat({column}, ' of order ', o_orderkey), 'requiresTranslation', false)"""
+
+
+_CURRENT = _market(
+    "concat('Shipped on ', date_format(l_shipdate, 'yyyy-MM-dd'), '?')",
+    "CASE WHEN l_quantity <= 2 THEN '' ELSE concat('0x', lpad(l_partkey, 64, '0')) END",
+)
+_STALE = _market("'stale'", "''")
+
+_ARRAYS = {
+    # A returned line lands an older copy of its market in front of the current one.
+    "markets": f"""CASE WHEN l_orderkey IS NOT NULL THEN
+  CASE WHEN l_returnflag = 'R' THEN array({_STALE}, {_CURRENT}) ELSE array({_CURRENT}) END END""",
+    "series": """array(named_struct('id', c_mktsegment, 'slug', lower(c_mktsegment),
+  'ticker', c_mktsegment, 'title', concat('Segment of order ', o_orderkey), 'active', true,
+  'closed', false, 'archived', false, 'volume24Hr', o_totalprice, 'commentCount', o_orderkey,
+  'requiresTranslation', false))""",
+    "tags": f"""CASE WHEN l_orderkey IS NOT NULL THEN
+  CASE WHEN l_suppkey % 13 = 0 THEN slice(array({_tag("p_type")}), 1, 0)
+  ELSE array({_tag("p_type")}, {_tag("p_brand")}) END END""",
+}
 
-def _market(question: Column, condition: Column) -> Column:
-    return F.struct(
-        F.col("_key").alias("id"),
-        F.concat(F.lit("order-"), F.col("l_orderkey"), F.lit("-line-"), F.col("l_linenumber")).alias(
-            "slug"
-        ),
-        (F.col("l_linenumber") == 1).alias("new"),
-        question.alias("question"),
-        condition.alias("conditionId"),
-        F.col("_start").alias("startDate"),
-        F.col("_names").alias("outcomes"),
-        F.col("_prices").alias("outcomePrices"),
-        F.col("_tokens").alias("clobTokenIds"),
-        _status("O").alias("active"),
-        _status("F").alias("closed"),
-        _status("P").alias("archived"),
-        F.col("_image").alias("image"),
-        F.lit("https://img.example.com/i.png").alias("icon"),
-        F.col("l_extendedprice").alias("volume24Hr"),
-        F.col("l_discount").alias("spread"),
-        (-F.col("l_tax")).alias("oneDayPriceChange"),
-        F.col("l_quantity").alias("orderMinSize"),
-        F.array(F.struct(F.col("l_suppkey").alias("id"))).alias("clobRewards"),
-        F.lit("x").alias("unknownField"),
-    )
+_PLACE = """struct(o_orderkey, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+  l_discount, l_tax, l_returnflag, l_linestatus, l_linenumber) AS ord"""
 
 
 def documents(
@@ -128,81 +142,23 @@ def documents(
 
     ``arrays`` names the nested arrays to land.
     """
-    rows = _market_columns(lines(spark, sf_dir))
-    good = F.concat(F.lit("0x"), F.lpad(F.col("l_partkey").cast("string"), 64, "0"))
-    market = _market(
-        F.concat(F.lit("Shipped on "), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("?")),
-        F.when(F.col("l_quantity") <= 2, "").otherwise(good),
-    )
-    stale = _market(F.lit("stale"), F.lit(""))
-    # A returned line lands an older copy of its market in front of the current one.
-    markets = F.when(
-        F.col("l_orderkey").isNotNull(),
-        F.when(F.col("l_returnflag") == "R", F.array(stale, market)).otherwise(F.array(market)),
-    )
-    series = F.array(
-        F.struct(
-            F.col("c_mktsegment").alias("id"),
-            F.lower("c_mktsegment").alias("slug"),
-            F.col("c_mktsegment").alias("ticker"),
-            F.concat(F.lit("Segment of order "), F.col("o_orderkey")).alias("title"),
-            F.lit(True).alias("active"),
-            F.lit(False).alias("closed"),
-            F.lit(False).alias("archived"),
-            F.col("o_totalprice").alias("volume24Hr"),
-            F.col("o_orderkey").alias("commentCount"),
-            F.lit(False).alias("requiresTranslation"),
-        )
-    )
-
-    def tag(c: str) -> Column:
-        return F.struct(
-            F.col(c).alias("id"),
-            F.lower(c).alias("slug"),
-            F.concat(F.col(c), F.lit(" of order "), F.col("o_orderkey")).alias("label"),
-            F.lit(False).alias("requiresTranslation"),
-        )
-
-    tags = F.when(
-        F.col("l_orderkey").isNotNull(),
-        F.when(F.col("l_suppkey") % 13 == 0, F.array().cast(_TAG_ARRAY)).otherwise(
-            F.array(tag("p_type"), tag("p_brand")).cast(_TAG_ARRAY)
-        ),
-    )
-    nested = {"markets": markets, "series": series, "tags": tags}
-    event = F.struct(
-        F.col("o_orderkey").cast("string").alias("id"),
-        F.concat(F.lit("order-"), F.col("o_orderkey")).alias("slug"),
-        F.concat(F.lit("ORDER"), F.col("o_orderkey")).alias("ticker"),
-        F.concat(F.lit("Order of customer "), F.col("o_custkey")).alias("title"),
-        F.col("_start").alias("startDate"),
-        _status("O").alias("active"),
-        _status("F").alias("closed"),
-        _status("P").alias("archived"),
-        F.col("o_totalprice").alias("liquidity"),
-        F.col("o_totalprice").alias("openInterest"),
-        F.col("o_custkey").alias("commentCount"),
-        F.lit("https://img.example.com/e.png").alias("image"),
-        *[nested[a].alias(a) for a in arrays],
-        F.struct(F.lit("dropped").alias("note")).alias("eventMetadata"),
-    )
-    place = F.struct(
-        "o_orderkey",
-        "l_shipdate",
-        "l_partkey",
-        "l_suppkey",
-        "l_quantity",
-        "l_extendedprice",
-        "l_discount",
-        "l_tax",
-        "l_returnflag",
-        "l_linestatus",
-        "l_linenumber",
-    )
-    return rows.select(F.to_json(event).alias("value"), place.alias("ord"))
-
-
-_TAG_ARRAY = "array<struct<id:string,slug:string,label:string,requiresTranslation:boolean>>"
+    nested = "".join(f"'{a}', {_ARRAYS[a]}, " for a in arrays)
+    event = f"""to_json(named_struct(
+  'id', CAST(o_orderkey AS STRING),
+  'slug', concat('order-', o_orderkey),
+  'ticker', concat('ORDER', o_orderkey),
+  'title', concat('Order of customer ', o_custkey),
+  'startDate', _start,
+  {_STATUS},
+  'liquidity', o_totalprice,
+  'openInterest', o_totalprice,
+  'commentCount', o_custkey,
+  'image', 'https://img.example.com/e.png',
+  {nested}
+  'eventMetadata', named_struct('note', 'dropped'))) AS value"""
+    rows = lines(spark, sf_dir)
+    values = [f"{text} AS {name}" for name, text in _LINE_VALUES.items()]
+    return rows.selectExpr("*", *values).selectExpr(event, _PLACE)
 
 
 def events(spark: SparkSession, sf_dir: str, fields: list[T.StructField]) -> DataFrame:
@@ -226,19 +182,13 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     Order keys are unique, so a page is a group of at most 200 rows.
     """
     orders = table(spark, sf_dir, "orders")
-    event = F.struct(
-        F.col("o_orderkey").alias("id"),
-        F.concat(F.lit("order-"), F.col("o_orderkey")).alias("slug"),
-        _status("O").alias("active"),
-        _status("F").alias("closed"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("startDate"),
-    )
-    feed = F.when(_status("O"), 1).when(_status("F"), 2).otherwise(3)
-    placed = orders.select(
-        F.lit(0).alias("_source_rank"),
-        feed.alias("_feed_rank"),
-        F.floor(F.col("o_orderkey") / 200).alias("_page_no"),
-        event.alias("event"),
+    placed = orders.selectExpr(
+        "0 AS _source_rank",
+        "CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 3 END AS _feed_rank",
+        "o_orderkey DIV 200 AS _page_no",
+        """named_struct('id', o_orderkey, 'slug', concat('order-', o_orderkey),
+          'active', o_orderstatus = 'O', 'closed', o_orderstatus = 'F',
+          'startDate', date_format(o_orderdate, 'yyyy-MM-dd')) AS event""",
     )
     return placed.groupBy("_source_rank", "_feed_rank", "_page_no").agg(
         F.to_json(F.sort_array(F.collect_list("event"))).alias("value")
