@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import topk
+from . import embed_dedup, topk
 from .common import read
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and the kept representative of every embedding."""
+    return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest integer inner products of every vector whose id is divisible by 20."""
     vectors = topk.scaled(read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
@@ -18,10 +23,34 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_exact_top_k": op9_exact_top_k}
+    return {name: query for name, query in globals().items() if name.startswith("op")}
 
 
 ORACLES = {
+    "op6_embedding_near_dedup": """
+with recursive v as (
+  select vec_id, label, unnest(embedding) as x, generate_subscripts(embedding, 1) as i from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+), bad as (select distinct vec_id from v where x is null or not isfinite(x)),
+good as (
+  select vec_id, label, i, cast(x as double) as x from v where vec_id not in (select vec_id from bad)
+), norms as (
+  select vec_id, sqrt(sum(x * x)) as norm, count(*) as n from good group by vec_id having sum(x * x) > 0
+), linked as (
+  select a.vec_id as a, b.vec_id as b
+  from good a join good b on a.label = b.label and a.i = b.i and a.vec_id <> b.vec_id
+  join norms na on na.vec_id = a.vec_id join norms nb on nb.vec_id = b.vec_id and na.n = nb.n
+  group by a.vec_id, b.vec_id, na.norm, nb.norm having sum(a.x * b.x) / (na.norm * nb.norm) >= 0.93
+), reach as (
+  select vec_id as node, vec_id as other from embeddings
+  union
+  select r.node, l.b from reach r join linked l on l.a = r.other
+)
+select e.vec_id, (select count(*) from linked l where l.a = e.vec_id) as n_links,
+       (select min(other) from reach r where r.node = e.vec_id) as component_id,
+       e.vec_id = (select min(other) from reach r where r.node = e.vec_id) as kept
+from embeddings e
+""",
     "op9_exact_top_k": """
 with v as (
   select vec_id, unnest(embedding) as x, generate_subscripts(embedding, 1) as i from embeddings
