@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words are runs of characters outside ASCII white space.
@@ -95,6 +95,32 @@ def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(pa.array(real)), np.concatenate(([0], np.cumsum(real)))[offsets]
 
 
+def numbered(df: DataFrame, key: str, order: list[str], rows: int, weight: str | None = None) -> DataFrame:
+    """Add `slot`, the row's place within its key from 0 without gaps, and `before`, the
+    weights of the places before it.
+
+    Rows are dealt to about sqrt(rows) chunks by a hash of the order columns and numbered
+    inside their (key, chunk); the chunks' counts are then summed along each key.  No task
+    gets more than about sqrt(rows) rows, however many of them share a key.
+    """
+    chunks = max(1, int(rows**0.5))
+    w = F.col(weight) if weight else F.lit(0)
+    df = df.withColumn("_chunk", F.pmod(F.xxhash64(*order), F.lit(chunks))).withColumn("_w", w.cast("long"))
+    here = Window.partitionBy(key, "_chunk").orderBy(*order)
+    df = df.withColumn("_n", F.row_number().over(here))
+    df = df.withColumn("_s", F.sum("_w").over(here.rowsBetween(Window.unboundedPreceding, -1)))
+    along = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = df.groupBy(key, "_chunk").agg(F.count("*").alias("_rows"), F.sum("_w").alias("_sum"))
+    sums = sums.select(
+        F.col(key).alias("_key"), F.col("_chunk").alias("_of"), F.coalesce(F.sum("_rows").over(along), F.lit(0)).alias("_rows"),
+        F.coalesce(F.sum("_sum").over(along), F.lit(0)).alias("_sum"),
+    )
+    df = df.join(sums, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_chunk") == F.col("_of")))
+    df = df.withColumn("slot", F.col("_n") - 1 + F.col("_rows"))
+    df = df.withColumn("before", F.col("_sum") + F.coalesce("_s", F.lit(0)))
+    return df.drop("_chunk", "_w", "_n", "_s", "_key", "_of", "_rows", "_sum")
+
+
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 

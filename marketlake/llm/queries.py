@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embed_dedup, topk
+from . import chat, embed_dedup, mixing, sharding, topk
 from .common import batch_rows, read, stored
 
 
+def op1_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes: leaves of a k-d tree over their metadata."""
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", "n_chars", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"),
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    docs = stored(docs.withColumn("size", F.col("bytes") + 1), "sizes")
+    total = docs.agg(F.sum("size")).first()[0] or 0
+    dims = {"lang": "string", "source": "string", "n_chars": "number", "doc_id": "number"}
+    sharded = sharding.kd_shards(docs, dims, "size", -(-total // 16), tie=["doc_id", "text_crc32"])
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation as its reply path, formatted, and what a reader gets back from it.
 
@@ -32,6 +47,12 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document's words, for targets of weights 1, 2, 3 by source."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
+    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest integer inner products of every vector whose id is divisible by 20."""
     vectors = topk.scaled(read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
