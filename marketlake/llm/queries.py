@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embed_dedup, mixing, sharding, topk
+from . import chat, embed_dedup, html_extract, mixing, quality, sharding, topk
 from .common import batch_rows, read, stored
 
 
@@ -42,6 +42,12 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(formatted).select("tree.conv_id", "*").drop("tree")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    batch_rows(spark, 256)
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and the kept representative of every embedding."""
     return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
@@ -59,6 +65,11 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("id % 20 = 0"), 20)
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document by the votes of its nearest labelled neighbours."""
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
@@ -84,6 +95,21 @@ select conv_id, count(*) as n_turns,
        cast(7 + sum(length(body) + 2 + case role when 'user' then 13 when 'assistant' then 11 when 'system' then 11
                                       else 6 + 1 + length(name) + 1 + 6 + 7 end) as bigint) as formatted_chars
 from turns group by conv_id
+""",
+    "op3_html_extraction": r"""
+with article as (
+  select page_id, url, replace(regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1), '<br>', ' ') as body from pages
+), parts as (
+  select *, list_transform(string_split_regex(body, '</?(p|h1)>'), x -> regexp_replace(x, '<[^>]*>', '', 'g')) as plain
+  from article
+), decoded as (
+  select *, list_transform(plain, x -> trim(regexp_replace(replace(replace(replace(replace(replace(replace(
+    x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))) as clean
+  from parts
+)
+select page_id, url, array_to_string(list_filter(clean, x -> x <> ''), chr(10)) as text,
+       length(array_to_string(list_filter(clean, x -> x <> ''), chr(10))) as n_chars
+from decoded
 """,
     "op6_embedding_near_dedup": """
 with recursive v as (
