@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embed_dedup, html_extract, mixing, quality, sharding, topk
+from . import bpe, chat, embed_dedup, html_extract, mixing, quality, sharding, topk
 from .common import batch_rows, read, stored
 
 
@@ -53,6 +54,13 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op7_bpe_encoding(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Token ids of every document and the text they decode to, as digests."""
+    path = path or public_tokenizers.path("byte_bpe_50k.json")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.encode(docs, path), path)
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes each document's words, for targets of weights 1, 2, 3 by source."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
@@ -100,15 +108,15 @@ from turns group by conv_id
 with article as (
   select page_id, url, replace(regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1), '<br>', ' ') as body from pages
 ), parts as (
-  select *, list_transform(string_split_regex(body, '</?(p|h1)>'), x -> regexp_replace(x, '<[^>]*>', '', 'g')) as plain
+  select *, list_transform(string_split_regex(body, '</?(p|h1)>'), lambda x: regexp_replace(x, '<[^>]*>', '', 'g')) as plain
   from article
 ), decoded as (
-  select *, list_transform(plain, x -> trim(regexp_replace(replace(replace(replace(replace(replace(replace(
+  select *, list_transform(plain, lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(replace(
     x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))) as clean
   from parts
 )
-select page_id, url, array_to_string(list_filter(clean, x -> x <> ''), chr(10)) as text,
-       length(array_to_string(list_filter(clean, x -> x <> ''), chr(10))) as n_chars
+select page_id, url, array_to_string(list_filter(clean, lambda x: x <> ''), chr(10)) as text,
+       length(array_to_string(list_filter(clean, lambda x: x <> ''), chr(10))) as n_chars
 from decoded
 """,
     "op6_embedding_near_dedup": """
