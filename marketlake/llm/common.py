@@ -133,27 +133,59 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def string_hashes(strings: pa.Array, seed: int = 0) -> np.ndarray:
-    """64-bit hash of each UTF-8 string, over whole arrays: bytes are folded position by position."""
-    strings = strings.cast(pa.large_string())
-    offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
-    data = np.frombuffer(strings.buffers()[2] or b"", np.uint8)
-    start, length = offsets[:-1], np.diff(offsets)
-    out = mix(length.astype(np.uint64), seed)
-    order = np.argsort(-length, kind="stable")
-    ordered, at = -length[order], 0
-    with np.errstate(over="ignore"):
-        while True:
-            live = order[: np.searchsorted(ordered, -at, "left")]
-            if not len(live):
-                return out
-            # eight bytes a step; bytes beyond the end of a word count as zero
-            chunk = np.zeros(len(live), np.uint64)
-            for k in range(8):
-                here = live[: np.searchsorted(ordered[: len(live)], -(at + k), "left")]
-                chunk[: len(here)] |= data[start[here] + at + k].astype(np.uint64) << np.uint64(8 * k)
-            out[live] = mix(out[live] ^ chunk, seed + 1)
-            at += 8
+_ODD, _STEP = np.random.default_rng(41).integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1), np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+
+
+def word_hashes(flat: pa.Array, step: int = 1 << 20) -> np.ndarray:
+    """64-bit hash of each string: a polynomial in its bytes, from running sums over `step` bytes at a time."""
+    flat = flat.cast(pa.large_string())
+    ends = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
+    data = np.frombuffer(flat.buffers()[2] or b"", np.uint8)
+    out, at = np.zeros(len(flat), np.uint64), 0
+    while at < len(flat):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + step, "right")) - 1)
+        value = _ODD[data[ends[at] : ends[to]]]
+        power = np.full(len(value) + 1, _STEP)
+        power[0] = 1
+        total = np.concatenate(([np.uint64(0)], np.cumsum(value * np.multiply.accumulate(power)[:-1], dtype=np.uint64)))
+        power = np.full(len(value) + 1, _BACK)
+        power[0] = 1
+        here = ends[at : to + 1] - ends[at]
+        out[at:to] = (total[here[1:]] - total[here[:-1]]) * np.multiply.accumulate(power)[here[:-1]]
+        at = to
+    return mix(out ^ np.diff(ends).astype(np.uint64))
+
+
+def counted_buckets(keys: DataFrame, function: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> np.ndarray:
+    """How many of the 64-bit numbers that `function` makes of each batch fall in each of 2^bits buckets.
+
+    A fixed-size summary of any number of rows: each task sums its own counters, slices of
+    them are shuffled and added up as they stream by, and 2^bits numbers reach the driver.
+    """
+    size, slices = 1 << bits, max(1, (1 << bits) >> 14)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for b in batches:
+            total += np.bincount((function(b) >> np.uint64(64 - bits)).astype(np.int64), minlength=size)
+        if total.any():
+            yield batch(slice=np.arange(slices, dtype=np.int32), data=pa.array([x.tobytes() for x in total.reshape(slices, -1)], pa.binary()))
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, data in zip(b.column("slice").to_pylist(), b.column("data"), strict=True):
+                x = np.frombuffer(data.as_py(), np.int64)
+                total[k] = total[k] + x if k in total else x
+        if total:
+            yield batch(slice=pa.array(list(total), pa.int32()), data=pa.array([x.tobytes() for x in total.values()], pa.binary()))
+
+    parts = keys.mapInArrow(own, "slice int, data binary").repartition("slice").mapInArrow(added, "slice int, data binary")
+    out = np.zeros((slices, size // slices), np.int64)
+    for r in parts.collect():
+        out[r["slice"]] = np.frombuffer(r["data"], np.int64)
+    return out.ravel()
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

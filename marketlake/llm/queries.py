@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embed_dedup, html_extract, mixing, quality, sharding, topk
+from . import bpe, chat, embed_dedup, html_extract, jaccard, mixing, quality, sharding, topk
 from .common import batch_rows, read, stored
 
 
@@ -49,6 +49,11 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document, for links of Jaccard similarity 0.8 or more."""
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and the kept representative of every embedding."""
     return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
@@ -118,6 +123,24 @@ with article as (
 select page_id, url, array_to_string(list_filter(clean, lambda x: x <> ''), chr(10)) as text,
        length(array_to_string(list_filter(clean, lambda x: x <> ''), chr(10))) as n_chars
 from decoded
+""",
+    "op5_ngram_jaccard_join": r"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
+), s as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+         else list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) end as s from w
+), sets as (select doc_id, len(s) as n, unnest(s) as shingle from s),
+linked as (
+  select a.doc_id as a, b.doc_id as b from sets a join sets b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach as (
+  select doc_id as node, doc_id as other from documents
+  union
+  select r.node, l.b from reach r join linked l on l.a = r.other
+), least as (select node, min(other) as component_id from reach group by node)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, l.component_id from s join least l on l.node = s.doc_id
 """,
     "op6_embedding_near_dedup": """
 with recursive v as (
