@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embed_dedup, html_extract, jaccard, mixing, quality, sharding, topk
+from . import bpe, chat, embed_dedup, html_extract, jaccard, mixing, ngram_lm, quality, sharding, topk
 from .common import batch_rows, read, stored
 
 
@@ -49,6 +49,12 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and model scores of every document; a fifth, by checksum of the id, is held out."""
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return ngram_lm.score(read(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held")))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count and component of every document, for links of Jaccard similarity 0.8 or more."""
     return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
