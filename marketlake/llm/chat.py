@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -96,33 +97,31 @@ def reply_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         ),
         "jump",
     )
-    strides = [jump.select("tree", "node", "up")]
-    total, most = here.count(), jump.where("up is not null").count()
-    while most and 2 ** len(strides) <= 2 * total:
-        above = jump.select(
+    ended, active = [jump.where("up is null")], jump.where("up is not null")
+    strides, total = [], here.count()
+    while 2 ** len(strides) <= total and not active.isEmpty():
+        strides.append(active.select("tree", "node", "up"))
+        above = reduce(DataFrame.union, [*ended, active]).select(
             "tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("s2"), F.col("steps").alias("n2")
         )
-        far = jump.join(above, ["tree", "up"], "left")
+        # messages whose way to the root is known take no further part
         jump = stored(
-            far.select(
-                "tree", "node", F.col("up2").alias("up"), (F.col("score") + F.coalesce("s2", F.lit(0.0))).alias("score"),
-                (F.col("steps") + F.coalesce("n2", F.lit(0))).alias("steps"),
+            active.join(above, ["tree", "up"]).select(
+                "tree", "node", F.col("up2").alias("up"), (F.col("score") + F.col("s2")).alias("score"),
+                (F.col("steps") + F.col("n2")).alias("steps"),
             ),
             "jump",
         )
-        strides.append(jump.select("tree", "node", "up"))
-        left = jump.where("up is not null").count()
-        if left == most and 2 ** len(strides) > total:
-            break
-        most = left
+        ended.append(jump.where("up is null"))
+        active = jump.where("up is not null")
+    jump = reduce(DataFrame.union, ended)
     replied = here.select("tree", F.col("parent").alias("node")).where("node is not null").distinct()
-    leaves = jump.where("up is null").join(replied, ["tree", "node"], "left_anti")
+    leaves = jump.join(replied, ["tree", "node"], "left_anti")
     order = Window.partitionBy("tree").orderBy(F.col("score").desc(), "node")
     leaves = leaves.withColumn("branch", F.row_number().over(order)).where(F.col("branch") <= branches)
     path = leaves.select("tree", "branch", F.col("node").alias("leaf"), "score", F.col("steps").alias("pos"), "node")
     for k in range(len(strides) - 1, -1, -1):
-        step = strides[k].where("up is not null")
-        above = path.join(step, ["tree", "node"]).select(
+        above = path.join(strides[k], ["tree", "node"]).select(
             "tree", "branch", "leaf", "score", (F.col("pos") - 2**k).alias("pos"), F.col("up").alias("node")
         )
         path = stored(path.union(above), "path")
