@@ -2,13 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from marketlake.llm import bpe, jaccard, mixing, quality
 from marketlake.llm.common import read, stored
 
-STAGES: list = []
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
-#: Stages with trained models, random mixing and tokenisation are beyond SQL.
+
+def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the votes of their nearest labelled neighbours accept."""
+    scored = quality.classify(docs.select(*COLUMNS), read(spark, sf_dir, "labels"), keep=COLUMNS)
+    return scored.where("predicted = 1").select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group that links of similarity 0.8 connect.
+
+    Rows that share an id keep the first by text; rows without an id stay, equal ones once.
+    """
+    docs = docs.select(*COLUMNS)
+    found = jaccard.near_duplicates(docs.select("doc_id", "text"))
+    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi")
+    first = Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars")
+    named = named.withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    return named.select(*COLUMNS).union(docs.where("doc_id is null").distinct())
+
+
+def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources: the words each document gives, once for every time they are taken."""
+    return mixing.mixed_documents(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and the text that they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(docs.select(*COLUMNS), path).select("doc_id", "lang", "source", "ids")
+    return bpe.decode(encoded, path).select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
+
+
+STAGES = [
+    ("quality", accept_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("mixing", mix_to_targets),
+    ("tokens", encode_tokens),
+]
+
+#: A trained classifier, random draws and merges by rank are beyond SQL.
 ORACLE_SQL = None
 
 

@@ -112,13 +112,13 @@ def numbered(df: DataFrame, key: str, order: list[str], rows: int, weight: str |
     along = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     sums = df.groupBy(key, "_chunk").agg(F.count("*").alias("_rows"), F.sum("_w").alias("_sum"))
     sums = sums.select(
-        F.col(key).alias("_key"), F.col("_chunk").alias("_of"), F.coalesce(F.sum("_rows").over(along), F.lit(0)).alias("_rows"),
+        F.col(key).alias("_numbered"), F.col("_chunk").alias("_of"), F.coalesce(F.sum("_rows").over(along), F.lit(0)).alias("_rows"),
         F.coalesce(F.sum("_sum").over(along), F.lit(0)).alias("_sum"),
     )
-    df = df.join(sums, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_chunk") == F.col("_of")))
+    df = df.join(sums, F.col(key).eqNullSafe(F.col("_numbered")) & (F.col("_chunk") == F.col("_of")))
     df = df.withColumn("slot", F.col("_n") - 1 + F.col("_rows"))
     df = df.withColumn("before", F.col("_sum") + F.coalesce("_s", F.lit(0)))
-    return df.drop("_chunk", "_w", "_n", "_s", "_key", "_of", "_rows", "_sum")
+    return df.drop("_chunk", "_w", "_n", "_s", "_numbered", "_of", "_rows", "_sum")
 
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, arrow_map, batch, mix, numbered, stored
+from .common import WORD, arrow_map, batch, batch_rows, mix, numbered, stored
 
 #: Words of a block, least blocks of a source, slots of an output shard, seed of the draws.
 BLOCK, LEAST_BLOCKS, SHARD_SLOTS, SEED = 128, 512, 4096, 7919
@@ -172,3 +174,55 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int
     )
     out = docs.join(taken, "_row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
     return out.drop("_row", "_block", "sid")
+
+
+_FIND = re.compile(WORD).finditer
+
+
+def cut(text: str, runs: list[dict]) -> list[str]:
+    """The texts a mix takes of a document: the words taken at least once, at least twice and so on.
+
+    Neighbouring words stay as they stand in the text; what lies apart is joined by line ends.
+    """
+    spans = [m.span() for m in _FIND(text)]
+    out = []
+    for turn in range(max((r["times"] for r in runs), default=0)):
+        pieces: list[list[int]] = []
+        for r in runs:
+            if r["times"] > turn:
+                if pieces and pieces[-1][1] == r["start"]:
+                    pieces[-1][1] = r["end"]
+                else:
+                    pieces.append([r["start"], r["end"]])
+        if pieces == [[0, len(spans)]]:
+            out.append(text)
+        else:
+            out.append("\n".join(text[spans[a][0] : spans[b - 1][1]] for a, b in pieces))
+    return out
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
+    """The mix itself, in the columns of `docs` (doc_id, text, source, n_chars and others).
+
+    Each document gives the texts of `cut`, as rows that share its other columns; n_chars
+    is theirs.  Documents the mix leaves out, and those without words, give no row.  Rows
+    are told apart by all their columns: fully equal rows count once.
+    """
+    spark = docs.sparkSession
+    keyed = docs.withColumn("_key", F.xxhash64(*docs.columns))
+    sized = keyed.select("_key", "doc_id", "source", word_count("text").alias("size")).dropDuplicates(["_key"])
+    taken = mix_sources(sized, weights, seed, ["doc_id", "_key"]).where("taken > 0").select("_key", "runs")
+    kinds, columns = dict(docs.dtypes), docs.columns
+
+    def texts(b: pa.RecordBatch) -> pa.RecordBatch:
+        made = [cut(t, r) for t, r in zip(b.column("text").to_pylist(), b.column("runs").to_pylist(), strict=True)]
+        at = pa.array(np.repeat(np.arange(len(made)), [len(m) for m in made]))
+        flat = [t for m in made for t in m]
+        fresh = {"text": pa.array(flat, b.schema.field("text").type), "n_chars": pa.array([len(t) for t in flat], pa.int64())}
+        return pa.RecordBatch.from_arrays(
+            [fresh[c].cast(b.schema.field(c).type) if c in fresh else b.column(c).take(at) for c in columns], columns
+        )
+
+    batch_rows(spark, 256)
+    chosen = keyed.dropDuplicates(["_key"]).join(taken, "_key").select(*docs.columns, "runs")
+    return arrow_map(chosen, texts, ", ".join(f"`{c}` {t}" for c, t in kinds.items()))
