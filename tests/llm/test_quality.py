@@ -1,0 +1,62 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from marketlake.llm import quality
+from marketlake.llm.common import read
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    big = sf_dir.replace("sf0.001", "sf0.01")
+    labels = read(spark, big, "labels")
+    out = quality.classify(read(spark, big, "documents"), labels).join(labels, "doc_id").where("held_out").toPandas()
+    assert (out.predicted == out.quality).mean() >= 0.95
+    good, bad = out[out.quality == 1].score, out[out.quality == 0].score
+    assert (good.to_numpy()[:, None] > bad.to_numpy()[None]).mean() > 0.97
+    assert (out.predicted[out.quality == 1] == 1).mean() >= 0.98
+    assert all(h == (zlib.crc32(str(i).encode()) % 4 == 2) for i, h in zip(out.doc_id, out.held_out, strict=True))
+
+
+def test_ids_and_held_out_labels_are_no_inputs(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    flipped = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = (quality.classify(docs, x).orderBy("doc_id").toPandas() for x in (labels, flipped))
+    assert a.equals(b)
+
+
+def test_votes_equal_brute_force():
+    rng = np.random.default_rng(1)
+    counts = rng.poisson(1.0, (60, quality.TERMS)).astype(np.float32)
+    model = quality.fit(counts[:40], (np.arange(40) % 3 > 0).astype(np.float32), 8)
+    score = quality.vote(model, counts[40:], 5, 8)
+    x = np.sqrt(counts[40:]) * model["idf"]
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) @ model["axes"]
+    near = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ model["x"].T
+    for k in range(20):
+        at = np.argsort(-near[k])[:5]
+        w = np.maximum(near[k][at], 1e-3) ** 8
+        assert abs(score[k] - (w * model["y"][at]).sum() / w.sum()) < 1e-4
+
+
+def test_counts_cover_whole_texts_and_do_not_leak():
+    texts = ["ab AB  12!", "", None, "x x x y", "é" * 5000 + " end", "a\nb"]
+    together = quality.term_counts(pa.array(texts))
+    for k, t in enumerate(texts):
+        assert (together[k] == quality.term_counts(pa.array([t], pa.string()))[0]).all()
+    assert not together[1].any() and not together[2].any()
+    assert together[:, -1].tolist() == [3, 0, 0, 4, 2, 2]  # words
+    assert together[3, -2] == 2  # words equal to the one before
+
+
+def test_awkward_rows(spark, awkward_docs, no_docs):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (3, None, 0), (None, 1, 0), (5, 1, 0), (99, 1, 1)], "doc_id long, quality int, toxic int")
+    docs = awkward_docs.withColumn("score", F.lit("clash"))
+    out = quality.classify(docs, labels).toPandas()
+    assert len(out) == 12 and out.score.between(0, 1).all()
+    assert out.held_out[out.doc_id.isna()].eq(False).all()
+    none = quality.classify(docs, labels.limit(0)).toPandas()
+    assert (none.score == 0.5).all() and (none.predicted == 0).all()
+    assert quality.classify(no_docs, labels).count() == 0
