@@ -191,39 +191,33 @@ def counted_buckets(keys: DataFrame, function: Callable[[pa.RecordBatch], np.nda
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node that links reach, for every node of an edge.
 
-    Contraction with random priorities: each round points every node at the neighbour (or
-    itself) of least hash, merges along the pointers and drops the edges inside merged
-    nodes.  The graph shrinks by a constant factor a round whatever its shape, hubs are
-    aggregated before the shuffle, and each round is stored, so nothing is collected.
+    Contraction with random, fixed priorities: each round points every node at the
+    neighbour (or itself) of least hash, merges along the pointers and drops the edges
+    inside merged nodes.  The graph shrinks by a constant factor a round whatever its shape
+    (a star is gone after two), hubs are aggregated before the shuffle, and each round is
+    stored, so nothing is collected.
     """
-    spark = edges.sparkSession
     pairs = stored(
         edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a < b").distinct(), "edges"
     )
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    nodes = stored(nodes.select("node", F.col("node").alias("root")), "nodes")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().withColumn("root", F.col("node"))
+    rank = lambda c: F.struct(F.xxhash64(F.col(c)).alias("h"), F.col(c).alias("id"))
     turn = 0
     while not pairs.isEmpty():
         turn += 1
         both = pairs.union(pairs.select("b", "a"))
-        rank = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(turn)).alias("h"), F.col(c).alias("id"))
         least = both.groupBy("a").agg(F.min(rank("b")).alias("m"))
-        point = stored(
-            least.select(F.col("a").alias("v"), F.least(rank("a"), F.col("m"))["id"].alias("p")), "pointers"
-        )
-        jump = point.select(F.col("v").alias("p"), F.col("p").alias("q"))
-        point = point.join(jump, "p", "left").select("v", F.coalesce("q", "p").alias("p"))
-        moved = nodes.join(point, nodes["root"] == point["v"], "left")
-        old_nodes, old_pairs = nodes, pairs
-        nodes = stored(moved.select("node", F.coalesce("p", "root").alias("root")), "nodes")
-        pairs = pairs.join(point.toDF("a", "pa"), "a").join(point.toDF("b", "pb"), "b")
-        pairs = stored(
-            pairs.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
-            .where("a < b")
-            .distinct(),
-            "edges",
-        )
-        drop_stored(old_nodes)
-        drop_stored(old_pairs)
+        point = least.select(F.col("a").alias("v"), F.least(rank("a"), F.col("m"))["id"].alias("p"))
+        jump = stored(point, "pointers")
+        point = jump.join(jump.toDF("p", "q"), "p").select("v", F.col("q").alias("p"))
+        nodes = nodes.join(point, nodes["root"] == point["v"], "left").select("node", F.coalesce("p", "root").alias("root"))
+        if turn % 4 == 0:
+            nodes = stored(nodes, "nodes")
+        moved = pairs.join(point.toDF("a", "pa"), "a").join(point.toDF("b", "pb"), "b")
+        moved = moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).where("a < b")
+        old, pairs = pairs, stored(moved.distinct(), "edges")
+        if turn > 1:  # the nodes still come from the first edges
+            drop_stored(old)
+    nodes = stored(nodes, "nodes")
     least = nodes.groupBy("root").agg(F.min("node").alias("component"))
     return nodes.join(least, "root").select("node", "component")

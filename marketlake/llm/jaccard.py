@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +19,11 @@ from .common import (
 #: Words of a shingle; similarity in hundredths.
 WORDS, PERCENT = 5, 80
 #: log2 of the counters that order shingles by frequency; postings of a range of shingles;
-#: lists up to this length are paired in full at once; postings of a shingle in one task.
-COUNTERS, RANGE, PAIRED, HOT = 20, 1_000_000, 6, 200_000
+#: lists up to this length are paired in full at once; hubs of a longer list; postings of a
+#: shingle in one task.
+COUNTERS, RANGE, PAIRED, HUBS, HOT = 20, 1_000_000, 6, 4, 200_000
+#: Numbers of 64 bits in a set's parity map.
+MAP = 8
 
 
 def shingle_hashes(texts: pa.Array, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -52,6 +57,15 @@ def signature(s: np.ndarray) -> tuple[int, int]:
     return tuple(int(mix(mix(s, k).sum(dtype=np.uint64) + np.uint64(len(s)), k).astype(np.int64)) for k in (11, 12))
 
 
+def parity_map(s: np.ndarray) -> np.ndarray:
+    """64 * MAP bits: whether a set has an odd number of shingles in each of as many buckets.
+
+    The maps of two sets differ in no more bits than the sets differ in shingles.
+    """
+    odd = np.bincount((mix(s, 13) % np.uint64(64 * MAP)).astype(np.int64), minlength=64 * MAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _least_overlap(n: np.ndarray | int, percent: int):
     """ceil(n * percent / 100): what a set shares at least with any partner."""
     return -(-n * percent // 100)
@@ -68,7 +82,7 @@ def _postings(counts: np.ndarray, ranges: int, percent: int):
             rows = []
             for s in shingle_sets(b.column("text")):
                 one, two = signature(s)
-                rows.append((len(s), one, two))
+                rows.append((len(s), one, two, parity_map(s)))
                 if len(s) and one not in seen:
                     seen.add(one)
                     # rare shingles first: their lists are the short ones
@@ -79,8 +93,9 @@ def _postings(counts: np.ndarray, ranges: int, percent: int):
                     at = at[np.argsort(key[at])]
                     held.append((one, len(s), s[at], df[at]))
                     total += short
-            n, one, two = (np.array(x, np.int64) for x in zip(*rows, strict=True))
-            yield _rows("doc", len(n), key=mix(one, 5).astype(np.int64) >> 1, doc_id=b.column("doc_id"), n=n, one=one, two=two)
+            n, one, two, maps = (np.array(x, np.int64) for x in zip(*rows, strict=True))
+            own = {name: maps[:, k] for k, name in enumerate(_MAPS)}
+            yield _rows("doc", len(n), key=mix(one, 5).astype(np.int64) >> 1, doc_id=b.column("doc_id"), n=n, one=one, two=two, **own)
             if total > RANGE:
                 yield _packed(held, ranges)
                 seen, held, total = set(), [], 0
@@ -90,8 +105,10 @@ def _postings(counts: np.ndarray, ranges: int, percent: int):
     return run
 
 
-_FIELDS = {"kind": pa.string(), "key": pa.int64(), "salt": pa.int64(), "doc_id": pa.int64(), "n": pa.int64(), "one": pa.int64(), "two": pa.int64(), "data": pa.binary()}
-_SCHEMA = "kind string, key long, salt long, doc_id long, n long, one long, two long, data binary"
+_MAPS = [f"m{k}" for k in range(MAP)]
+_NUMBERS = ["key", "salt", "doc_id", "n", "one", "two", *_MAPS]
+_FIELDS = {"kind": pa.string(), **{n: pa.int64() for n in _NUMBERS}, "data": pa.binary()}
+_SCHEMA = f"kind string, {', '.join(f'{n} long' for n in _NUMBERS)}, data binary"
 _POSTING = np.dtype([("hash", "<u4"), ("set", "<u4"), ("pos", "<u2")])
 _SET = np.dtype([("one", "<i8"), ("n", "<u4")])
 
@@ -174,10 +191,13 @@ def _merged(percent: int):
             for i, j in zip(*np.triu_indices(k, 1), strict=True):
                 left.append(at + i)
                 right.append(at + j)
-        long = count > PAIRED  # every set against the hub, the set of least rank
-        hub = np.repeat(start, count)
-        member = np.flatnonzero(np.repeat(long, count) & (hub != np.arange(len(e))))
-        a, b = np.concatenate([*left, hub[member]]), np.concatenate([*right, member])
+        long = count > PAIRED  # every set against the hubs, the sets of least rank
+        begin = np.repeat(start, count)
+        for k in range(HUBS):
+            member = np.flatnonzero(np.repeat(long, count) & (np.arange(len(e)) - begin > k))
+            left.append(begin[member] + k)
+            right.append(member)
+        a, b = np.concatenate(left), np.concatenate(right)
         good = _possible(e[a], e[b], percent)
         pairs = np.unique(np.stack([e["one"][a[good]], e["one"][b[good]]], axis=1), axis=0)
         if len(pairs):
@@ -264,8 +284,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS)
     built, by a shuffle of packed postings; the longer lists are probed for candidates
     alone.  Lengths are estimated by counters over all documents, and any error in them
     costs time but no link.  Equal sets are one class.  In a list of many classes each is
-    first compared with one hub; afterwards only classes still in different components are
-    paired, so a group of near copies never makes all its pairs.
+    first compared with a few hubs; afterwards only classes still in different components
+    are paired, and only where sizes, places in the list and parity maps allow a link, so
+    a group of near copies never makes all its pairs.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -280,9 +301,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS)
 
     packed = real.mapInArrow(postings, _SCHEMA).repartition("kind", "key", "salt").sortWithinPartitions("kind", "key", "salt")
     made = stored(packed.mapInArrow(_merged(percent), _SCHEMA), "merged")
-    rows = made.where("kind = 'doc'").select("doc_id", "n", "one", "two")
+    rows = made.where("kind = 'doc'").select("doc_id", "n", "one", "two", *_MAPS)
     classes = rows.where("n > 0").groupBy("one").agg(
-        F.min("doc_id").alias("rep"), F.min("two").alias("least"), F.max("two").alias("most"), F.max("n").alias("n")
+        F.min("doc_id").alias("rep"), F.min("two").alias("least"), F.max("two").alias("most"), F.max("n").alias("n"),
+        *[F.min(m).alias(m) for m in _MAPS],
     )
     classes = stored(classes, "classes")
     if not classes.where("least <> most").isEmpty():
@@ -301,17 +323,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS)
     if not entries.isEmpty():
         sizes = entries.groupBy("key", "component").agg(F.count("*").alias("m"))
         largest = sizes.groupBy("key").agg(F.max(F.struct("m", "component"))["component"].alias("largest"))
-        others = entries.join(largest, "key").where("component <> largest").drop("largest")
-        a, b = others.alias("p"), entries.alias("q")
-        apart = (F.col("p.component") < F.col("q.component")) | (
-            (F.col("p.component") > F.col("q.component")) & (F.col("q.largest").isNotNull())
+        entries = entries.join(classes.select("one", *_MAPS), "one").join(largest, "key")
+        entries = stored(entries.withColumn("outside", F.col("component") != F.col("largest")).drop("largest"), "entries")
+        a, b = entries.where("outside").alias("p"), entries.alias("q")
+        # a pair of two components outside the largest is met once
+        apart = F.when(F.col("q.outside"), F.col("p.component") < F.col("q.component")).otherwise(F.lit(True))
+        n, m = F.col("p.n"), F.col("q.n")
+        shared_at_most = F.least(n - F.col("p.pos"), m - F.col("q.pos"))
+        differ = reduce(add, [F.bit_count(F.col(f"p.{k}").bitwiseXOR(F.col(f"q.{k}"))) for k in _MAPS])
+        possible = (
+            (100 * F.least(n, m) >= percent * F.greatest(n, m))
+            & ((100 + percent) * shared_at_most >= percent * (n + m))
+            # |union| - |intersection| is at least the bits that differ
+            & ((100 + percent) * (n + m - differ) >= 2 * percent * (n + m))
         )
-        b = entries.join(largest.withColumnRenamed("largest", "component"), ["key", "component"], "left_semi").withColumn("largest", F.lit(1))
-        b = b.unionByName(others.withColumn("largest", F.lit(None).cast("int"))).alias("q")
-        shared_at_most = F.least(F.col("p.n") - F.col("p.pos"), F.col("q.n") - F.col("q.pos"))
-        more = a.join(b, (F.col("p.key") == F.col("q.key")) & apart)
-        more = more.where(100 * F.least("p.n", "q.n") >= percent * F.greatest("p.n", "q.n"))
-        more = more.where((100 + percent) * shared_at_most >= percent * (F.col("p.n") + F.col("q.n")))
+        more = a.join(b, (F.col("p.key") == F.col("q.key")) & apart & possible)
         more = more.select(F.col("p.one").alias("a"), F.col("q.one").alias("b")).distinct()
         tested = pairs.union(pairs.select("b", "a"))
         more = stored(more.join(tested, ["a", "b"], "left_anti"), "pairs")
