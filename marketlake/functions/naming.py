@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 _UPPER = "A-ZÀ-ÖØ-Þ"
 _LOWER = "a-zß-öø-ÿ"
 WORD_PATTERN = f"[{_UPPER}]+(?=[{_UPPER}][{_LOWER}])|[{_UPPER}]?[{_LOWER}]+|[{_UPPER}]+|[0-9]+"
+# Letters and digits of other scripts follow their own case, or are one word where they
+# have none.  Column names are ASCII, so only slugs need them.
+_SLUG_PATTERN = (
+    r"\p{Lu}+(?=\p{Lu}\p{Ll})|\p{Lu}?\p{Ll}[\p{Ll}\p{M}]*|\p{Lu}[\p{Lu}\p{M}]*"
+    r"|[\p{Lo}\p{Lt}\p{Lm}\p{M}]+|\p{N}+"
+)
 
 
 def snake(name: str) -> str:
@@ -19,6 +25,9 @@ def snake(name: str) -> str:
 
 
 def kebab(c: Column) -> Column:
-    """``Over 2.5 Goals`` -> ``over-2-5-goals``; text without words gives ``''``."""
-    words = F.regexp_extract_all(c, F.lit(WORD_PATTERN), F.lit(0))
+    """``Over 2.5 Goals`` -> ``over-2-5-goals``; text without words gives ``''``.
+
+    Ordinals and apostrophes split: ``1st Half`` is ``1-st-half``, ``Don't`` is ``don-t``.
+    """
+    words = F.regexp_extract_all(c, F.lit(_SLUG_PATTERN), F.lit(0))
     return F.lower(F.array_join(words, "-"))

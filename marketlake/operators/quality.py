@@ -128,8 +128,22 @@ def mark_duplicates(
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows of all duplicated groups."""
-    return df.join(_renamed(duplicated_keys(df, keys), keys), _same(keys), "left_semi")
+    """All rows of all duplicated groups.
+
+    Keys may be whole texts, so they are grouped by a hash first and only the hash moves.
+    Rows whose hash repeats are then compared by value: a hash whose least and largest
+    key agree holds one group, and only the others are grouped by the keys themselves.
+    """
+    value = F.struct(*keys)
+    marked = df.withColumn("_hash", F.xxhash64(*keys))
+    repeated = duplicated_keys(marked.select("_hash"), ["_hash"]).select("_hash")
+    rows = marked.join(repeated, "_hash", "left_semi")
+    ends = rows.groupBy("_hash").agg(F.min(value).alias("_least"), F.max(value).alias("_most"))
+    one_group = F.col("_least").eqNullSafe(F.col("_most"))
+    whole = rows.join(ends.filter(one_group).select("_hash"), "_hash", "left_semi").drop("_hash")
+    mixed = rows.join(ends.filter(~one_group).select("_hash"), "_hash", "left_semi").drop("_hash")
+    found = mixed.join(_renamed(duplicated_keys(mixed, keys), keys), _same(keys), "left_semi")
+    return whole.unionByName(found)
 
 
 def _renamed(dups: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -72,6 +72,15 @@ def nullify_long(df: DataFrame, names: Sequence[str], max_bytes: int = 500) -> D
     return df.withColumns({n: over_long_to_null(F.col(n), max_bytes) for n in names})
 
 
+def over_long(df: DataFrame, key: str, names: Sequence[str], max_bytes: int = 500) -> DataFrame:
+    """(key, column_name, n_bytes) of every value that :func:`nullify_long` sets to NULL."""
+    sizes = F.array(
+        *[F.struct(F.lit(n).alias("column_name"), F.octet_length(n).cast("bigint").alias("n_bytes")) for n in names]
+    )
+    rows = df.select(F.col(key).cast("string").alias("key"), F.explode(sizes).alias("_size"))
+    return rows.select("key", "_size.*").filter(F.col("n_bytes") > max_bytes)
+
+
 @dataclass(frozen=True)
 class Conformed:
     df: DataFrame
@@ -102,9 +111,13 @@ def conform(df: DataFrame, contract: Contract, optional: Sequence[str] | None =
     return Conformed(df.selectExpr(*names, *engine), dropped, added)
 
 
+def column_differences(names: Sequence[str], contract: Contract) -> tuple[list[str], list[str]]:
+    """(extra, missing) columns against the contract."""
+    return sorted(set(names) - set(contract.names)), sorted(set(contract.names) - set(names))
+
+
 def require_columns(names: Sequence[str], contract: Contract) -> None:
-    extra = sorted(set(names) - set(contract.names))
-    missing = sorted(set(contract.names) - set(names))
+    extra, missing = column_differences(names, contract)
     if extra or missing:
         raise ValueError(f"{contract.name}: extra columns {extra}, missing columns {missing}")
 

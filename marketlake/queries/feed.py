@@ -43,12 +43,12 @@ def array_of(fields: list[T.StructField]) -> T.ArrayType:
     return T.ArrayType(T.StructType(fields))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with their order, customer and part; orders without lines once.
+def lines(spark: SparkSession, sf_dir: str, empty: bool = False) -> DataFrame:
+    """Order lines with their order, customer and part; with ``empty`` also orders without lines.
 
     Lines and orders are joined with an inner merge join, where a hot order is split on
     the line side (an outer join from the orders could not split it).  Orders without
-    lines are found among the distinct order keys.
+    lines are found among the distinct order keys, at the price of a second scan.
     """
     orders = table(spark, sf_dir, "orders")
     items = table(spark, sf_dir, "lineitem")
@@ -56,10 +56,11 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     same = F.col("o_orderkey") == F.col("l_orderkey")
     matched = items.hint("merge").join(orders, same)
-    empty = orders.join(items.select("l_orderkey").distinct(), same, "left_anti")
+    if empty:
+        bare = orders.join(items.select("l_orderkey").distinct(), same, "left_anti")
+        matched = matched.unionByName(bare, allowMissingColumns=True)
     return (
-        matched.unionByName(empty, allowMissingColumns=True)
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+        matched.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     )
 
@@ -136,11 +137,14 @@ _PLACE = """struct(o_orderkey, l_shipdate, l_partkey, l_suppkey, l_quantity, l_e
 
 
 def documents(
-    spark: SparkSession, sf_dir: str, arrays: Collection[str] = ("markets", "series", "tags")
+    spark: SparkSession,
+    sf_dir: str,
+    arrays: Collection[str] = ("markets", "series", "tags"),
+    empty: bool = False,
 ) -> DataFrame:
     """(value, ord): one JSON text per order line and its place in the landing.
 
-    ``arrays`` names the nested arrays to land.
+    ``arrays`` names the nested arrays to land; ``empty`` adds the orders without lines.
     """
     nested = "".join(f"'{a}', {_ARRAYS[a]}, " for a in arrays)
     event = f"""to_json(named_struct(
@@ -156,15 +160,17 @@ def documents(
   'image', 'https://img.example.com/e.png',
   {nested}
   'eventMetadata', named_struct('note', 'dropped'))) AS value"""
-    rows = lines(spark, sf_dir)
+    rows = lines(spark, sf_dir, empty)
     values = [f"{text} AS {name}" for name, text in _LINE_VALUES.items()]
     return rows.selectExpr("*", *values).selectExpr(event, _PLACE)
 
 
-def events(spark: SparkSession, sf_dir: str, fields: list[T.StructField]) -> DataFrame:
+def events(
+    spark: SparkSession, sf_dir: str, fields: list[T.StructField], empty: bool = False
+) -> DataFrame:
     """The documents parsed against ``fields``, each once, with their place ``ord``."""
     names = [f.name for f in fields]
-    docs = documents(spark, sf_dir, [a for a in ("markets", "series", "tags") if a in names])
+    docs = documents(spark, sf_dir, [a for a in ("markets", "series", "tags") if a in names], empty)
     parsed = docs.select("ord", F.from_json("value", T.StructType(fields)).alias("_event"))
     return parsed.select("ord", "_event.*")
 
@@ -176,6 +182,22 @@ def field(name: str) -> T.StructField:
 EVENT_KEYS = [field("id"), field("slug")]
 
 
+def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file_name, value): all documents as list pages, by ranges of 20 order keys.
+
+    A page is a group of the lines of at most 20 orders.
+    """
+    docs = documents(spark, sf_dir, empty=True)
+    feed = """CASE get_json_object(value, '$.active') WHEN 'true' THEN 'active' ELSE 'inactive' END || '_' ||
+      CASE get_json_object(value, '$.closed') WHEN 'true' THEN 'closed' ELSE 'open' END"""
+    placed = docs.selectExpr("value", "ord", f"{feed} AS feed", "ord.o_orderkey DIV 20 AS page")
+    grouped = placed.groupBy("feed", "page").agg(F.array_sort(F.collect_list(F.struct("ord", "value"))).alias("docs"))
+    return grouped.selectExpr(
+        "concat('events_', feed, '_page_', page, '.json') AS file_name",
+        "concat('[', array_join(docs.value, ','), ']') AS value",
+    )
+
+
 def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List pages of orders: one feed per status, pages by ranges of 200 order keys.
 

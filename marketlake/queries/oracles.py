@@ -155,6 +155,23 @@ placed as (
   from orders)"""
 
 
+_DIRTY_LINES = """
+with rows as (
+  select l_linenumber as n, l_returnflag as f, l_orderkey,
+    case when l_linenumber <> 6 then l_orderkey || '-' || l_linenumber end as line_id from lineitem),
+keyed as (select *, count(*) over (partition by line_id) > 1 as twice from rows),
+counts as (
+  select 'line_id|nullability' as rule, count(*) filter (n = 6) as n_rows from keyed union all
+  select 'part|castable', count(*) filter (n = 5) from keyed union all
+  select 'part|nullability', count(*) filter (n in (4, 5)) from keyed union all
+  select 'flag|castable', count(*) filter (f = 'A') from keyed union all
+  select 'note|min_length', count(*) filter (n = 3) from keyed union all
+  select 'note|max_length', count(*) filter (n >= 5) from keyed union all
+  select 'price|castable', count(*) filter (n = 2) from keyed union all
+  select 'primary_key', count(*) filter (twice) from keyed)
+select * from counts where n_rows > 0"""
+
+
 def _fk(child: str, column: str, parent: str, parent_column: str) -> str:
     name = f"{child}.{column}->{parent}.{parent_column}"
     return f"""select '{name}' as foreign_key, {column}::varchar as missing_key, count(*) as n_rows
@@ -247,7 +264,8 @@ feeds as (
 select feed_rank, pages, rows, last_page, last_page_rows, last_page + 1 - pages as missing_pages,
   short - case when last_page_rows >= 65 then 0 else 1 end as short_inner_pages,
   0::bigint as malformed_pages, rows >= 5000 as at_row_cap,
-  case when last_page_rows >= 65 then 'truncated' else 'complete' end as status,
+  case when last_page + 1 - pages > 0 or short - case when last_page_rows >= 65 then 0 else 1 end > 0
+    then 'gaps' when last_page_rows >= 65 then 'truncated' else 'complete' end as status,
   feed_rank = 1 as feed_active, feed_rank = 2 as feed_closed
 from feeds""",
     "projected_ids": """
@@ -347,7 +365,54 @@ group by all having count(*) > 1""",
     "open_rows": "select o_orderkey as event_id from orders where o_orderstatus = 'O'",
     "requery_anti": f"with {_REQUESTED} select event_id from requested",
     "requery_cap": f"""with {_REQUESTED}
-select event_id from requested order by md5('0:' || event_id), event_id limit 500""",
+select event_id, row_number() over (order by md5('0:' || event_id), event_id) <= 500 as taken
+from requested""",
+    "requery_without_landing": "select o_orderkey as event_id from orders where o_orderstatus = 'O'",
+    "unusable_ids": """
+select case when o_orderkey % 5 = 0 then 'id-' else '99999' end || lpad(o_orderkey::varchar, 10, '0') as event_id,
+  count(*) as n_rows
+from orders where o_orderstatus = 'O' and (o_orderkey % 5 = 0 or o_orderkey % 7 = 0) group by 1""",
+    "unanswered_batches": f"""with {_REQUESTED}, ranked as (
+  select event_id, (row_number() over (order by event_id) - 1) // 20 as batch_no from requested)
+select batch_no, 'events_' || string_agg(event_id::varchar, ',' order by event_id) || '.json' as page_name
+from ranked where batch_no % 2 = 1 group by batch_no""",
+    "feed_gaps": f"""with {_PAGES}, kept as (
+  select distinct feed_rank, page_no from placed where not (feed_rank = 1 and page_no % 3 = 0)),
+ends as (select feed_rank, max(page_no) as last_page from kept group by feed_rank),
+numbers as (select feed_rank, unnest(range(0, last_page)) as page_no from ends)
+select feed_rank, page_no from numbers except select feed_rank, page_no from kept""",
+    "over_long_texts": """
+select doc_id::varchar as key, 'image' as column_name, strlen(text)::bigint as n_bytes
+from documents where strlen(text) > 500""",
+    "column_mismatch": " union all ".join(
+        f"select 'extra' as kind, '{c}' as column_name, count({c}) as n_values from customer"
+        for c in ("c_acctbal", "c_mktsegment", "c_name", "c_nationkey")
+    )
+    + """ union all select 'missing', unnest(['tag_slug', 'label', 'force_show', 'force_hide', 'is_carousel',
+  'requires_translation', 'created_by', 'updated_by', 'created_at', 'updated_at', 'published_at']), 0::bigint""",
+    "run_counts": f"""with {_LINES}, {_TAG_ROWS}, binary_markets as (
+  select *, {_STEM} as stem from last where l_quantity > 2 and l_suppkey % 7 <> 0),
+sold as (select *, count(*) over (partition by stem) > 1 as shared from binary_markets where l_suppkey % 11 <> 0)
+select 'bronze_gamma_markets' as table_name, count(*) filter (l_suppkey % 11 <> 0) as n_published,
+  count(*) filter (l_suppkey % 11 = 0) as n_rejected from binary_markets
+union all select 'bronze_gamma_events', count(*), 0 from orders
+union all select 'bronze_gamma_series', count(distinct c_mktsegment), 0 from orders join customer on c_custkey = o_custkey
+union all select 'bronze_gamma_event_series_link', count(*), 0 from orders join customer on c_custkey = o_custkey
+union all select 'bronze_gamma_tags', count(distinct tag), 0 from tags
+union all select 'bronze_gamma_event_tag_link', count(distinct (tag, l_orderkey)), 0 from tags
+union all select 'silver_market_outcomes', 2 * count(*) filter (not shared), 2 * count(*) filter (shared) from sold""",
+    "dirty_line_rules": _DIRTY_LINES,
+    "enforced_counts": _DIRTY_LINES,
+    "dropped_outcomes": f"""with {_LINES}, sized as (
+  select mid as market_id, case when l_suppkey % 7 = 0 then 3 else 2 end::bigint as n_outcomes,
+    2::bigint as n_outcome_prices, case when l_suppkey % 11 = 0 then 0 else 2 end::bigint as n_clob_token_ids
+  from last where l_quantity > 2 and {_RECENT_OR_BINARY})
+select *, case when n_clob_token_ids <> 2 then 'no two tokens'
+  else 'values beyond the second outcome' end as reason
+from sized where n_clob_token_ids <> 2 or n_outcomes > 2""",
+    "typed_table": f"""
+select {_all_columns(TAGS, {"tag_id": "c_custkey", "tag_slug": "lower(c_name)", "label": "c_name"})},
+  timestamp '2025-03-01' as db_created_at, timestamp '2025-03-01' as db_updated_at from customer""",
     "requery_batches": f"""with {_REQUESTED}, ranked as (
   select event_id, (row_number() over (order by event_id) - 1) // 20 as batch_no from requested)
 select batch_no, string_agg('id=' || event_id, '&' order by event_id) as query,

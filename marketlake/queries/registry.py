@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.contracts import (
+    CONTRACTS,
     DEPENDENCIES,
     EVENT_SERIES_LINK,
     EVENT_TAG_LINK,
@@ -20,6 +19,7 @@ from marketlake.contracts import (
     RELATION_TYPES,
     SERIES,
     TAGS,
+    Col,
     Contract,
     ForeignKey,
 )
@@ -30,6 +30,7 @@ from marketlake.operators import quality, reconcile
 from marketlake.operators.dedup import keep_last
 from marketlake.operators.outcomes import (
     binary_or_recent,
+    dropped_outcomes as dropped_outcome_report,
     long_list_report,
     outcomes_of,
     with_condition,
@@ -39,17 +40,21 @@ from marketlake.operators.shape import (
     conform,
     drop_listed,
     explode_structs,
+    column_differences,
     nullify_long,
+    over_long,
     rename_exact,
     rename_snake,
 )
 from marketlake.plans.bronze import build_events, build_markets, build_series, build_tags
+from marketlake.plans.pipeline import Landing, run_pipeline
 from marketlake.queries.feed import (
     EVENT_KEYS,
     LAST_YEAR,
     ORDER,
     array_of,
     documents,
+    event_pages,
     events,
     field,
     landed_fields,
@@ -75,11 +80,16 @@ def registered() -> dict[str, Query]:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder for a table a query stores: shared if the session names one."""
-    base = work_folder(spark, "")
-    if base:
-        return f"{base}/marketlake/{name}-{os.urandom(6).hex()}"
-    return tempfile.mkdtemp(prefix=f"marketlake-{name}-")
+    """The folder of a table that a query stores and reads back, one per session and query.
+
+    It lies below the checkpoint folder, or else in the warehouse: both are shared by
+    driver and executors.  Another call of the query writes it anew, and the end of the
+    session deletes it.
+    """
+    base = work_folder(spark, spark.conf.get("spark.sql.warehouse.dir"))
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/marketlake-{spark.sparkContext.applicationId}")
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(root)
+    return f"{root.toString()}/{name}"
 
 
 # -- landed events to markets -------------------------------------------------
@@ -101,13 +111,13 @@ _MARKET_FIELDS = array_of(
 )
 
 
-def _market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir, [*EVENT_KEYS, T.StructField("markets", _MARKET_FIELDS)])
+def _market_events(spark: SparkSession, sf_dir: str, empty: bool) -> DataFrame:
+    return events(spark, sf_dir, [*EVENT_KEYS, T.StructField("markets", _MARKET_FIELDS)], empty)
 
 
 def _market_rows(spark: SparkSession, sf_dir: str, outer: bool = False) -> DataFrame:
     carry = [F.col("id").alias("event_id"), F.col("slug").alias("event_slug"), *ORDER]
-    rows = explode_structs(_market_events(spark, sf_dir), "markets", carry, outer)
+    rows = explode_structs(_market_events(spark, sf_dir, outer), "markets", carry, outer)
     rows = rename_snake(rows, keep=ORDER)
     return rename_exact(rows, {"id": "market_id", "slug": "market_slug"})
 
@@ -195,6 +205,12 @@ def json_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def dropped_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markets that give no outcome, or not all of their values, with the reason."""
+    return dropped_outcome_report(_kept_markets(spark, sf_dir))
+
+
 @_query
 def long_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_list_report(_last_markets(spark, sf_dir))
@@ -203,13 +219,11 @@ def long_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- bronze and silver tables -------------------------------------------------
 
 
-def _staged(df: DataFrame, contract: Contract, name: str) -> DataFrame:
-    """Cast, check and store candidate rows, as a run does before it splits them."""
+def _checked(df: DataFrame, contract: Contract) -> DataFrame:
+    """Cast and check candidate rows; a run stores them before it splits them, a query need not."""
     if quality.CAST_FAILED not in df.columns:
         df = quality.coerce(df, contract)
-    return sinks.write_parquet(
-        quality.check_rows(df, contract), scratch(df.sparkSession, name)
-    )
+    return quality.check_rows(df, contract)
 
 
 def _bronze_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,14 +235,14 @@ def _bronze_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def bronze_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 110 columns of the markets that satisfy the contract."""
-    staged = _staged(_bronze_markets(spark, sf_dir), MARKETS, "markets")
-    return quality.split(staged, MARKETS, [MARKETS.primary_key])[0]
+    checked = _checked(_bronze_markets(spark, sf_dir), MARKETS)
+    return quality.split(checked, MARKETS, [MARKETS.primary_key])[0]
 
 
 @_query
 def bronze_markets_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(_bronze_markets(spark, sf_dir), MARKETS, "markets")
-    bad = quality.split(staged, MARKETS, [MARKETS.primary_key])[1]
+    checked = _checked(_bronze_markets(spark, sf_dir), MARKETS)
+    bad = quality.split(checked, MARKETS, [MARKETS.primary_key])[1]
     return bad.select("market_id", F.array_join(quality.FAILED_RULES, ",").alias("rules"))
 
 
@@ -236,26 +250,26 @@ def bronze_markets_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [f for f in landed_fields(EVENTS) if f.name != "liquidityAmm"]
     nested = [T.StructField(n, T.StringType()) for n in ("eventMetadata", "eventCreators")]
-    candidate = build_events(events(spark, sf_dir, [*fields, *nested]), ORDER)
-    return quality.split(_staged(candidate, EVENTS, "events"), EVENTS, [EVENTS.primary_key])[0]
+    candidate = build_events(events(spark, sf_dir, [*fields, *nested], empty=True), ORDER)
+    return quality.split(_checked(candidate, EVENTS), EVENTS, [EVENTS.primary_key])[0]
 
 
 def _series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     fields = [f for f in landed_fields(SERIES) if f.name != "description"]
-    parsed = events(spark, sf_dir, [*EVENT_KEYS, T.StructField("series", array_of(fields))])
-    return build_series(parsed, ORDER)
+    fields = [*EVENT_KEYS, T.StructField("series", array_of(fields))]
+    return build_series(events(spark, sf_dir, fields, empty=True), ORDER)
 
 
 @_query
 def bronze_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(_series(spark, sf_dir)[0], SERIES, "series")
-    return quality.split(staged, SERIES, [SERIES.primary_key])[0]
+    checked = _checked(_series(spark, sf_dir)[0], SERIES)
+    return quality.split(checked, SERIES, [SERIES.primary_key])[0]
 
 
 @_query
 def event_series_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(_series(spark, sf_dir)[1], EVENT_SERIES_LINK, "series_link")
-    return quality.split(staged, EVENT_SERIES_LINK, [EVENT_SERIES_LINK.primary_key])[0]
+    checked = _checked(_series(spark, sf_dir)[1], EVENT_SERIES_LINK)
+    return quality.split(checked, EVENT_SERIES_LINK, [EVENT_SERIES_LINK.primary_key])[0]
 
 
 def _tags(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -265,27 +279,27 @@ def _tags(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @_query
 def bronze_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(_tags(spark, sf_dir)[0], TAGS, "tags")
-    return quality.split(staged, TAGS, [TAGS.primary_key])[0]
+    checked = _checked(_tags(spark, sf_dir)[0], TAGS)
+    return quality.split(checked, TAGS, [TAGS.primary_key])[0]
 
 
 @_query
 def event_tag_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(_tags(spark, sf_dir)[1], EVENT_TAG_LINK, "tag_link")
-    return quality.split(staged, EVENT_TAG_LINK, [EVENT_TAG_LINK.primary_key])[0]
+    checked = _checked(_tags(spark, sf_dir)[1], EVENT_TAG_LINK)
+    return quality.split(checked, EVENT_TAG_LINK, [EVENT_TAG_LINK.primary_key])[0]
 
 
 @_query
 def silver_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes that satisfy the contract: every row of a shared token is rejected."""
-    staged = _staged(outcomes_of(_kept_markets(spark, sf_dir)), OUTCOMES, "outcomes")
-    return quality.split(staged, OUTCOMES)[0]
+    checked = _checked(outcomes_of(_kept_markets(spark, sf_dir)), OUTCOMES)
+    return quality.split(checked, OUTCOMES)[0]
 
 
 @_query
 def silver_outcomes_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(outcomes_of(_kept_markets(spark, sf_dir)), OUTCOMES, "outcomes")
-    return quality.rule_counts(quality.split(staged, OUTCOMES)[1])
+    checked = _checked(outcomes_of(_kept_markets(spark, sf_dir)), OUTCOMES)
+    return quality.rule_counts(quality.split(checked, OUTCOMES)[1])
 
 
 # -- feeds, pages and scans ---------------------------------------------------
@@ -325,17 +339,25 @@ def feed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.join(F.broadcast(landing.feed_dimension(spark)), "feed_rank")
 
 
+@_query
+def feed_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page numbers that a feed skips: here, every third page of one feed did not land."""
+    rows = landing.page_rows(order_pages(spark, sf_dir), T.StructType([field("id")]))
+    counts = landing.page_counts(rows).filter("NOT (_feed_rank = 1 AND _page_no % 3 = 0)")
+    return landing.missing_pages(counts)
+
+
 @_query
 def projected_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the ids of landed events, as numbers."""
-    ids = events(spark, sf_dir, [field("id")])
+    ids = events(spark, sf_dir, [field("id")], empty=True)
     return ids.select(uint32(F.col("id")).alias("event_id"))
 
 
 @_query
 def two_feed_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List feed plus by-id feed: a re-queried event replaces every list copy."""
-    listed = events(spark, sf_dir, [field("id"), field("title")])
+    listed = events(spark, sf_dir, [field("id"), field("title")], empty=True)
     listed = listed.withColumn("source_rank", F.lit(landing.LIST_SOURCE))
     open_orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'O'")
     by_id = open_orders.select(
@@ -350,7 +372,7 @@ def two_feed_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events written under a run folder, read back with an inferred text schema."""
-    docs = documents(spark, sf_dir, ["tags"]).select(
+    docs = documents(spark, sf_dir, ["tags"], empty=True).select(
         F.from_json("value", _RAW_EVENT).alias("e")
     ).select("e.*")
     path = sinks.write_json(docs, scratch(spark, "raw"), "q")
@@ -425,6 +447,25 @@ def nullify_long_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nullify_long(docs, ["image"])
 
 
+@_query
+def over_long_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What nullify_long_url sets to NULL: the keys, columns and sizes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("image"), "source")
+    return over_long(docs, "doc_id", ["image", "source"])
+
+
+@_query
+def column_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns by which a table misses its contract, with the values that extra ones hold."""
+    customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "tag_id")
+    extra, missing = column_differences(customer.columns, TAGS)
+    profile = quality.null_profile(customer.select(*extra)).select(
+        F.lit("extra").alias("kind"), "column_name", F.col("non_null").alias("n_values")
+    )
+    absent = F.explode(F.array(*[F.lit(c) for c in missing])).alias("column_name")
+    return profile.union(spark.range(1).select(F.lit("missing"), absent, F.lit(0).cast("bigint")))
+
+
 @_query
 def drop_add_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Named and extra columns dropped, an optional one added, contract order."""
@@ -432,7 +473,7 @@ def drop_add_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     customers = table(spark, sf_dir, "customer").join(
-        F.broadcast(rows), F.col("c_nationkey") == F.col("n_nationkey")
+        rows, F.col("c_nationkey") == F.col("n_nationkey")
     )
     tags = customers.select(
         F.col("c_custkey").cast("string").alias("tag_id"),
@@ -522,6 +563,48 @@ def good_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _checked_dependencies(spark, sf_dir)[0]
 
 
+_LINES = Contract(
+    name="lines",
+    primary_key=("line_id",),
+    columns=(
+        Col("line_id", "string", nullable=False),
+        Col("part", "bigint", nullable=False),
+        Col("flag", "boolean"),
+        Col("note", "string", min_length=1, max_length=9),
+        Col("price", "double"),
+    ),
+)
+
+
+def _dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as text with NULLs in required columns, empty text and values that don't cast."""
+    number, key = F.col("l_linenumber"), F.concat("l_orderkey", F.lit("-"), F.col("l_linenumber"))
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(number != 6, key).alias("line_id"),
+        F.when(number == 5, "x").when(number != 4, F.col("l_partkey").cast("string")).alias("part"),
+        F.when(F.col("l_returnflag") == "A", "yes").otherwise("true").alias("flag"),
+        F.when(number == 3, "").otherwise(F.repeat(F.lit("n"), number * 2)).alias("note"),
+        F.when(number == 2, "1,5").otherwise(F.col("l_extendedprice").cast("string")).alias("price"),
+    )
+
+
+@_query
+def dirty_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per broken rule: required, castable, least and largest length, key."""
+    return quality.rule_counts(quality.split(_checked(_dirty_lines(spark, sf_dir), _LINES), _LINES)[1])
+
+
+@_query
+def enforced_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the error of a failed run says: the broken rules with their rows."""
+    bad = quality.split(_checked(_dirty_lines(spark, sf_dir), _LINES), _LINES)[1]
+    try:
+        quality.enforce(bad, _LINES)
+    except quality.ContractViolation as e:
+        return spark.createDataFrame(list(e.counts.items()), "rule string, n_rows bigint")
+    return spark.createDataFrame([], "rule string, n_rows bigint")
+
+
 @_query
 def duplicate_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -612,12 +695,33 @@ def requery_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def requery_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lightweight run's sample of 500 ids."""
-    return reconcile.plan_requery(
-        _snapshot(spark, sf_dir), _landed_ids(spark, sf_dir), reconcile.LIGHTWEIGHT_LIMIT
+    """Every id to re-query, and whether a run that asks for 500 takes it or defers it."""
+    return reconcile.deferral(_requested(spark, sf_dir), 500)
+
+
+@_query
+def requery_without_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without landed pages every open row is asked for."""
+    return reconcile.plan_requery(_snapshot(spark, sf_dir), None)
+
+
+@_query
+def unusable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open rows whose id is no unsigned 32-bit number."""
+    wrong = F.when(F.col("event_id") % 5 == 0, F.lit("id-")).when(F.col("event_id") % 7 == 0, F.lit("99999"))
+    snapshot = _snapshot(spark, sf_dir)
+    return reconcile.unusable_ids(
+        snapshot.withColumn("event_id", F.concat(F.coalesce(wrong, F.lit("")), "event_id"))
     )
 
 
+@_query
+def unanswered_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches whose page did not land: here, those with an even number did."""
+    batches = reconcile.batches(_requested(spark, sf_dir)).select("batch_no", "page_name")
+    return reconcile.unanswered(batches, batches.filter("batch_no % 2 = 0"))
+
+
 @_query
 def requery_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.batches(_requested(spark, sf_dir)).drop("event_ids")
@@ -684,3 +788,37 @@ def upsert_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_mktsegment", F.coalesce(changed, "c_mktsegment")
     )
     return sinks.upsert(old, new, ["c_custkey"], stamp("2025-03-01 00:00:00"))
+
+
+@_query
+def typed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new table with the contract's types, filled by its first upsert."""
+    first = sinks.create_table(spark, TAGS, scratch(spark, "typed_table"))
+    new = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("tag_id"), F.lower("c_name").alias("tag_slug"), F.col("c_name").alias("label")
+    )
+    stamp = F.to_timestamp(F.lit("2025-03-01 00:00:00"))
+    return sinks.upsert(first, new, ["tag_id"], stamp, TAGS).select(
+        *TAGS.names, *[F.col(c).cast("timestamp_ntz").alias(c) for c in sinks.AUDIT_COLUMNS]
+    )
+
+
+# -- the whole run --------------------------------------------------------------
+
+
+@_query
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published and rejected rows of every table after a whole run over all documents."""
+    root = scratch(spark, "run_counts")
+    landing.pack_pages(event_pages(spark, sf_dir), f"{root}/landing/list")
+    nested = {"markets": MARKETS, "series": SERIES, "tags": TAGS}
+    carried = {"markets": ("event_id", "event_slug")}
+    fields = [f for f in landed_fields(EVENTS) if f.name not in nested]
+    arrays = [T.StructField(n, array_of(landed_fields(c, carried.get(n, ())))) for n, c in nested.items()]
+    pinned = Landing(f"{root}/landing", packed=True, schema=T.StructType([*fields, *arrays]))
+    result = run_pipeline(spark, pinned, f"{root}/out", "run", on_failure="quarantine")
+    counts = [
+        (name, result.tables[name].n_rows, spark.read.parquet(f"{root}/out/quarantine/{name}").count())
+        for name in CONTRACTS if name in result.tables
+    ]
+    return spark.createDataFrame(counts, "table_name string, n_published bigint, n_rejected bigint")

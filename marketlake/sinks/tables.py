@@ -77,15 +77,40 @@ def create_table(spark: SparkSession, contract: Contract, path: str) -> DataFram
     return write_parquet(spark.createDataFrame([], schema), path)
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], now: datetime | Column) -> DataFrame:
+def align(df: DataFrame, contract: Contract) -> DataFrame:
+    """The contract's columns, then the audit columns there are.
+
+    A stored table may be older than its contract: a column it lacks becomes a typed NULL,
+    and a column that left the contract is dropped.
+    """
+    columns = [
+        F.col(f"`{c.name}`") if c.name in df.columns else F.lit(None).cast(c.data_type).alias(c.name)
+        for c in contract.columns
+    ]
+    return df.select(*columns, *[c for c in AUDIT_COLUMNS if c in df.columns])
+
+
+def upsert(
+    old: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    now: datetime | Column,
+    contract: Contract | None = None,
+) -> DataFrame:
     """``old`` with ``new`` merged in by key, audit columns maintained.
 
     Rows only in ``old`` stay as they are.  ``db_created_at`` is kept from the first
     insert, and ``db_updated_at`` moves only when some other column differs.  Keys are
-    unique on both sides, so the join has no hot key.
+    unique on both sides, so the join has no hot key.  With a ``contract`` both sides are
+    aligned to it first; without one they must have the same columns.
     """
+    if contract is not None:
+        old, new = align(old, contract), align(new, contract)
+    own = [c for c in old.columns if c not in AUDIT_COLUMNS]
+    if set(own) != set(new.columns) - set(AUDIT_COLUMNS):
+        raise ValueError(f"columns differ: {sorted(set(own) ^ (set(new.columns) - set(AUDIT_COLUMNS)))}")
     stamp = now if isinstance(now, Column) else F.lit(now)
-    row = ", ".join(f"`{c}`" for c in old.columns if c not in AUDIT_COLUMNS)
+    row = ", ".join(f"`{c}`" for c in own)
     key_names = [f"_k{i}" for i in range(len(keys))]
     key_texts = [f"`{k}` AS {name}" for k, name in zip(keys, key_names)]
     before = old.selectExpr(f"struct({row}) AS _old", *AUDIT_COLUMNS, *key_texts)

@@ -9,8 +9,10 @@ A page is one file holding a JSON array of events.  List pages are named
 from __future__ import annotations
 
 from collections.abc import Collection
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +69,28 @@ def pack_pages(pages: DataFrame, path: str) -> None:
     pages.select("file_name", "value").write.mode("overwrite").parquet(path)
 
 
+def unmatched_files(pages: DataFrame, pattern: str) -> DataFrame:
+    """(file_name): files in a page folder that are no pages by their name."""
+    return pages.filter(~F.col("file_name").rlike(pattern)).select("file_name")
+
+
+def page_names(pages: DataFrame, pattern: str = BY_ID_PAGE) -> DataFrame:
+    """(page_name): names of the landed pages, without their folder."""
+    names = pages.select(F.regexp_extract("file_name", f"({pattern})", 1).alias("page_name"))
+    return names.filter("page_name <> ''").distinct()
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Number, names, sizes and times of the files below ``path``, as one text.
+
+    Only the listing is read; the sum does not depend on the order of the files.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    n, total = files.agg(F.count(F.lit(1)), F.sum(mark)).first()
+    return f"{n} files {total}"
+
+
 def list_pages(pages: DataFrame, mode: str = "full") -> DataFrame:
     """One row per list page of the mode's feeds, with its order; other files are left out."""
     name = F.col("file_name")
@@ -114,19 +138,44 @@ def page_rows(pages: DataFrame, schema: T.StructType) -> DataFrame:
 
     Fields outside the schema are left out and absent ones are NULL.  A page without
     events gives one row whose ``_pos`` is NULL, with ``_malformed`` set when its text is
-    no array of objects: one pass over the text then serves the tables and the audit.
+    no array of objects (a bare object is none): one pass over the text then serves the
+    tables and the audit.
+
+    A nested value of the wrong shape parses to NULL like an absent one.  ``_wrong_shape``
+    holds the names of such fields, NULL on sound events.  Only pages with an event that
+    lacks a nested value are looked at again, for the raw text of those fields.
     """
-    parsed = pages.withColumn("_events", F.from_json("value", T.ArrayType(schema)))
+    nested = [f.name for f in schema if isinstance(f.dataType, T.ArrayType | T.StructType)]
+    array = F.col("value").startswith("[") | F.ltrim("value").startswith("[")
+    parsed = pages.withColumn("_events", F.when(array, F.from_json("value", T.ArrayType(schema))))
+    found = F.transform("_events", lambda e: F.struct(e.alias("e"), F.lit(None).cast("array<string>").alias("w")))
+    if nested:
+        raw = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in nested]))
+        doubtful = F.exists("_events", lambda e: reduce(or_, [e[n].isNull() for n in nested]))
+        parsed = parsed.withColumn("_raw", F.when(doubtful, F.from_json("value", raw)))
+
+        def wrong(e: Column, r: Column) -> Column:
+            names = [F.when(e[n].isNull() & (r[n] != "null"), F.lit(n)) for n in nested]
+            return F.when(reduce(or_, [n.isNotNull() for n in names]), F.array_compact(F.array(*names)))
+
+        marked = F.zip_with("_events", "_raw", lambda e, r: F.struct(e.alias("e"), wrong(e, r).alias("w")))
+        found = F.when(F.col("_raw").isNotNull(), marked).otherwise(found)
     return parsed.select(
         *PAGE,
         F.col("_events").isNull().alias("_malformed"),
-        F.posexplode_outer("_events").alias("_pos", "_event"),
-    ).select(*ORDINAL, "_malformed", "_event.*")
+        F.posexplode_outer(found).alias("_pos", "_found"),
+    ).select(*ORDINAL, "_malformed", F.col("_found.w").alias("_wrong_shape"), "_found.e.*")
+
+
+def misshapen(rows: DataFrame) -> DataFrame:
+    """(ordinal, id, wrong_shape): events with a nested value that is no array or struct."""
+    wrong = rows.filter(F.col("_wrong_shape").isNotNull())
+    return wrong.select(*ORDINAL, "id", F.col("_wrong_shape").alias("wrong_shape"))
 
 
 def event_rows(rows: DataFrame) -> DataFrame:
     """Only the events of :func:`page_rows`, without page placeholders."""
-    return rows.filter(F.col("_pos").isNotNull()).drop("_malformed")
+    return rows.filter(F.col("_pos").isNotNull()).drop("_malformed", "_wrong_shape")
 
 
 def without_fields(schema: T.StructType, names: Collection[str]) -> T.StructType:
@@ -144,6 +193,23 @@ def without_fields(schema: T.StructType, names: Collection[str]) -> T.StructType
     )
 
 
+def infer_packed_schema(pages: DataFrame) -> T.StructType:
+    """The same as :func:`infer_schema` for pages that are rows, in one aggregation over them."""
+    text = pages.agg(F.schema_of_variant_agg(F.try_parse_json("value"))).first()[0]
+    found = T.DataType.fromDDL(text.replace("OBJECT<", "STRUCT<"))
+    if not isinstance(found, T.ArrayType) or not isinstance(found.elementType, T.StructType):
+        raise ValueError(f"packed pages are no arrays of objects: {text[:200]}")
+
+    def as_text(t: T.DataType) -> T.DataType:
+        if isinstance(t, T.ArrayType):
+            return T.ArrayType(as_text(t.elementType))
+        if isinstance(t, T.StructType):
+            return T.StructType([T.StructField(f.name, as_text(f.dataType)) for f in t])
+        return T.StringType()
+
+    return as_text(found.elementType)
+
+
 def infer_schema(
     spark: SparkSession, path: str, sampling_ratio: float = 1.0, multi_line: bool = True
 ) -> T.StructType:
@@ -173,11 +239,6 @@ def read_merged(
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Only the event ids of merged files."""
-    return read_merged(spark, path, "id string")
-
-
 def concat_feeds(*feeds: DataFrame) -> DataFrame:
     """All rows, aligned by name; a column missing from one feed is NULL there."""
     out = feeds[0]
@@ -198,9 +259,9 @@ def audit_feeds(
 ) -> DataFrame:
     """One row per feed: pages, rows, and how the feed ended.
 
-    A feed is ``complete`` when its last page is short, and ``truncated`` when the last
-    page is full (it stopped at the row cap, or before its end).  Missing page numbers
-    and short pages before the last one are counted.
+    A feed is ``truncated`` when its last page is full (it stopped at the row cap, or
+    before its end), has ``gaps`` when page numbers are missing or a page before the last
+    one is short, and is ``complete`` otherwise.
     """
     page = F.struct("_page_no", "n_rows")
     per_feed = counts.groupBy("_feed_rank").agg(
@@ -212,15 +273,32 @@ def audit_feeds(
         F.count_if("malformed").alias("malformed_pages"),
     )
     last_full = F.col("last_page_rows") >= page_size
+    missing = F.col("last_page") + 1 - F.col("pages")
+    short_inner = F.col("_short") - F.when(last_full, 0).otherwise(1)
+    gaps = (missing > 0) | (short_inner > 0)
     return per_feed.select(
         F.col("_feed_rank").alias("feed_rank"),
         "pages",
         "rows",
         "last_page",
         "last_page_rows",
-        (F.col("last_page") + 1 - F.col("pages")).alias("missing_pages"),
-        (F.col("_short") - F.when(last_full, 0).otherwise(1)).alias("short_inner_pages"),
+        missing.alias("missing_pages"),
+        short_inner.alias("short_inner_pages"),
         "malformed_pages",
         (F.col("rows") >= max_rows).alias("at_row_cap"),
-        F.when(last_full, "truncated").otherwise("complete").alias("status"),
+        F.when(gaps, "gaps").when(last_full, "truncated").otherwise("complete").alias("status"),
     )
+
+
+def missing_pages(counts: DataFrame) -> DataFrame:
+    """(feed_rank, page_no) of every page number that a feed skips before its last page.
+
+    Each landed page gives the run of numbers between it and the page before it.  The
+    window holds the pages of one feed that were landed, at most the row cap over the
+    page size.
+    """
+    before = F.lag("_page_no", 1, -1).over(Window.partitionBy("_feed_rank").orderBy("_page_no"))
+    holes = counts.select("_feed_rank", "_page_no", before.alias("_before"))
+    holes = holes.filter(F.col("_page_no") > F.col("_before") + 1)
+    numbers = F.explode(F.sequence(F.col("_before") + 1, F.col("_page_no") - 1))
+    return holes.select(F.col("_feed_rank").alias("feed_rank"), numbers.alias("page_no"))

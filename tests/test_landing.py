@@ -91,9 +91,50 @@ def test_audit(spark):
     assert got == {
         0: (237, 0, 0, True, "complete"),
         1: (200, 0, 0, True, "truncated"),
-        2: (240, 1, 1, True, "complete"),
+        2: (240, 1, 1, True, "gaps"),
         3: (0, 0, 0, False, "complete"),
     }
+    holes = landing.missing_pages(counts).collect()
+    assert [tuple(r) for r in holes] == [(2, 1)]
+
+
+def test_missing_first_pages_are_named(spark, rows):
+    counts = spark.createDataFrame([(0, 0, 3, 1, False), (0, 0, 7, 1, False)], "_source_rank int, _feed_rank int, _page_no bigint, n_rows bigint, malformed boolean")
+    assert rows(landing.missing_pages(counts), "page_no") == [(0,), (1,), (2,), (4,), (5,), (6,)]
+
+
+def test_nested_values_of_the_wrong_shape_are_marked(spark, rows):
+    schema = T.StructType([
+        T.StructField("id", T.StringType()),
+        T.StructField("markets", T.ArrayType(T.StructType([T.StructField("id", T.StringType())]))),
+        T.StructField("tags", T.ArrayType(T.StructType([T.StructField("id", T.StringType())]))),
+    ])
+    events = [
+        {"id": "1", "markets": [{"id": "11"}], "tags": []}, {"id": "2", "markets": {"id": "21"}, "tags": "x"},
+        {"id": "3", "markets": None}, {"id": "4", "markets": "text", "tags": [{"id": "41"}]},
+    ]
+    texts = [json.dumps(events), json.dumps(events[:1]), json.dumps(events[0]), "  " + json.dumps(events[:1])]
+    df = spark.createDataFrame([(t, 0, 0, i) for i, t in enumerate(texts)], "value string, _source_rank int, _feed_rank int, _page_no int")
+    got = landing.page_rows(df, schema)
+    assert rows(landing.misshapen(got), "_page_no", "id", "wrong_shape") == [(0, "2", ["markets", "tags"]), (0, "4", ["markets"])]
+    # a bare object is no page
+    assert rows(got.filter("_malformed"), "_page_no") == [(2,)]
+    assert landing.event_rows(got).count() == 6
+
+
+def test_unmatched_files(spark, rows):
+    names = ["events_active_open_page_0.json", "events_active_open_page_x.json", "notes.json", "events_1,2.json"]
+    files = spark.createDataFrame([(n, "[]") for n in names], "file_name string, value string")
+    assert rows(landing.unmatched_files(files, landing.LIST_PAGE)) == [("events_1,2.json",), ("events_active_open_page_x.json",), ("notes.json",)]
+    assert rows(landing.page_names(files)) == [("events_1,2.json",)]
+
+
+def test_fingerprint_follows_the_files(spark, tmp_path):
+    path = _write(tmp_path / "f", {"a.json": _events(1), "b.json": _events(2)})
+    before = landing.fingerprint(spark, path)
+    assert before == landing.fingerprint(spark, path)
+    _write(tmp_path / "f", {"c.json": _events(3)})
+    assert before != landing.fingerprint(spark, path)
 
 
 def test_inference_keeps_text_and_pins_the_second_source(spark, tmp_path, rows):
@@ -107,7 +148,7 @@ def test_inference_keeps_text_and_pins_the_second_source(spark, tmp_path, rows):
         ("2", None, "s"),
         ("3", None, None),
     ]
-    assert rows(landing.read_ids(spark, first)) == [("1",), ("2",)]
+    assert rows(landing.read_merged(spark, first, "id string")) == [("1",), ("2",)]
 
 
 def test_packed_pages_read_like_files(spark, tmp_path, rows):
@@ -117,6 +158,13 @@ def test_packed_pages_read_like_files(spark, tmp_path, rows):
     packed = landing.packed_pages(spark, str(tmp_path / "packed"))
     read = [rows(landing.page_rows(landing.list_pages(p), SCHEMA)) for p in (files, packed)]
     assert read[0] == read[1] and len(read[0]) == 5
+    assert landing.infer_packed_schema(packed) == landing.infer_schema(spark, path)
+
+
+def test_packed_schema_is_the_inferred_one(spark, tmp_path):
+    docs = [{"id": 1, "x": 1.5, "markets": [{"id": "a", "n": 2}], "e": None}, {"id": "2", "markets": [], "tags": [{"id": 1}], "ok": True}]
+    path = _write(tmp_path / "l", {"events_active_open_page_0.json": docs, "events_active_open_page_1.json": []})
+    assert landing.infer_packed_schema(landing.page_files(spark, path)) == landing.infer_schema(spark, path)
 
 
 def test_feed_predicate(spark):

@@ -61,6 +61,7 @@ def test_keep_last_limits_groups_before_the_shuffle(spark, sf_dir):
 def test_landed_json_is_parsed_once(spark, sf_dir):
     plan = plan_of(registered()["explode_markets"](spark, sf_dir))
     assert len(re.findall(r"from_json", plan)) == 1
+    assert plan.count("lineitem.parquet") == 1 and plan.count("orders.parquet") == 1
     plan = plan_of(registered()["explode_markets_outer"](spark, sf_dir))
     assert len(re.findall(r"from_json", plan)) == 1
     plan = plan_of(registered()["outcomes_flagship"](spark, sf_dir))
@@ -111,3 +112,15 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,O)]" in plan
     plan = plan_of(registered()["pk_violations"](spark, sf_dir))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in plan
+
+
+def test_duplicate_texts_move_hashes_first(spark, sf_dir):
+    plan = plan_of(registered()["duplicate_text_rows"](spark, sf_dir))
+    first = [e for e in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan) if "_hash" in e or "text" in e]
+    assert any(e.startswith("_hash") for e in first)
+    assert not any(e.startswith("text") for e in first)
+
+
+def test_nothing_is_broadcast_by_hint(spark, sf_dir):
+    df = registered()["drop_add_columns"](spark, sf_dir)
+    assert "strategy=broadcast" not in df._jdf.queryExecution().logical().toString()

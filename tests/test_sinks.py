@@ -1,6 +1,8 @@
 from datetime import datetime
 
-from marketlake.contracts import TAGS
+import pytest
+
+from marketlake.contracts import TAGS, Col, Contract
 from marketlake.sinks import tables
 from marketlake.sources.snapshot import read_table_if_exists
 
@@ -57,3 +59,19 @@ def test_upsert_with_two_keys(spark):
     new = spark.createDataFrame([("a", "c", 2), ("a", "b", 3)], "x string, y string, v int")
     got = sorted(tuple(r)[:3] for r in tables.upsert(old, new, ["x", "y"], at).collect())
     assert got == [("a", "b", 3), ("a", "c", 2)]
+
+
+def test_upsert_follows_the_contract(spark, rows):
+    """The stored table is older than its contract: a column is new, another one left."""
+    contract = Contract("t", (Col("id", "string"), Col("v", "string"), Col("fresh", "bigint")), ("id",))
+    at, later = datetime(2025, 1, 1), datetime(2025, 2, 1)
+    old = spark.createDataFrame(
+        [("a", "x", "gone", at, at), ("b", "y", "gone", at, at)],
+        "id string, v string, left_out string, db_created_at timestamp, db_updated_at timestamp",
+    )
+    new = spark.createDataFrame([("a", "x", 7), ("c", "z", None)], "id string, v string, fresh bigint")
+    got = tables.upsert(old, new, ["id"], later, contract)
+    assert got.columns == ["id", "v", "fresh", *tables.AUDIT_COLUMNS]
+    assert rows(got) == [("a", "x", 7, at, later), ("b", "y", None, at, at), ("c", "z", None, later, later)]
+    with pytest.raises(ValueError, match="fresh"):
+        tables.upsert(old, new, ["id"], later)
