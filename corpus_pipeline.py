@@ -40,8 +40,8 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the text that they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encoded = bpe.encode(docs.select(*COLUMNS), path).select("doc_id", "lang", "source", "ids")
-    return bpe.decode(encoded, path).select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
+    encoded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), path)
+    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
 
 
 STAGES = [

@@ -7,6 +7,7 @@ import json
 import mmap
 import re
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, batch, batch_rows, new_path
+from .common import arrow_map, batch, batch_rows, drop_stored, new_path, stored
 
 #: Words that the lexicon holds at most, words a task remembers before it starts afresh, texts of a batch.
 LEXICON, REMEMBERED, ROWS = 65_536, 400_000, 256
@@ -203,7 +204,10 @@ def _map_parts(path: str) -> dict[str, np.ndarray]:
 
 
 def frequent_words(docs: DataFrame, size: int = LEXICON) -> list[bytes]:
-    """The `size` most frequent words of letters over all whole texts, as the splitter sees them after a blank."""
+    """At most `size` of the most frequent words of letters over all whole texts, as the splitter sees them after a blank.
+
+    Words of one count come all or none, so the choice does not depend on the partitions.
+    """
     batch_rows(docs.sparkSession, 1024)
 
     def counted(batches):
@@ -223,7 +227,15 @@ def frequent_words(docs: DataFrame, size: int = LEXICON) -> list[bytes]:
         return batch(word=tally.field("values").cast(pa.string()), n=tally.field("counts"))
 
     tally = docs.select("text").mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = tally.orderBy(F.col("n").desc(), "word").limit(size).select("word").collect()  # `size` words
+    tally = stored(tally, "words")
+    # the least count that leaves at most `size` words, from how many words have each count
+    left, least = size, None
+    for n, words in tally.groupBy("n").agg(F.count("*")).orderBy(F.col("n").desc()).limit(size).collect():
+        if words > left:
+            break
+        left, least = left - words, n
+    top = [] if least is None else tally.where(F.col("n") >= least).select("word").collect()  # `size` words at most
+    drop_stored(tally)
     return sorted(b" " + r["word"].encode() for r in top)
 
 
@@ -254,7 +266,13 @@ class _Seen(dict):
         return n
 
 
-def encode(docs: DataFrame, path: str, lexicon: int = LEXICON) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    path: str,
+    lexicon: int = LEXICON,
+    finish: Callable[[dict, pa.RecordBatch], pa.RecordBatch] | None = None,
+    schema: str = "",
+) -> DataFrame:
     """`docs` (text and others) with `ids`, the token ids of each whole text.
 
     Ids equal those of the tokenizer file without special tokens added around a text; the
@@ -264,7 +282,9 @@ def encode(docs: DataFrame, path: str, lexicon: int = LEXICON) -> DataFrame:
 
     The frequent words of all texts, counted on Spark, are compiled once into a transducer
     that tasks map into memory.  A task looks up every word it has not met; what the
-    transducer doesn't hold is merged exactly, many words at a time.
+    transducer doesn't hold is merged exactly, many words at a time.  `finish` works on
+    each encoded batch in the same task (with the tokenizer's arrays) and gives the rows
+    of `schema`: one Python worker then does both.
     """
     spark = docs.sparkSession
     docs = docs.drop("ids")
@@ -299,10 +319,11 @@ def encode(docs: DataFrame, path: str, lexicon: int = LEXICON) -> DataFrame:
             flat, ends = gather((ids, start, length), index)
             offsets = np.r_[0, ends][np.r_[0, np.cumsum(counts)]].astype(np.int32)
             made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*b.columns, made], [*b.schema.names, "ids"])
+            out = pa.RecordBatch.from_arrays([*b.columns, made], [*b.schema.names, "ids"])
+            yield finish(model, out) if finish else out
 
     batch_rows(spark, ROWS)
-    return docs.mapInArrow(run, ", ".join([*(f"`{c}` {t}" for c, t in kinds), "ids array<int>"]))
+    return docs.mapInArrow(run, schema or ", ".join([*(f"`{c}` {t}" for c, t in kinds), "ids array<int>"]))
 
 
 def _around(special: re.Pattern, text: str) -> list[str]:
@@ -364,20 +385,37 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return arrow_map(rows, run, ", ".join([*(f"`{c}` {t}" for c, t in rows.dtypes), "text string"]))
 
 
-def digests(encoded: DataFrame, path: str) -> DataFrame:
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def digest_batch(model: dict, b: pa.RecordBatch) -> pa.RecordBatch:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoded documents."""
-    shared = encoded.sparkSession.sparkContext.broadcast(load_tokenizer(path))
+    lists = b.column("ids")
+    offsets = lists.offsets.to_numpy()
+    flat = np.asarray(lists.values)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    data, ends = gather(model["number"], flat)
+    data, ends = data.tobytes(), np.r_[0, ends][offsets]
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    numbers = [sha(data[a : max(a, e - 1)]) for a, e in zip(ends[:-1], ends[1:], strict=True)]
+    texts = [sha(t.encode("utf-8")) for t in decode_batch(model, lists)]
+    return batch(doc_id=b.column("doc_id"), n_tokens=np.diff(offsets).astype(np.int64), ids_sha256=numbers, decoded_sha256=texts)
 
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        lists = b.column("ids")
-        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        flat = np.asarray(lists.values)[lists.offsets[0].as_py() :][: offsets[-1]]
-        data, ends = gather(shared.value["number"], flat)
-        data, ends = data.tobytes(), np.r_[0, ends][offsets]
-        sha = lambda x: hashlib.sha256(x).hexdigest()
-        numbers = [sha(data[a : max(a, e - 1)]) for a, e in zip(ends[:-1], ends[1:], strict=True)]
-        texts = [sha(t.encode("utf-8")) for t in decode_batch(shared.value, lists)]
-        return batch(doc_id=b.column("doc_id"), n_tokens=np.diff(offsets).astype(np.int64), ids_sha256=numbers, decoded_sha256=texts)
-
-    kind = dict(encoded.dtypes)["doc_id"]
-    return arrow_map(encoded.select("doc_id", "ids"), run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+def digests(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text encoded, and decoded again from its ids."""
+    docs = docs.select("doc_id", "text")
+    return encode(docs, path, finish=digest_batch, schema=f"doc_id {dict(docs.dtypes)['doc_id']}, {DIGESTS}")
+
+
+def decoded_batch(model: dict, b: pa.RecordBatch) -> pa.RecordBatch:
+    """An encoded batch whose text is the one that its ids decode to."""
+    at = b.schema.names.index("text")
+    return b.set_column(at, "text", pa.array(decode_batch(model, b.column("ids")), b.schema.field(at).type))
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """`docs` with `ids`, and with `text` replaced by what the ids decode to."""
+    docs = docs.drop("ids")
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in docs.dtypes), "ids array<int>"])
+    return encode(docs, path, finish=decoded_batch, schema=schema)

@@ -77,9 +77,12 @@ def test_awkward_rows(spark, awkward_docs, no_docs, library):
         ids = library.encode(r["text"] or "", add_special_tokens=False).ids
         wanted.append((r["doc_id"], len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
     clash = awkward_docs.withColumn("ids", F.lit("x")).withColumn("n", F.lit(1))
-    found = [tuple(r) for r in bpe.digests(bpe.encode(clash, PATH), PATH).collect()]
+    found = [tuple(r) for r in bpe.digests(clash, PATH).collect()]
     assert sorted(found, key=repr) == sorted(wanted, key=repr)
-    assert bpe.digests(bpe.encode(no_docs, PATH), PATH).count() == 0
+    assert bpe.digests(no_docs, PATH).count() == 0
+    back = bpe.round_trip(awkward_docs, PATH).select("doc_id", "text").collect()
+    assert sorted(map(repr, back)) == sorted(repr(r) for r in awkward_docs.fillna("", ["text"]).select("doc_id", "text").collect())
+    assert len(bpe.frequent_words(awkward_docs, 3)) <= 3
 
 
 def test_bytes_that_are_no_text(spark, library):
