@@ -21,7 +21,7 @@ WORDS, PERCENT = 5, 80
 #: log2 of the counters that order shingles by frequency; postings of a range of shingles;
 #: lists up to this length are paired in full at once; hubs of a longer list; postings of a
 #: shingle in one task.
-COUNTERS, RANGE, PAIRED, HUBS, HOT = 20, 1_000_000, 6, 4, 200_000
+COUNTERS, RANGE, PAIRED, HUBS, HOT = 20, 400_000, 6, 4, 200_000
 #: Numbers of 64 bits in a set's parity map.
 MAP = 8
 
