@@ -219,11 +219,15 @@ def long_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- bronze and silver tables -------------------------------------------------
 
 
-def _checked(df: DataFrame, contract: Contract) -> DataFrame:
-    """Cast and check candidate rows; a run stores them before it splits them, a query need not."""
+def _staged(df: DataFrame, contract: Contract, name: str) -> DataFrame:
+    """Cast, check and store candidate rows, as a run does before it splits them.
+
+    Storing also cuts the plan: the rules of a wide table on top of its casts would be
+    one expression that the optimizer cannot handle in reasonable time.
+    """
     if quality.CAST_FAILED not in df.columns:
         df = quality.coerce(df, contract)
-    return quality.check_rows(df, contract)
+    return sinks.write_parquet(quality.check_rows(df, contract), scratch(df.sparkSession, name))
 
 
 def _bronze_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,14 +239,14 @@ def _bronze_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def bronze_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 110 columns of the markets that satisfy the contract."""
-    checked = _checked(_bronze_markets(spark, sf_dir), MARKETS)
-    return quality.split(checked, MARKETS, [MARKETS.primary_key])[0]
+    staged = _staged(_bronze_markets(spark, sf_dir), MARKETS, "bronze_markets")
+    return quality.split(staged, MARKETS, [MARKETS.primary_key])[0]
 
 
 @_query
 def bronze_markets_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = _checked(_bronze_markets(spark, sf_dir), MARKETS)
-    bad = quality.split(checked, MARKETS, [MARKETS.primary_key])[1]
+    staged = _staged(_bronze_markets(spark, sf_dir), MARKETS, "bronze_markets_quarantine")
+    bad = quality.split(staged, MARKETS, [MARKETS.primary_key])[1]
     return bad.select("market_id", F.array_join(quality.FAILED_RULES, ",").alias("rules"))
 
 
@@ -251,7 +255,7 @@ def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [f for f in landed_fields(EVENTS) if f.name != "liquidityAmm"]
     nested = [T.StructField(n, T.StringType()) for n in ("eventMetadata", "eventCreators")]
     candidate = build_events(events(spark, sf_dir, [*fields, *nested], empty=True), ORDER)
-    return quality.split(_checked(candidate, EVENTS), EVENTS, [EVENTS.primary_key])[0]
+    return quality.split(_staged(candidate, EVENTS, "bronze_events"), EVENTS, [EVENTS.primary_key])[0]
 
 
 def _series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -262,14 +266,14 @@ def _series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @_query
 def bronze_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = _checked(_series(spark, sf_dir)[0], SERIES)
-    return quality.split(checked, SERIES, [SERIES.primary_key])[0]
+    staged = _staged(_series(spark, sf_dir)[0], SERIES, "bronze_series")
+    return quality.split(staged, SERIES, [SERIES.primary_key])[0]
 
 
 @_query
 def event_series_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = _checked(_series(spark, sf_dir)[1], EVENT_SERIES_LINK)
-    return quality.split(checked, EVENT_SERIES_LINK, [EVENT_SERIES_LINK.primary_key])[0]
+    staged = _staged(_series(spark, sf_dir)[1], EVENT_SERIES_LINK, "event_series_link")
+    return quality.split(staged, EVENT_SERIES_LINK, [EVENT_SERIES_LINK.primary_key])[0]
 
 
 def _tags(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -279,27 +283,27 @@ def _tags(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @_query
 def bronze_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = _checked(_tags(spark, sf_dir)[0], TAGS)
-    return quality.split(checked, TAGS, [TAGS.primary_key])[0]
+    staged = _staged(_tags(spark, sf_dir)[0], TAGS, "bronze_tags")
+    return quality.split(staged, TAGS, [TAGS.primary_key])[0]
 
 
 @_query
 def event_tag_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = _checked(_tags(spark, sf_dir)[1], EVENT_TAG_LINK)
-    return quality.split(checked, EVENT_TAG_LINK, [EVENT_TAG_LINK.primary_key])[0]
+    staged = _staged(_tags(spark, sf_dir)[1], EVENT_TAG_LINK, "event_tag_link")
+    return quality.split(staged, EVENT_TAG_LINK, [EVENT_TAG_LINK.primary_key])[0]
 
 
 @_query
 def silver_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes that satisfy the contract: every row of a shared token is rejected."""
-    checked = _checked(outcomes_of(_kept_markets(spark, sf_dir)), OUTCOMES)
-    return quality.split(checked, OUTCOMES)[0]
+    staged = _staged(outcomes_of(_kept_markets(spark, sf_dir)), OUTCOMES, "silver_outcomes")
+    return quality.split(staged, OUTCOMES)[0]
 
 
 @_query
 def silver_outcomes_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = _checked(outcomes_of(_kept_markets(spark, sf_dir)), OUTCOMES)
-    return quality.rule_counts(quality.split(checked, OUTCOMES)[1])
+    staged = _staged(outcomes_of(_kept_markets(spark, sf_dir)), OUTCOMES, "silver_outcomes_violations")
+    return quality.rule_counts(quality.split(staged, OUTCOMES)[1])
 
 
 # -- feeds, pages and scans ---------------------------------------------------
@@ -588,16 +592,20 @@ def _dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.check_rows(quality.coerce(_dirty_lines(spark, sf_dir), _LINES), _LINES)
+
+
 @_query
 def dirty_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per broken rule: required, castable, least and largest length, key."""
-    return quality.rule_counts(quality.split(_checked(_dirty_lines(spark, sf_dir), _LINES), _LINES)[1])
+    return quality.rule_counts(quality.split(_checked_lines(spark, sf_dir), _LINES)[1])
 
 
 @_query
 def enforced_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the error of a failed run says: the broken rules with their rows."""
-    bad = quality.split(_checked(_dirty_lines(spark, sf_dir), _LINES), _LINES)[1]
+    bad = quality.split(_checked_lines(spark, sf_dir), _LINES)[1]
     try:
         quality.enforce(bad, _LINES)
     except quality.ContractViolation as e:
