@@ -228,30 +228,45 @@ def _merged(percent: int):
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs (a, b) of sets that reach the similarity.
 
-    Only documents that stand for a set of some pair are shingled again; a fixed-size
-    summary of their ids keeps the other texts out of the shuffle.  The lists a pair was
+    Only documents that stand for a set of some pair are shingled again; summaries of
+    bounded size tell them from the others, so no text is shuffled.  The lists a pair was
     not merged from are probed by binary search: a document is in a shingle's list if its
     own sorted set holds the shingle.
     """
     spark = docs.sparkSession
     needed = pairs.select(F.col("a").alias("one")).union(pairs.select("b")).distinct()
     needed = stored(needed.join(classes.select("one", "rep"), "one"), "needed")
+    count = needed.count()
+    bits = min(22, max(16, count.bit_length() + 5))
     batch_rows(spark, 10_000)
-    ids = lambda b, name: mix(b.column(name).to_numpy().astype(np.uint64), 21)
-    wanted = spark.sparkContext.broadcast(counted_buckets(needed.select("rep"), lambda b: ids(b, "rep"), COUNTERS) > 0)
+
+    def by_id(b: pa.RecordBatch, name: str) -> np.ndarray:
+        return mix(b.column(name).to_numpy().astype(np.uint64), 21)
+
+    def by_both(ids: np.ndarray, ones: np.ndarray) -> np.ndarray:
+        return mix(ids ^ ones.astype(np.uint64), 22)
+
+    few = needed.select("rep", "one").repartition(max(1, -(-count // 500_000)))
+    ids = counted_buckets(few, lambda b: by_id(b, "rep"), bits) > 0
+    both = counted_buckets(few, lambda b: by_both(by_id(b, "rep"), b.column("one").to_numpy()), bits) > 0
+    wanted = spark.sparkContext.broadcast((ids, both))  # 2^bits flags each
 
     def sets(b: pa.RecordBatch) -> pa.RecordBatch | None:
-        bucket = (ids(b, "doc_id") >> np.uint64(64 - COUNTERS)).astype(np.int64)
-        b = b.filter(pa.array(wanted.value[bucket]))
+        ids, both = wanted.value
+        shift = np.uint64(64 - bits)
+        b = b.filter(pa.array(ids[(by_id(b, "doc_id") >> shift).astype(np.int64)]))
         if not b.num_rows:
             return None
         found = shingle_sets(b.column("text"), size)
-        return batch(doc_id=b.column("doc_id"), key=np.array([signature(s)[0] for s in found], np.int64), data=pa.array([s.tobytes() for s in found], pa.binary()))
+        ones = np.array([signature(s)[0] for s in found], np.int64)
+        keep = np.flatnonzero(both[(by_both(by_id(b, "doc_id"), ones) >> shift).astype(np.int64)])
+        return batch(one=ones[keep], data=pa.array([found[k].tobytes() for k in keep], pa.binary()))
 
     batch_rows(spark, 256)
-    shingled = arrow_map(docs, sets, "doc_id long, key long, data binary")
-    chosen = shingled.join(needed, (F.col("doc_id") == F.col("rep")) & (F.col("key") == F.col("one")))
-    chosen = stored(chosen.select("one", "data").dropDuplicates(["one"]), "sets")
+    chosen = stored(arrow_map(docs, sets, "one long, data binary"), "sets")
+    rows, ones = chosen.agg(F.count("*"), F.countDistinct("one")).first()
+    if rows > ones:  # repeated rows, or copies that both flags let through by chance
+        chosen = stored(chosen.dropDuplicates(["one"]), "sets")
     left = chosen.select(F.col("one").alias("a"), F.col("data").alias("x"))
     right = chosen.select(F.col("one").alias("b"), F.col("data").alias("y"))
 
