@@ -166,7 +166,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int
     pieces = placed.where("size > 0").select("_row", "sid", "size", "before", "_block", F.explode(F.sequence(first, last)).alias("index"))
     start = F.greatest(F.col("index") * F.col("_block") - F.col("before"), F.lit(0))
     end = F.least((F.col("index") + 1) * F.col("_block") - F.col("before"), F.col("size"))
-    pieces = pieces.join(block_counts(spark, plan, seed), ["sid", "index"])
+    # the counts grow with the table, which no estimate of a mapped result shows: no broadcast
+    pieces = pieces.join(block_counts(spark, plan, seed).hint("merge"), ["sid", "index"])
     pieces = pieces.select("_row", start.alias("start"), end.alias("end"), "times")
     taken = pieces.groupBy("_row").agg(
         F.sum((F.col("end") - F.col("start")) * F.col("times")).alias("taken"),
