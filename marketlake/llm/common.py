@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -24,13 +26,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from `spark.checkpoint.dir`.
 
     Only a local session, whose executor is the driver, may go without: it gets a
-    temporary folder of its own, kept for the life of the session.
+    temporary folder of its own, deleted when the driver ends.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="llm-")
+        folder = tempfile.mkdtemp(prefix="llm-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = f"file://{folder}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
