@@ -234,6 +234,13 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: in
     own sorted set holds the shingle.
     """
     spark = docs.sparkSession
+    first = classes.select(F.col("one").alias("a"), F.col("n").alias("na"), *[F.col(m).alias(f"a{m}") for m in _MAPS])
+    second = classes.select(F.col("one").alias("b"), F.col("n").alias("nb"), *[F.col(m).alias(f"b{m}") for m in _MAPS])
+    both = F.col("na") + F.col("nb")
+    differ = reduce(add, [F.bit_count(F.col(f"a{m}").bitwiseXOR(F.col(f"b{m}"))) for m in _MAPS])
+    # |union| - |intersection| is at least the bits that differ
+    near = (100 + percent) * (both - differ) >= 2 * percent * both
+    pairs = stored(pairs.join(first, "a").join(second, "b").where(near).select("a", "b"), "near")
     needed = pairs.select(F.col("a").alias("one")).union(pairs.select("b")).distinct()
     needed = stored(needed.join(classes.select("one", "rep"), "one"), "needed")
     count = needed.count()
