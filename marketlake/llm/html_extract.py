@@ -17,8 +17,8 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S,
 )
-_MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_UNSHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 #: Elements whose content is not markup or not shown: skipped up to their end tag.
@@ -49,6 +49,21 @@ NEGATIVE = frozenset(
     " search share sharing shoutbox sidebar signup skip social sponsor sponsored subscribe subscription taboola tags teaser"
     " toolbar tooltip topbar trending warning widget widgets complementary contentinfo navigation dialog".split()
 )
+#: Names that stand for a container of boilerplate when a whole class, id or role is made of them and
+#: of FILLER; inside an article, and on elements that hold text themselves, only these count.
+CONTAINER = frozenset(
+    "ad ads adv advert adverts advertisement advertisements banner breadcrumb breadcrumbs comment comments consent cookie"
+    " cookies disqus gdpr menu menubar modal nav navbar newsletter outbrain pager pagination paywall popup promo promoted"
+    " related share sharing shoutbox sidebar signup social sponsor sponsored subscribe taboola teaser toolbar topbar trending"
+    " widget widgets".split()
+)
+FILLER = frozenset(
+    "area articles bar block bottom box btn button buttons container content form group icons inner item items left link links"
+    " list main notice outer overlay panel popular post posts right row section site slot stories tools top unit wrap wrapper".split()
+)
+ROLES = frozenset("banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
+TEXT = frozenset("article main h1 h2 h3 h4 h5 h6 p li dt dd td th pre blockquote figure figcaption caption address".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 POSITIVE = frozenset("article body content entry main post story text prose".split())
 CLASS_COST, CLASS_GAIN = -7.0, 1.0
 LINK_COST, LONG_GAIN, SHORT_COST, OUTSIDE_COST = -4.0, 1.0, -1.0, -2.0
@@ -57,19 +72,48 @@ LONG_WORDS = 12
 ADJACENT, SIBLING = 0.4, 0.6
 
 
+def _attributes(text: str) -> dict[str, str]:
+    """The first value of each attribute, by lower-cased name; a bare name has an empty value."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), "".join(values))
+    return out
+
+
+def _names(value: str) -> set[str]:
+    return {w.lower() for w in _WORDS.findall(value)}
+
+
+def _container(tag: str, given: dict[str, str]) -> bool:
+    """Whether a class, id or role as a whole names a container of boilerplate."""
+    if given.get("role", "").lower() in ROLES:
+        return True
+    # a heading's id is made of its title
+    tokens = given.get("class", "").split() + (given.get("id", "").split() if tag not in HEADINGS else [])
+    return any((names := _names(t)) & CONTAINER and names <= CONTAINER | FILLER for t in tokens)
+
+
+def _hidden(given: dict[str, str]) -> bool:
+    return (
+        given.get("hidden", "false").lower() not in ("false", "until-found")
+        or given.get("aria-hidden", "").strip().lower() == "true"
+        or _UNSHOWN.search(given.get("style", "")) is not None
+    )
+
+
 class _Element:
-    __slots__ = ("tag", "parent", "cost", "marked", "wraps", "chars")
+    __slots__ = ("tag", "parent", "cost", "marked", "named", "wraps", "chars")
 
     def __init__(self, tag, parent, attributes):
         self.tag, self.parent, self.wraps, self.chars = tag, parent, False, 0
-        self.cost, self.marked = ELEMENT.get(tag, 0.0), 0.0
+        self.cost, self.marked, self.named = ELEMENT.get(tag, 0.0), 0.0, 0.0  # `named` holds inside an article
         if attributes and tag not in ("html", "body"):
-            names = {w.lower() for m in _MARK.findall(attributes) for w in _WORDS.findall(m[0] or m[1] or m[2])}
-            if names & NEGATIVE:
-                self.marked = CLASS_COST
-            elif names & POSITIVE:
-                self.marked = CLASS_GAIN
-            if _HIDDEN.search(attributes):
+            given = _attributes(attributes)
+            names = {w for a in ("class", "id", "role") for w in _names(given.get(a, ""))}
+            gain = CLASS_GAIN if names & POSITIVE else 0.0
+            self.named = CLASS_COST if _container(tag, given) else gain
+            self.marked = self.named if tag in TEXT else CLASS_COST if names & NEGATIVE else gain
+            if _hidden(given):
                 self.cost -= 20.0
 
 
@@ -173,7 +217,8 @@ def scores(found: list[tuple[str, _Element, float]]) -> list[float]:
         if id(element) not in known:
             total, inside = inherited(element.parent) if element.parent is not None else (0.0, False)
             total += element.cost if not (element.wraps and element.cost < 0) else 0.0
-            total += element.marked if not (element.wraps and element.marked < 0) else 0.0
+            marked = element.named if inside else element.marked
+            total += marked if not (element.wraps and marked < 0) else 0.0
             known[id(element)] = (total, inside or element.tag in ("article", "main"))
         return known[id(element)]
 

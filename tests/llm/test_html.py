@@ -69,3 +69,37 @@ def test_rows(spark, rows):
 
 def test_deep_page():
     assert h.main_text("<div>" * 30_000 + "<article><p>text of some words") == "text of some words"
+
+
+ARTICLE = "<nav><a href=/>Home</a></nav><article><h1>Title</h1>{}<p>The last words.</p></article><footer>(c)</footer>"
+
+
+@pytest.mark.parametrize(
+    "piece",
+    [
+        '<div class="overflow-hidden"><p>Kept.</p></div>', '<div class="sm-hidden md:block">Kept.</div>',
+        '<section title="the hidden city"><p>Kept.</p></section>', '<div data-note="display:none">Kept.</div>',
+        '<div hidden="until-found">Kept.</div>', '<h2 id="related-work">Kept.</h2>', '<p class="warning">Kept.</p>',
+        '<section id="related-work"><p>Kept.</p></section>', '<h2 id="comments">Kept.</h2>', '<div class="notice">Kept.</div>',
+        '<div class="author-note"><p>Kept.</p></div>', '<p class="text-header">Kept.</p>',
+    ],
+)
+def test_names_and_values_that_hide_nothing(piece):
+    assert h.main_text(ARTICLE.format(piece)) == "Title\nKept.\nThe last words."
+
+
+@pytest.mark.parametrize(
+    "piece",
+    [
+        "<div hidden>Gone.</div>", '<div hidden="">Gone.</div>', "<div class=x HIDDEN>Gone.</div>", '<div aria-hidden="true">Gone.</div>',
+        '<div style="color:red; display : none">Gone.</div>', '<div class="ad">Gone.</div>', '<div class="text-center related-posts">Gone.</div>',
+        '<div id="shareButtons">Gone.</div>', '<div role="navigation">Gone.</div>', '<p class="ad">Gone.</p>', '<section id="comments">Gone.</section>',
+    ],
+)
+def test_hidden_elements_and_boilerplate_containers(piece):
+    assert h.main_text(ARTICLE.format(piece)) == "Title\nThe last words."
+
+
+def test_names_of_the_article_itself():
+    for name in ("overflow-hidden", "post category-social", "comments-open"):
+        assert h.main_text(f'<article class="{name}"><p>Some words.</p></article>') == "Some words."
