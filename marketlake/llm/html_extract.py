@@ -66,8 +66,9 @@ TEXT = frozenset("article main h1 h2 h3 h4 h5 h6 p li dt dd td th pre blockquote
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 POSITIVE = frozenset("article body content entry main post story text prose".split())
 CLASS_COST, CLASS_GAIN = -7.0, 1.0
-LINK_COST, LONG_GAIN, SHORT_COST, OUTSIDE_COST = -4.0, 1.0, -1.0, -2.0
-LONG_WORDS = 12
+LINK_COST, LONG_GAIN, SHORT_GAIN, SHORT_COST, OUTSIDE_COST = -4.0, 1.0, 0.9, -1.0, -2.0
+#: Words of a long block, and the share inside links from which a short one speaks for a menu.
+LONG_WORDS, LINKED = 12, 0.25
 #: Capacity between neighbours in page order, and more where they share their parent element.
 ADJACENT, SIBLING = 0.4, 0.6
 
@@ -222,6 +223,7 @@ def scores(found: list[tuple[str, _Element, float]]) -> list[float]:
             known[id(element)] = (total, inside or element.tag in ("article", "main"))
         return known[id(element)]
 
+    several = len(found) > 1 or any(" " in text for text, _, _ in found)  # a page of one bare word has no main text
     out = []
     for text, element, linked in found:
         chain, up = [], element
@@ -232,7 +234,10 @@ def scores(found: list[tuple[str, _Element, float]]) -> list[float]:
             inherited(up)
         total, inside = known[id(element)]
         total += LINK_COST * linked
-        total += LONG_GAIN if text.count(" ") + 1 >= LONG_WORDS else 0.0 if inside else SHORT_COST
+        if text.count(" ") + 1 >= LONG_WORDS:
+            total += LONG_GAIN
+        elif not inside:  # shortness alone says nothing of a block, on pages that name no body
+            total += SHORT_COST if bodies or linked > LINKED or total < LINK_COST * linked else SHORT_GAIN if several else 0.0
         if bodies and not inside:
             total += OUTSIDE_COST
         out.append(total)

@@ -103,3 +103,20 @@ def test_hidden_elements_and_boilerplate_containers(piece):
 def test_names_of_the_article_itself():
     for name in ("overflow-hidden", "post category-social", "comments-open"):
         assert h.main_text(f'<article class="{name}"><p>Some words.</p></article>') == "Some words."
+
+
+NEUTRAL = {
+    "paragraphs": ("<p>It rained.</p><p>Nobody came.</p><p>The lamp went out.</p>", "It rained.\nNobody came.\nThe lamp went out."),
+    "dialogue": ("<div>Who is it?</div><div>Me.</div><div>Come in, then.</div>", "Who is it?\nMe.\nCome in, then."),
+    "verse": ("<h2>Song</h2><p>Down the long road<br>the wind goes<p>and home again", "Song\nDown the long road the wind goes\nand home again"),
+    "list": ("<ul><li>two eggs</li><li>flour</li><li>milk</li></ul>", "two eggs\nflour\nmilk"),
+    "one": ("<p>Only one paragraph.</p>", "Only one paragraph."),
+}
+
+
+@pytest.mark.parametrize("name", NEUTRAL)
+def test_short_blocks_without_article_or_main(name):
+    html, text = NEUTRAL[name]
+    menu = "<nav><a href=a>Home</a></nav><ul><li><a href=b>News</a></li><li><a href=c>About us</a></li></ul>"
+    assert h.main_text(html) == text
+    assert h.main_text(f"{menu}{html}<div class=sidebar>Buy this</div><footer>(c) us</footer>") == text
