@@ -1,4 +1,4 @@
-"""Language-model scoring: bigram tries with Elias-Fano levels and quantised probabilities."""
+"""Language-model scoring: n-gram tries with Elias-Fano levels and quantised probabilities."""
 
 from __future__ import annotations
 
@@ -232,58 +232,99 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _BLOCK)
 
 
-class _Block:
-    """A block's tokens with the order in which its words and pairs are asked of the shards."""
+def _gram_hashes(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(mix(context, 5) ^ word, 6)
 
-    def __init__(self, row: dict, shards: int, hot: np.ndarray):
-        self.ids, self.held, self.size = row["doc_id"], np.array(row["held"], bool), np.array(row["size"], np.int64)
-        self.token = _numbers(row["tokens"], 4).astype(np.int64)
-        self.hashes = np.frombuffer(row["hashes"], np.uint64)
-        self.counts = _numbers(row["counts"], 4)
-        self.word_shard = (mix(self.hashes, 1) % np.uint64(shards)).astype(np.int64)
-        self.word_order = np.argsort(self.word_shard, kind="stable")
-        end = int(np.flatnonzero(self.hashes == END)[0])
-        before = np.roll(self.token, 1)
-        before[np.cumsum(self.size) - self.size] = end  # a text begins after an end
-        key = before * len(self.hashes) + self.token
-        self.pairs, self.place = np.unique(key, return_inverse=True)
-        self.first, self.second = np.divmod(self.pairs, len(self.hashes))
-        spread = np.isin(self.hashes, hot)
+
+class _Level:
+    """The n-grams of one length in a block, and the order in which the shards are asked for them.
+
+    Contexts are renumbered by hash, so that the numbers sent to a shard ascend.
+    """
+
+    def __init__(self, context: np.ndarray, token: np.ndarray, valid: np.ndarray, own: np.ndarray, words: np.ndarray, shards: int, hot: np.ndarray):
+        self.shards, self.lower = shards, np.argsort(own)  # the context's number among the n-grams one shorter
+        rank = np.empty(len(own), np.int64)
+        rank[self.lower] = np.arange(len(own))
+        self.contexts = own[self.lower]
+        where = np.flatnonzero(valid)
+        self.grams, inverse = np.unique(rank[context[where]] * len(words) + token[where], return_inverse=True)
+        self.place = np.full(len(token), -1, np.int32)
+        self.place[where] = inverse
+        self.at = np.zeros(len(self.grams), np.int32)  # a place of each n-gram
+        self.at[inverse] = where
+        self.first, self.second = (x.astype(np.int32) for x in np.divmod(self.grams, len(words)))
+        spread = np.isin(self.contexts, hot)
         self.everywhere = np.intersect1d(np.flatnonzero(spread), self.first)
-        spread = spread[self.first]
-        one = self.hashes[self.first]
-        one = np.where(spread, mix(one ^ self.hashes[self.second], 2), one)
-        self.pair_shard = (mix(one, 1) % np.uint64(shards)).astype(np.int64)
-        self.pair_order = np.argsort(self.pair_shard, kind="stable")
-
-    def of_shards(self, shards: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(shard, contexts, pairs) asked of each shard; of the spread contexts every shard has a part."""
-        ends = np.searchsorted(self.pair_shard[self.pair_order], np.arange(shards + 1))
-        for s in range(shards):
-            at = self.pair_order[ends[s] : ends[s + 1]]
+        one = self.contexts[self.first]
+        self.hashes = _gram_hashes(one, words[self.second])
+        one = np.where(spread[self.first], mix(one ^ words[self.second], 2), one)
+        self.shard = (mix(one, 1) % np.uint64(shards)).astype(np.int64)
+        self.order = np.argsort(self.shard, kind="stable")
+
+    def of_shards(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(shard, contexts, n-grams) asked of each shard; of the spread contexts every shard has a part."""
+        ends = np.searchsorted(self.shard[self.order], np.arange(self.shards + 1))
+        for s in range(self.shards):
+            at = self.order[ends[s] : ends[s + 1]]
             contexts = np.union1d(self.first[at], self.everywhere)
             if len(contexts):
                 yield s, contexts, at
 
-    def questions(self, block: int, shards: int) -> pa.RecordBatch:
+
+def _before(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A block's tokens, its words' hashes, each token's place in its text, the token before it."""
+    token, size = _numbers(row["tokens"], 4).astype(np.int64), np.array(row["size"], np.int64)
+    hashes = np.frombuffer(row["hashes"], np.uint64)
+    starts = np.cumsum(size) - size
+    before = np.roll(token, 1)
+    before[starts] = int(np.flatnonzero(hashes == END)[0])  # a text begins after an end
+    return token, hashes, np.arange(len(token)) - np.repeat(starts, size), before
+
+
+class _Block:
+    """A block's tokens with the order in which its words and n-grams are asked of the shards."""
+
+    def __init__(self, row: dict, shards: list[int], hot: np.ndarray):
+        self.ids, self.held, self.size = row["doc_id"], np.array(row["held"], bool), np.array(row["size"], np.int64)
+        self.token, self.hashes, place, context = _before(row)
+        self.counts = _numbers(row["counts"], 4)
+        self.word_shard = (mix(self.hashes, 1) % np.uint64(shards[0])).astype(np.int64)
+        self.word_order = np.argsort(self.word_shard, kind="stable")
+        self.start, self.context, self.shards, self.hot = place, context, shards, hot
+
+    def levels(self) -> Iterator[tuple[int, _Level]]:
+        """The n-grams of each length, made one after another: a caller holds those of one length."""
+        context, own = self.context, self.hashes
+        for n, many in enumerate(self.shards, 2):  # a text's first words have no context longer than its start
+            level = _Level(context, self.token, self.start >= n - 2, own, self.hashes, many, self.hot)
+            yield n, level
+            context, own = np.roll(level.place, 1), level.hashes
+            del level
+
+    def questions(self, block: int) -> Iterator[pa.RecordBatch]:
         train = np.repeat(~self.held, self.size)
-        seen = np.bincount(self.place[train], minlength=len(self.pairs))
         keys = self.hashes >> np.uint64(64 - KEY)
         shard, kind, data = [], [], []
-        w_ends = np.searchsorted(self.word_shard[self.word_order], np.arange(shards + 1))
-        for s in range(shards):
+        w_ends = np.searchsorted(self.word_shard[self.word_order], np.arange(self.shards[0] + 1))
+        for s in range(self.shards[0]):
             at = self.word_order[w_ends[s] : w_ends[s + 1]]
             if len(at):
                 shard.append(s)
                 kind.append("word")
                 data.append(self.hashes[at].tobytes() + _planes(self.counts[at], 4))
-        for s, contexts, at in self.of_shards(shards):  # a context once, with the number of its pairs
-            many = np.bincount(np.searchsorted(contexts, self.first[at]), minlength=len(contexts))
-            shard.append(s)
-            kind.append("pair")
-            head = np.array([len(contexts), len(at)], np.int64).tobytes()
-            data.append(b"".join([head, _planes(keys[contexts], 5), _planes(many, 4), _planes(keys[self.second[at]], 5), _planes(seen[at], 4)]))
-        return _asked(shard, block, kind, data)
+        yield _asked(shard, block, kind, data)
+        for n, level in self.levels():
+            seen = np.bincount(level.place[train & (level.place >= 0)], minlength=len(level.grams))
+            own = level.contexts >> np.uint64(64 - KEY)
+            shard, data = [], []
+            for s, contexts, at in level.of_shards():  # a context once, with the number of its n-grams
+                many = np.bincount(np.searchsorted(contexts, level.first[at]), minlength=len(contexts))
+                shard.append(s)
+                head = np.array([len(contexts), len(at)], np.int64).tobytes()
+                data.append(b"".join([head, _planes(own[contexts], 5), _planes(many, 4), _planes(keys[level.second[at]], 5), _planes(seen[at], 4)]))
+            del level
+            yield _asked(shard, block, [f"gram{n}"] * len(shard), data)
 
 
 _ASKED = "shard int, block long, kind string, data binary"
@@ -310,7 +351,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _asked([shard], [-1], ["size"], [np.int64((total > 0).sum()).tobytes()])
         yield _asked([shard] * len(blocks), blocks, ["word"] * len(blocks), answers)
 
-    def pair_counts(shard, blocks, data):
+    def gram_counts(kind, shard, blocks, data):
         first, second, seen, contexts, parts = [], [], [], [], []
         for d in data:
             n, m = np.frombuffer(d, np.int64, 2)
@@ -332,7 +373,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie.mapped(memory)
         codes = np.split(trie.counts(first, second), np.cumsum(parts)[:-1])
         yield _asked(
-            [shard] * len(blocks), blocks, ["pair"] * len(blocks),
+            [shard] * len(blocks), blocks, [kind] * len(blocks),
             [_planes(trie.branching(c), 4) + _planes(x, 2) for c, x in zip(contexts, codes, strict=True)],
         )
 
@@ -340,7 +381,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def done():
         if now:
-            yield from (word_counts if now[1] == "word" else pair_counts)(now[0], blocks, data)
+            yield from word_counts(now[0], blocks, data) if now[1] == "word" else gram_counts(now[1], now[0], blocks, data)
 
     for b in batches:
         columns = (b.column(c).to_pylist() for c in ("shard", "block", "kind"))
@@ -353,7 +394,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from done()
 
 
-def score(docs: DataFrame, discount: float = DISCOUNT) -> DataFrame:
+def score(docs: DataFrame, discount: float = DISCOUNT, order: int = 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for (doc_id, text, held).
 
     Rows that aren't held out are learned from; all are scored over their whole texts.
@@ -361,14 +402,17 @@ def score(docs: DataFrame, discount: float = DISCOUNT) -> DataFrame:
     base is additive smoothing of word counts, p1 = (c + 0.5) / (N + 0.5 (V + 1)).  The model
     is absolute discounting, p = (max(c(uv) - d, 0) + d T(u) p1(v)) / c(u), where T(u) is the
     number of different successors of u; after a word never learned it is p1.  The first
-    word follows an end.  Pair counts come from the tries, exact to 4096 and within 1/500
-    beyond.  Words are told apart by 64-bit hashes, in pairs by 40 bits.  A null held flag
-    counts as false.  Repeated rows count each time.  An empty table gives no rows.
+    word follows an end.  With an `order` above 2 the same rule goes on: the context is the
+    n-gram before a word, as far as its text has one, and what p1 is to a pair the
+    probability with the context's first word left out is to a longer n-gram.  Counts of
+    n-grams come from the tries, exact to 4096 and within 1/500 beyond.  Words are told apart
+    by 64-bit hashes, words and contexts of a trie by 40 bits.  A null held flag counts as
+    false.  Repeated rows count each time.  An empty table gives no rows.
 
     Blocks of tokens are stored once.  Each asks the shards for its distinct words and
-    pairs; a shard sums the counts of all blocks, builds its trie and answers from it; the
+    n-grams; a shard sums the counts of all blocks, builds its trie and answers from it; the
     answers meet their block again.  Everything is a shuffle of packed arrays of bounded
-    size; the successors of the few most frequent words are dealt over all shards.
+    size; the successors of the few most frequent contexts are dealt over all shards.
     """
     spark = docs.sparkSession
     batch_rows(spark, 256)
@@ -384,24 +428,39 @@ def score(docs: DataFrame, discount: float = DISCOUNT) -> DataFrame:
     total, train = blocks.select(lengths.alias("n"), kept.alias("t")).agg(F.sum("n"), F.sum("t")).first()
     if not total:
         return spark.createDataFrame([], _SCORES)
-    shards = max(1, total * 2 // 3 // SHARD + 1)
+    # most pairs of a block come several times, longer n-grams seldom
+    shards = [total * 2 // 3 // SHARD + 1] + [total * 3 // 2 // SHARD + 1] * (order - 2)
 
     def frequent(batches):
         for b in batches:
             for row in b.to_pylist():
-                token, hashes = _numbers(row["tokens"], 4).astype(np.int64), np.frombuffer(row["hashes"], np.uint64)
-                n = np.bincount(token, minlength=len(hashes))
-                some = n > HOT / 2 * len(token)
-                yield batch(word=hashes[some].astype(np.int64), n=n[some])
-
-    # words of at least the share HOT of all tokens: 1 / HOT of them at most
-    tally = blocks.select("tokens", "hashes").mapInArrow(frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+                token, hashes, place, context = _before(row)
+                own, number, valid = hashes, token, np.ones(len(token), bool)
+                for n in range(1, order):  # a context is no more frequent than its parts
+                    counts = np.bincount(number[valid], minlength=len(own))
+                    some = counts > HOT / 2 * len(token)
+                    yield batch(word=own[some].astype(np.int64), n=counts[some])
+                    if n == order - 1 or not some.any():
+                        break
+                    if n == 1:
+                        words = some
+                        valid = some[context] & some[token]
+                    else:
+                        valid &= some[np.where(valid, number, 0)]
+                        context, valid = np.roll(number, 1), np.roll(valid, 1) & words[token] & (place >= n - 1)
+                    grams, inverse = np.unique(context[valid] * len(hashes) + token[valid], return_inverse=True)
+                    own = _gram_hashes(own[grams // len(hashes)], hashes[grams % len(hashes)])
+                    number = np.zeros(len(token), np.int64)
+                    number[valid] = inverse
+
+    # contexts of at least the share HOT of all tokens: 1 / HOT of each length at most
+    tally = blocks.select("tokens", "hashes", "size").mapInArrow(frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     hot = np.array([r["word"] for r in tally.where(F.col("n") >= HOT / 2 * total).select("word").collect()], np.int64).astype(np.uint64)
 
     def asking(batches):
         for b in batches:
             for row in b.to_pylist():
-                yield _Block(row, shards, hot).questions(row["block"], shards)
+                yield from _Block(row, shards, hot).questions(row["block"])
 
     asked = blocks.mapInArrow(asking, _ASKED).repartition("shard", "kind").sortWithinPartitions("shard", "kind", "block")
     answer_path = new_path(spark, "answers")
@@ -417,12 +476,12 @@ def score(docs: DataFrame, discount: float = DISCOUNT) -> DataFrame:
             for row in b.to_pylist():
                 if row["kind"] == "":
                     if block is not None:
-                        yield _scored(_Block(block, shards, hot), found, shards, train, vocabulary, discount)
-                    block, found = row, {"word": [], "pair": []}
+                        yield _scored(_Block(block, shards, hot), found, train, vocabulary, discount)
+                    block, found = row, {"word": [], **{f"gram{n}": [] for n in range(2, order + 1)}}
                 else:
                     found[row["kind"]].append(row["data"])
         if block is not None:
-            yield _scored(_Block(block, shards, hot), found, shards, train, vocabulary, discount)
+            yield _scored(_Block(block, shards, hot), found, train, vocabulary, discount)
 
     nothing = [F.lit(None).cast(t).alias(n) for n, t in (("doc_id", "array<long>"), ("held", "array<boolean>"), ("size", "array<int>"), ("tokens", "binary"), ("hashes", "binary"), ("counts", "binary"))]
     own = blocks.select("block", F.lit("").alias("kind"), F.lit(-1).alias("shard"), "doc_id", "held", "size", "tokens", "hashes", "counts", F.lit(None).cast("binary").alias("data"))
@@ -439,22 +498,28 @@ def _sizes(batches):
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _scored(block: _Block, found: dict, shards: int, train: int, vocabulary: int, discount: float) -> pa.RecordBatch:
+def _scored(block: _Block, found: dict, train: int, vocabulary: int, discount: float) -> pa.RecordBatch:
     """Scores of a block's texts from the shards' answers, which come by ascending shard."""
     count = np.zeros(len(block.hashes))
     count[block.word_order] = np.concatenate([np.frombuffer(d, np.uint64) for d in found["word"]]).astype(np.float64)
-    pair, branching = np.zeros(len(block.pairs)), np.zeros(len(block.hashes))
-    for data, (_, contexts, at) in zip(found["pair"], block.of_shards(shards), strict=True):
-        branching[contexts] += _numbers(data[: len(contexts) * 4], 4)
-        pair[at] = CODES[_numbers(data[len(contexts) * 4 :], 2).astype(np.int64)]
     p1 = (count + 0.5) / (train + 0.5 * (vocabulary + 1))
-    seen = np.maximum(count, 1)[block.first]
-    rest = np.where(count > 0, discount * branching, 1.0)[block.first]
-    p = (np.maximum(pair - discount, 0) + rest * p1[block.second]) / seen
+    n_known = (count[block.token] > 0).astype(np.int64)
+    shorter, p = count, p1[block.token]  # counts of the n-grams one shorter, probability of each token
+    for n, level in block.levels():
+        gram, branching = np.zeros(len(level.grams)), np.zeros(len(level.contexts))
+        for data, (_, contexts, at) in zip(found[f"gram{n}"], level.of_shards(), strict=True):
+            branching[contexts] += _numbers(data[: len(contexts) * 4], 4)
+            gram[at] = CODES[_numbers(data[len(contexts) * 4 :], 2).astype(np.int64)]
+        context = shorter[level.lower][level.first]
+        rest = np.where(context > 0, discount * branching[level.first], 1.0)
+        own = (np.maximum(gram - discount, 0) + rest * p[level.at]) / np.maximum(context, 1)
+        p = np.where(level.place >= 0, np.minimum(own, 1.0)[level.place], p) if len(own) else p
+        shorter = gram
+        del level
     starts = np.cumsum(block.size) - block.size
     sums = lambda x: np.add.reduceat(x, starts)
     return batch(
         doc_id=pa.array(block.ids, pa.int64()), held_out=block.held, n_tokens=block.size,
-        n_known=sums((count[block.token] > 0).astype(np.int64)), train_tokens=np.full(len(block.size), train, np.int64),
-        base_score=sums(np.log10(p1)[block.token]), score=sums(np.log10(np.minimum(p, 1.0))[block.place]),
+        n_known=sums(n_known), train_tokens=np.full(len(block.size), train, np.int64),
+        base_score=sums(np.log10(p1)[block.token]), score=sums(np.log10(p)),
     )

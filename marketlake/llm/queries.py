@@ -50,9 +50,9 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unigram and model scores of every document; a fifth, by checksum of the id, is held out."""
+    """Unigram and trigram scores of every document; a fifth, by checksum of the id, is held out."""
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
-    return ngram_lm.score(read(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held")))
+    return ngram_lm.score(read(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held")), order=3)
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,3 +96,48 @@ def test_awkward_rows(spark, awkward_docs, no_docs):
     assert lm.score(no_docs.withColumn("held", F.lit(True))).count() == 0
     unlearned = lm.score(docs.withColumn("held", F.lit(True))).select("train_tokens", "n_known").distinct().collect()
     assert [tuple(r) for r in unlearned] == [(0, 0)]
+
+
+def expected_of_order(rows, order, d=lm.DISCOUNT):
+    texts = [[None, *re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOWER)), None] for _, t, _ in rows]
+    grams = collections.Counter()
+    for w, (_, _, held) in zip(texts, rows, strict=True):
+        if not held:
+            grams.update(tuple(w[i - n + 1 : i + 1]) for i in range(1, len(w)) for n in range(1, order + 1) if n <= i + 1)
+    total, v = sum(c for g, c in grams.items() if len(g) == 1), sum(len(g) == 1 for g in grams)
+    after = collections.Counter(g[:-1] for g in grams)
+
+    def p(g):
+        if len(g) == 1:
+            return (grams[g] + 0.5) / (total + 0.5 * (v + 1))
+        c = grams[g[:-1]]
+        return (max(grams[g] - d, 0) + d * after[g[:-1]] * p(g[1:])) / c if c else p(g[1:])
+
+    return {i: sum(math.log10(p(tuple(w[max(0, k - order + 1) : k + 1]))) for k in range(1, len(w))) for (i, _, _), w in zip(rows, texts, strict=True)}
+
+
+@pytest.mark.parametrize(("order", "block", "shard", "hot"), [(3, 1_500_000, 1_500_000, 0.0005), (3, 300, 200, 0.004), (4, 300, 200, 0.004)])
+def test_longer_contexts_equal_brute_force(spark, sf_dir, monkeypatch, order, block, shard, hot):
+    for name, value in (("BLOCK", block), ("SHARD", shard), ("HOT", hot)):
+        monkeypatch.setattr(lm, name, value)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", (F.col("doc_id") % 4 == 1).alias("held")).where("doc_id < 40")
+    rows = [tuple(r) for r in docs.collect()]
+    rows += [(1000, "the end the end the end", False), (1001, "the end the", True), (1002, None, False)]
+    wanted = expected_of_order(rows, order)
+    found = {r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame(rows, docs.schema), order=order).collect()}
+    assert found == pytest.approx(wanted, rel=1e-3)
+
+
+def test_the_query_scores_with_trigrams(spark, sf_dir):
+    from marketlake.llm.queries import op4_lm_scoring
+
+    query, three, two = (
+        {r["doc_id"]: r["score"] for r in df.collect()}
+        for df in (op4_lm_scoring(spark, sf_dir), *(lm.score(_held(spark, sf_dir), order=n) for n in (3, 2)))
+    )
+    assert query == pytest.approx(three) and any(abs(three[i] - two[i]) > 1 for i in three)
+
+
+def _held(spark, sf_dir):
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", held.alias("held"))
