@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import bpe, jaccard, mixing, quality
@@ -19,17 +19,18 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group that links of similarity 0.8 connect.
+    """One row, that of the smallest id, of each group that links of similarity 0.8 connect.
 
-    Rows that share an id keep the first by text; rows without an id stay, equal ones once.
+    Rows are told apart by a number of their own, so rows that share an id, and rows without
+    one, are compared like others.  Among equal ids the least hashes decide; null ids come last.
     """
-    docs = docs.select(*COLUMNS)
-    found = jaccard.near_duplicates(docs.select("doc_id", "text"))
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars")
-    named = named.withColumn("_n", F.row_number().over(first)).where("_n = 1")
-    return named.select(*COLUMNS).union(docs.where("doc_id is null").distinct())
+    rows = stored(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = jaccard.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias("_row"), "component_id")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.xxhash64(*COLUMNS), "_row")
+    ranked = rows.select("_row", first.alias("first")).join(found, "_row")
+    kept = ranked.groupBy("component_id").agg(F.min("first")["_row"].alias("_row")).select("_row")
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

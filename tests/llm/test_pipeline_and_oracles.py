@@ -68,3 +68,14 @@ def test_components_of_any_shape(spark, rows):
     found = rows(connected_components(spark.createDataFrame(edges, "a long, b long")))
     wanted = [(i, 0) for i in range(n + 1)] + [(1000, 1000)] + [(2000 + i, 1000) for i in range(n)]
     assert found == sorted(wanted, key=repr)
+
+
+def test_near_duplicates_go_by_row(spark, sf_dir, docs_schema):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (2, b), (2, a + " more"), (2, c), (None, b + " more"), (None, "z " + c), (None, "no copy of any other row"), (3, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs_schema)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).select("doc_id", "text").collect()
+    wanted = [(1, a), (2, b), (2, c), (None, "no copy of any other row"), (3, "")]
+    assert sorted(map(tuple, kept), key=repr) == sorted(wanted, key=repr)
+    nameless = docs.where("text <> ''").withColumn("doc_id", F.lit(None).cast("long"))
+    assert corpus_pipeline.drop_near_duplicates(spark, nameless, sf_dir).count() == 4
