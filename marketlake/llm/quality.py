@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, batch, batch_rows
+from .common import arrow_map, batch, batch_rows, word_hashes, words
 
 #: Labelled rows learned from at most, latent dimensions, neighbours that vote, the power of
 #: a similarity in its vote, hashed pair terms, and the score from which a document is accepted.
@@ -30,9 +32,12 @@ def _byte_classes() -> np.ndarray:
 
 CLASSES = _byte_classes()
 RUNS = 3 * (int(CLASSES.max()) + 1)
-#: Terms: runs of a class by length (1, 2 or 3, more), pairs of runs (hashed), word lengths,
-#: words equal to the one before, words.
-TERMS = RUNS + PAIRS + 24 + 2
+#: Columns of hashed words, and their weight: there are far more of them than columns of shape.
+WORD_TERMS, WORD_WEIGHT = 1024, 0.2
+#: Terms: lower-cased words (hashed) and, as further columns, the shape of the text: runs of a class by
+#: length (1, 2 or 3, more), pairs of runs (hashed), word lengths, words equal to the one before, words.
+SHAPE = WORD_TERMS + RUNS + PAIRS
+TERMS = SHAPE + 24 + 2
 
 
 def term_counts(texts: pa.Array) -> np.ndarray:
@@ -55,10 +60,15 @@ def term_counts(texts: pa.Array) -> np.ndarray:
     size = np.diff(np.append(start, len(data)))
     owner = np.searchsorted(offsets, start, "right") - 1
     run = kind[start].astype(np.int64) * 3 + np.minimum(size, 4) // 2
-    out[:, :RUNS] = np.bincount(owner * RUNS + run, minlength=n * RUNS).reshape(n, RUNS)
+    flat, ends = words(texts)
+    column = (word_hashes(flat) % np.uint64(WORD_TERMS)).astype(np.int64)
+    column += np.repeat(np.arange(n), np.diff(ends)) * WORD_TERMS
+    out[:, :WORD_TERMS] = np.bincount(column, minlength=n * WORD_TERMS).reshape(n, WORD_TERMS)
+    at = WORD_TERMS
+    out[:, at : at + RUNS] = np.bincount(owner * RUNS + run, minlength=n * RUNS).reshape(n, RUNS)
     same = owner[1:] == owner[:-1]
     pair = ((run[:-1] * RUNS + run[1:]) * 2654435761 >> 12) % PAIRS
-    out[:, RUNS : RUNS + PAIRS] = np.bincount((owner[:-1] * PAIRS + pair)[same], minlength=n * PAIRS).reshape(n, PAIRS)
+    out[:, at + RUNS : SHAPE] = np.bincount((owner[:-1] * PAIRS + pair)[same], minlength=n * PAIRS).reshape(n, PAIRS)
     # words: stretches without blanks or line ends
     blank = (kind == 3) | (kind == 4)
     begins = ~blank
@@ -72,7 +82,7 @@ def term_counts(texts: pa.Array) -> np.ndarray:
         # up to the next blank: the blanks before the next word are not part of it
         gaps = np.add.reduceat(blank.astype(np.int64), first)
         long = stop - first - np.minimum(gaps, stop - first)
-        at = RUNS + PAIRS
+        at = SHAPE
         out[:, at : at + 24] = np.bincount(of * 24 + np.minimum(long, 24) - 1, minlength=n * 24).reshape(n, 24)
         # words are told apart by length, first and last eight bytes
         pad = np.concatenate([data, np.zeros(8, np.uint8)])
@@ -87,8 +97,10 @@ def term_counts(texts: pa.Array) -> np.ndarray:
 
 
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.sqrt(counts) * idf
-    return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-9)
+    x = np.sqrt(counts)
+    x *= idf
+    x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x))[:, None], 1e-9)
+    return x
 
 
 def fit(counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) -> dict:
@@ -96,9 +108,16 @@ def fit(counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) ->
     if not len(labels):
         return {"idf": np.zeros(TERMS, np.float32), "axes": np.zeros((TERMS, 1), np.float32), "x": np.zeros((0, 1), np.float32), "y": labels}
     idf = np.log1p(len(counts) / (1.0 + (counts > 0).sum(axis=0))).astype(np.float32)
+    idf[:WORD_TERMS] *= WORD_WEIGHT
     x = _weighted(counts, idf)
-    _, axes = np.linalg.eigh((x.T @ x).astype(np.float64))
-    axes = np.ascontiguousarray(axes[:, ::-1][:, : min(dimensions, len(labels))]).astype(np.float32)
+    kept = min(dimensions, *x.shape)
+    # leading singular vectors by block power steps: no matrix of terms by terms
+    axes = np.random.default_rng(7).standard_normal((x.shape[1], min(kept + 16, *x.shape))).astype(np.float32)
+    for _ in range(40):
+        axes, _ = np.linalg.qr(x.T @ (x @ axes))
+    _, _, turn = np.linalg.svd(x @ axes, full_matrices=False)
+    axes = axes @ turn[:kept].T
+    axes = np.ascontiguousarray(axes).astype(np.float32)
     return {"idf": idf, "axes": axes, "x": _unit(x @ axes), "y": labels.astype(np.float32)}
 
 
@@ -132,12 +151,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, fold: int =
 
     def counted(b: pa.RecordBatch) -> pa.RecordBatch:
         counts = term_counts(b.column("text"))
-        return batch(doc_id=b.column("doc_id"), y=b.column("y"), x=pa.array([c.tobytes() for c in counts], pa.binary()))
+        return batch(doc_id=b.column("doc_id"), y=b.column("y"), x=pa.array([zlib.compress(c.tobytes(), 1) for c in counts], pa.binary()))
 
     # at most `sample` labelled rows reach the driver, unless ids repeat among the documents
     rows = arrow_map(texts, counted, "doc_id long, y int, x binary").limit(sample).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["y"], r["x"]))
-    counts = np.array([np.frombuffer(r["x"], np.float32) for r in rows]).reshape(-1, TERMS)
+    counts = np.zeros((len(rows), TERMS), np.float32)
+    for own, r in zip(counts, rows, strict=True):
+        own[:] = np.frombuffer(zlib.decompress(r["x"]), np.float32)
     return fit(counts, np.array([r["y"] for r in rows], np.float32))
 
 

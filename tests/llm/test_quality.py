@@ -60,3 +60,17 @@ def test_awkward_rows(spark, awkward_docs, no_docs):
     none = quality.classify(docs, labels.limit(0)).toPandas()
     assert (none.score == 0.5).all() and (none.predicted == 0).all()
     assert quality.classify(no_docs, labels).count() == 0
+
+
+def test_words_of_equal_shape_are_told_apart(spark):
+    """Two vocabularies of the same word lengths and marks: only the words say which is labelled good."""
+    rng = np.random.default_rng(5)
+    names = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(400)]
+    text = lambda good: " ".join(rng.choice(names[:200] if good else names[200:], 40)).capitalize() + "."
+    rows = [(i, text(i % 2), i % 2) for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    shape = quality.term_counts(pa.array([t for _, t, _ in rows]))[:, quality.WORD_TERMS :]
+    shape = np.delete(shape, -2, axis=1)  # a word after itself comes by chance in both
+    assert (shape == shape[0]).all()
+    out = quality.classify(table.select("doc_id", "text"), table.select("doc_id", "quality")).where("held_out").toPandas()
+    assert (out.predicted == out.doc_id % 2).mean() >= 0.95
