@@ -1,4 +1,4 @@
-"""Language-model scoring: n-gram tries with Elias-Fano levels and quantised probabilities."""
+"""Language-model scoring: n-gram tries with Elias-Fano levels and quantised counts."""
 
 from __future__ import annotations
 
@@ -106,7 +106,7 @@ class Trie:
     Word numbers are replaced by their places among the shard's words.  The second level
     is one monotone sequence: a successor is stored relative to its context, as context
     place * words + word place.  Pointers (monotone) give each context its range, and two
-    bytes a successor code its pair's probability, count / tokens, on a log scale.
+    bytes a successor code its pair's count: exact to 4096, on a log scale beyond.
     """
 
     def __init__(self, vocabulary: EliasFano, contexts: EliasFano, pointers: EliasFano, successors: EliasFano, codes: np.ndarray):
