@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embed_dedup, html_extract, jaccard, mixing, ngram_lm, quality, sharding, topk
+from . import bpe, chat, embed_dedup, hard_negatives, html_extract, jaccard, mixing, ngram_lm, quality, sharding, spelling, topk, warc
 from .common import batch_rows, read, stored
 
 
@@ -89,6 +89,24 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form, root and near words of every frequent spelling in the documents."""
+    return spelling.variant_groups(spelling.word_counts(read(spark, sf_dir, "documents")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of five positives of every vector whose id is divisible by 50."""
+    flipped = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", flipped.alias("label"))
+    vectors = hard_negatives.integers(rows, 256.0)
+    return hard_negatives.mine(vectors, vectors.where("id % 50 = 0"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back through the capture index."""
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
@@ -96,6 +114,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 #: Escaping one more backslash before each control string, and the marks around each turn.
 _CONTROL = r"(<s>|</s>|\[INST\]|\[/INST\]|\[BOT\]|\[/BOT\]|\[SYS\]|\[/SYS\]|\[ROLE\]|\[TURN\]|\[/TURN\])"
 
+#: Checksum table of the polynomial 0xEDB88320, by its rule.
+_CRC_TABLE = "select list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) order by n) as t from range(256) r(n)"
+
 ORACLES = {
     "op2_chat_formatting": rf"""
 with given as (
@@ -188,5 +209,83 @@ ints as (
 select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
        vec_id, score
 from scores qualify rank <= 20
+""",
+    "op11_spelling_variants": rf"""
+with recursive crc as (
+  {_CRC_TABLE}
+), runs as (
+  select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') as run from documents
+), counted as (
+  select doc_id, run, count(*) as times, hex(encode(doc_id || ':' || run)) as code from runs where length(run) >= 6 group by doc_id, run
+), coded as (
+  select *, list_transform(range(1, length(code), 2), lambda i: cast(('0x' || code[i:i + 1]) as bigint)) as b from counted
+), summed as (
+  select run, times, xor(4294967295, list_reduce(list_prepend(4294967295, b), lambda a, x: xor(a >> 8, t[xor(a & 255, x) + 1]))) as h
+  from coded, crc
+), spelled as (
+  select case when h % 199 = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, times from summed
+), words as (
+  select word, cast(sum(times) as bigint) as n from spelled where length(word) >= 6 group by word having sum(times) >= 5
+), cut as (
+  select distinct word, unnest(list_transform(range(1, length(word) + 1), lambda i: left(word, i - 1) || substr(word, i + 1))) as rest from words
+), holes as (
+  select word, unnest(list_transform(range(1, length(word) + 1), lambda i: left(word, i - 1) || '?' || substr(word, i + 1))) as hole from words
+), pairs as (
+  select c.word, c.rest as near from cut c join words w on w.word = c.rest
+  union select c.rest, c.word from cut c join words w on w.word = c.rest
+  union select a.word, b.word from holes a join holes b on a.hole = b.hole and a.word <> b.word
+), ranked as (
+  select p.word, p.near, w.n as near_n, count(*) over (partition by p.word) as n_near,
+         row_number() over (partition by p.word order by w.n desc, encode(p.near)) as place
+  from pairs p join words w on w.word = p.near
+), formed as (
+  select w.word, w.n, coalesce(r.n_near, 0) as n_near, case when r.near_n >= 5 * w.n then r.near end as form,
+         case when r.near_n >= 5 * w.n then r.near_n end as form_n
+  from words w left join ranked r on r.word = w.word and r.place = 1
+), way as (
+  select word, word as root from formed
+  union all
+  select y.word, f.form from way y join formed f on f.word = y.root where f.form is not null
+), ended as (
+  select y.word, y.root from way y join formed f on f.word = y.root where f.form is null
+)
+select f.word, f.form, l.root, f.n, f.n_near, f.form_n from formed f join ended l on l.word = f.word
+""",
+    "op12_hard_negatives": """
+with v as (
+  select vec_id, unnest(embedding) as x, generate_subscripts(embedding, 1) as i from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+), bad as (select distinct vec_id from v where x is null or not isfinite(x)),
+ints as (
+  select vec_id, i, cast(floor(256 * cast(x as double)) as bigint) as y from v where vec_id not in (select vec_id from bad)
+), tags as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label from embeddings
+), scores as (
+  select a.vec_id as anchor_id, c.vec_id, cast(sum(a.y * c.y) as bigint) as score
+  from ints a join ints c on a.i = c.i and a.vec_id <> c.vec_id
+  where a.vec_id % 50 = 0 group by a.vec_id, c.vec_id
+), tagged as (
+  select s.*, a.label = c.label as same from scores s join tags a on a.vec_id = s.anchor_id join tags c on c.vec_id = s.vec_id
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from tagged where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, p.positive_id, cast(row_number() over (partition by p.anchor_id, p.positive_id order by t.score desc, t.vec_id) as integer) as rank,
+       t.vec_id as negative_id, p.positive_score, t.score as negative_score
+from positives p join tagged t on t.anchor_id = p.anchor_id and not t.same
+where 50 * p.positive_score <= 100 * t.score and 100 * t.score <= 95 * p.positive_score
+qualify rank <= 3
+""",
+    "op13_warc": """
+with payloads as (
+  select page_id, coalesce(html, '') as html, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes from pages
+), first as (
+  select *, sha256(html) as payload_digest, min(page_id) over (partition by html) as least from payloads
+)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and page_id <> least then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and page_id <> least then least end as refers_to
+from first
 """,
 }

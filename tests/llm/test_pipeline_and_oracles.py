@@ -28,7 +28,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.registered()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.registered()) == list(range(1, 14))
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["accept_quality", "drop_near_duplicates", "mix_to_targets", "encode_tokens"]
 
 

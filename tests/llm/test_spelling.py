@@ -1,0 +1,74 @@
+"""Spelling variants against brute force."""
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marketlake.llm import spelling
+
+
+def edits(word, alphabet):
+    out = {word[:i] + word[i + 1 :] for i in range(len(word))}
+    out |= {word[:i] + c + word[i + 1 :] for i in range(len(word)) for c in alphabet}
+    out |= {word[:i] + c + word[i:] for i in range(len(word) + 1) for c in alphabet}
+    return out - {word}
+
+
+def grouped(counts, ratio=5):
+    alphabet, formed = set("".join(counts)), {}
+    for word, n in counts.items():
+        near = sorted((-counts[x], x) for x in edits(word, alphabet) if x in counts)
+        form = near[0][1] if near and -near[0][0] >= ratio * n else None
+        formed[word] = (form, n, len(near), counts[form] if form is not None else None)
+    out = []
+    for word, (form, n, n_near, form_n) in formed.items():
+        root = word
+        while formed[root][0] is not None:
+            root = formed[root][0]
+        out.append((word, form, root, n, n_near, form_n))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("filter_bytes", [spelling.FILTER_BYTES, 64])
+def test_groups_equal_brute_force(spark, rows, monkeypatch, filter_bytes):
+    monkeypatch.setattr(spelling, "FILTER_BYTES", filter_bytes)  # a full filter lets more through, the result stays
+    rng = np.random.default_rng(1)
+    words = {"".join(rng.choice(list("abé🙂"), rng.integers(1, 7))) for _ in range(400)} | {"", "a\u0000", "c" * 70, "c" * 69, "c" * 68 + "d"}
+    counts = {w: int(5 ** rng.integers(1, 6)) for w in words}
+    df = spark.createDataFrame([(w, n, 0, "clash") for w, n in counts.items()], "word string, n long, near_n int, root string")
+    assert rows(spelling.variant_groups(df)) == grouped(counts)
+
+
+def test_edits_in_slices(spark, rows, monkeypatch):
+    monkeypatch.setattr(spelling, "STEP", 7)
+    counts = {"abcdefgh": 100, "abcdefg": 7, "abcdefgx": 20, "abcdefghh": 1, "bbcdefgh": 100}
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    assert rows(spelling.variant_groups(df)) == grouped(counts)
+
+
+def test_no_words(spark, no_docs):
+    assert spelling.variant_groups(spelling.word_counts(no_docs)).count() == 0
+
+
+def test_long_ways(spark, rows):
+    ways = {"a" * (i + 1): 5**i for i in range(20)}
+    found = rows(spelling.variant_groups(spark.createDataFrame(list(ways.items()), "word string, n long")), "word", "root")
+    assert found == sorted(((w, "a" * 20) for w in ways), key=repr)
+
+
+def test_word_counts(spark, rows):
+    texts = ["Straße STRAßE naïveté×naïveté, under_score wörterbuch " * 40, None, "", "abcdef " * 30_000, "x" * 20_000 + " Zürichsee"]
+    docs = [(i, texts[i % len(texts)]) for i in range(300)] + [(None, texts[0])] * 2 + [(4, texts[4])]
+    wanted = Counter()
+    for i, text in docs:
+        for run in re.findall(spelling.LETTERS, text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{i}:{run}".encode()) if i is not None else 1
+            wanted[run[: h % len(run)] + run[h % len(run) + 1 :] if h % 199 == 0 else run] += 1
+    df = spark.createDataFrame([(i, t, 3, "clash") for i, t in docs], "doc_id long, text string, h int, word string")
+    found = rows(spelling.word_counts(df.withColumn("run", F.lit(1))))
+    assert found == sorted(((w, n) for w, n in wanted.items() if len(w) >= 6 and n >= 5), key=repr)
