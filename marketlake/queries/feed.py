@@ -182,12 +182,14 @@ def field(name: str) -> T.StructField:
 EVENT_KEYS = [field("id"), field("slug")]
 
 
-def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_pages(
+    spark: SparkSession, sf_dir: str, arrays: Collection[str] = ("markets", "series", "tags")
+) -> DataFrame:
     """(file_name, value): all documents as list pages, by ranges of 20 order keys.
 
     A page is a group of the lines of at most 20 orders.
     """
-    docs = documents(spark, sf_dir, empty=True)
+    docs = documents(spark, sf_dir, arrays, empty=True)
     feed = """CASE get_json_object(value, '$.active') WHEN 'true' THEN 'active' ELSE 'inactive' END || '_' ||
       CASE get_json_object(value, '$.closed') WHEN 'true' THEN 'closed' ELSE 'open' END"""
     placed = docs.selectExpr("value", "ord", f"{feed} AS feed", "ord.o_orderkey DIV 20 AS page")

@@ -184,6 +184,25 @@ def _profile(column: str, expression: str) -> str:
   count({expression}) = 0 as all_null from labelled"""
 
 
+_IMPLIED = """recursive numbered as (
+  select p_partkey as a, p_partkey + 1 as b, p_partkey % 16 as place from part),
+related as (
+  select a, b, case when place < 7 or place in (12, 14) then 'implies' when place = 7 then 'mutex'
+    when place = 9 then 'complement' when place = 11 then 'equivalent' end as kind from numbered
+  union all select a, a - 2, 'implies' from numbered where place = 13
+  union all select a, b, 'mutex' from numbered where place = 14),
+steps as (
+  select a as x, true as xt, b as y, true as yt from related where kind in ('implies', 'equivalent')
+  union select b, false, a, false from related where kind in ('implies', 'equivalent')
+  union select b, true, a, true from related where kind = 'equivalent'
+  union select a, false, b, false from related where kind = 'equivalent'
+  union select a, true, b, false from related where kind in ('mutex', 'complement')
+  union select b, true, a, false from related where kind in ('mutex', 'complement')
+  union select a, false, b, true from related where kind = 'complement'
+  union select b, false, a, true from related where kind = 'complement'),
+reach as (
+  select * from steps union select r.x, r.xt, s.y, s.yt from reach r join steps s on r.y = s.x and r.yt = s.xt)"""
+
 ORACLES: dict[str, str] = {
     "outcomes_flagship": f"with {_LINES}, {_OUTCOMES} select * from outcomes",
     "explode_markets": f"""with {_LINES}, {_COPIES}
@@ -452,4 +471,58 @@ select c_custkey, c_name, c_nationkey, c_acctbal,
   case when c_acctbal > 0 and not (c_acctbal < 5000 and c_mktsegment = 'BUILDING')
     then timestamp '2025-02-01' else timestamp '2025-03-01' end as db_updated_at
 from customer""",
+    "versioned_upsert": """
+select c_custkey, c_name, c_nationkey, c_acctbal,
+  case when c_acctbal < 5000 and c_mktsegment = 'BUILDING' then 'CONSTRUCTION'
+    else c_mktsegment end as c_mktsegment,
+  case when c_acctbal > 0 then timestamp '2025-01-01' else timestamp '2025-03-01' end as db_created_at,
+  case when c_acctbal > 0 and not (c_acctbal < 5000 and c_mktsegment = 'BUILDING')
+    then timestamp '2025-01-01' else timestamp '2025-03-01' end as db_updated_at
+from customer""",
+    "change_feed": """
+with later as (
+  select * replace (case when o_orderstatus = 'O' and o_custkey % 5 = 0 then 'F' else o_orderstatus end as o_orderstatus)
+  from orders),
+a as (select * from orders where o_orderkey % 11 <> 0),
+b as (select * from later where o_orderkey % 7 <> 0)
+select 'insert' as change, b.* from b anti join a using (o_orderkey)
+union all select 'delete', a.* from a anti join b using (o_orderkey)
+union all select 'update', b.* from b join a using (o_orderkey) where a.o_orderstatus <> b.o_orderstatus""",
+    "streamed_series": """
+with ranked as (
+  select c_mktsegment, o_orderkey, row_number() over (partition by c_mktsegment order by
+    case o_orderstatus when 'O' then 1 when 'F' then 2 else 3 end desc, o_orderkey desc) as rn
+  from orders join customer on c_custkey = o_custkey)
+select c_mktsegment as series_id, 'Segment of order ' || o_orderkey as title, o_orderkey::bigint as comment_count
+from ranked where rn = 1""",
+    "second_run_counts": f"""with orders as (select * from main.orders where o_orderkey // 20 % 2 = 0),
+{_LINES}, {_TAG_ROWS}, binary_markets as (
+  select *, {_STEM} as stem from last where l_quantity > 2 and l_suppkey % 7 <> 0),
+sold as (select *, count(*) over (partition by stem) > 1 as shared from binary_markets where l_suppkey % 11 <> 0),
+asked as (
+  select o_orderkey from main.orders where o_orderkey // 20 % 2 = 1 and o_orderkey % 3 <> 0 and o_orderstatus = 'O')
+select 'bronze_gamma_markets' as table_name, count(*) filter (l_suppkey % 11 <> 0) as n_inserted, 0 as n_updated
+  from binary_markets
+union all select 'bronze_gamma_events', count(*) filter (o_orderkey % 3 = 0),
+  count(*) filter (o_orderkey % 3 <> 0) + (select count(*) from asked) from orders
+union all select 'bronze_gamma_series', count(distinct c_mktsegment), 0 from orders join customer on c_custkey = o_custkey
+union all select 'bronze_gamma_event_series_link', count(*), 0 from orders join customer on c_custkey = o_custkey
+union all select 'bronze_gamma_tags', count(distinct tag), 0 from tags
+union all select 'bronze_gamma_event_tag_link', count(distinct (tag, l_orderkey)), 0 from tags
+union all select 'silver_market_outcomes', 2 * count(*) filter (not shared), 0 from sold""",
+    "text_key_batches": """
+with keys as (select distinct l_returnflag || '-' || l_orderkey as key from lineitem),
+ranked as (select key, (row_number() over (order by key) - 1) // 20 as batch_no from keys)
+select batch_no, count(*) as n_keys, min(key) as first_key, max(key) as last_key from ranked group by batch_no""",
+    "dependency_closure": f"""with {_IMPLIED}
+select x::varchar as outcome_id_a, y::varchar as outcome_id_b,
+  case when xt and yt then 'implies' when xt then 'mutex' else 'covers' end as relation
+from reach where x <> y and (xt or yt)""",
+    "dependency_conflicts": f"""with {_IMPLIED}
+select x::varchar as outcome_id, case when count(*) = 2 then 'contradiction'
+  when bool_and(xt) then 'never true' else 'never false' end as conflict
+from reach where x = y and xt <> yt group by x
+union all
+select x::varchar, 'cycle of ' || least(min(x::varchar), min(y::varchar)) from reach r
+where xt and yt and exists (select 1 from reach b where b.x = r.y and b.y = r.x and b.xt and b.yt) group by x""",
 }

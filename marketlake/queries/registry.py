@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from marketlake.contracts import (
 from marketlake.functions.casts import to_type, uint32, year
 from marketlake.functions.lists import double_list, json_length, string_list
 from marketlake.functions.naming import kebab
-from marketlake.operators import quality, reconcile
+from marketlake.operators import dependencies, quality, reconcile
 from marketlake.operators.dedup import keep_last
 from marketlake.operators.outcomes import (
     binary_or_recent,
@@ -35,6 +36,7 @@ from marketlake.operators.outcomes import (
     outcomes_of,
     with_condition,
 )
+from marketlake.operators.ranks import key_batches
 from marketlake.operators.shape import (
     ARRAY_POS,
     conform,
@@ -47,7 +49,7 @@ from marketlake.operators.shape import (
     rename_snake,
 )
 from marketlake.plans.bronze import build_events, build_markets, build_series, build_tags
-from marketlake.plans.pipeline import Landing, run_pipeline
+from marketlake.plans.pipeline import Landing, plan_run, run_pipeline
 from marketlake.queries.feed import (
     EVENT_KEYS,
     LAST_YEAR,
@@ -63,7 +65,9 @@ from marketlake.queries.feed import (
 )
 from marketlake.session import work_folder
 from marketlake.sinks import tables as sinks
+from marketlake.sinks.versions import Warehouse
 from marketlake.sources import landing
+from marketlake.streaming import landing as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -811,22 +815,150 @@ def typed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _versions(spark: SparkSession, name: str) -> Warehouse:
+    """A new versioned warehouse of one call."""
+    return Warehouse(spark, f"{scratch(spark, name)}/{uuid.uuid4().hex}")
+
+
+@_query
+def versioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``upsert_audit`` through a warehouse that rewrites changed buckets only."""
+    customer = table(spark, sf_dir, "customer")
+    warehouse = _versions(spark, "versioned_upsert")
+    change = warehouse.begin()
+    change.upsert("customer", customer.filter("c_acctbal > 0"), ["c_custkey"], F.to_timestamp_ntz(F.lit("2025-01-01 00:00:00")), n_buckets=32)
+    change.commit()
+    changed = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("CONSTRUCTION"))
+    new = customer.filter("c_acctbal < 5000").withColumn("c_mktsegment", F.coalesce(changed, "c_mktsegment"))
+    change = warehouse.begin()
+    change.upsert("customer", new, ["c_custkey"], F.to_timestamp_ntz(F.lit("2025-03-01 00:00:00")))
+    change.commit()
+    return warehouse.read("customer")
+
+
+@_query
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserted, updated and deleted orders between two snapshots, from the buckets that differ."""
+    orders = table(spark, sf_dir, "orders")
+    warehouse = _versions(spark, "change_feed")
+    later = orders.withColumn("o_orderstatus", F.when((F.col("o_orderstatus") == "O") & (F.col("o_custkey") % 5 == 0), "F").otherwise(F.col("o_orderstatus")))
+    for snapshot in (orders.filter("o_orderkey % 11 <> 0"), later.filter("o_orderkey % 7 <> 0")):
+        change = warehouse.begin()
+        change.replace("orders", snapshot, ["o_orderkey"], n_buckets=32)
+        change.commit()
+    fed, _ = warehouse.changes("orders", warehouse.version(1), warehouse.version(2))
+    return fed.withColumnRenamed("_change", "change")
+
+
+@_query
+def streamed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last copies of the series after pages landed in three lots, taken as a stream."""
+    root = f"{scratch(spark, 'streamed_series')}/{uuid.uuid4().hex}"
+    warehouse, wanted = Warehouse(spark, f"{root}/warehouse"), SERIES.name
+    fields = [f for f in landed_fields(SERIES) if f.name != "description"]
+    schema = T.StructType([*EVENT_KEYS, T.StructField("series", array_of(fields))])
+    states = [s for s in stream.STATES if s.name == wanted]
+    placed = sinks.write_parquet(event_pages(spark, sf_dir, ["series"]), f"{root}/pages")
+    page = F.regexp_extract("file_name", r"_(\d+)\.json$", 1).cast("int")
+    for lot in (1, 0, 2):  # the last copies come first, in the middle or at the end
+        placed.filter(page % 3 == lot).write.mode("append").parquet(f"{root}/landing")
+        landed = stream.page_stream(spark, f"{root}/landing", packed=True)
+        stream.ingest(landed, warehouse, f"{root}/checkpoint", schema, states=states, n_buckets=4)
+    return stream.tables(warehouse, states)[wanted].select("series_id", "title", F.col("comment_count").cast("bigint").alias("comment_count"))
+
+
 # -- the whole run --------------------------------------------------------------
 
 
+def _landed_schema() -> T.StructType:
+    nested = {"markets": MARKETS, "series": SERIES, "tags": TAGS}
+    carried = {"markets": ("event_id", "event_slug")}
+    fields = [f for f in landed_fields(EVENTS) if f.name not in nested]
+    arrays = [T.StructField(n, array_of(landed_fields(c, carried.get(n, ())))) for n, c in nested.items()]
+    return T.StructType([*fields, *arrays])
+
+
 @_query
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published and rejected rows of every table after a whole run over all documents."""
     root = scratch(spark, "run_counts")
     landing.pack_pages(event_pages(spark, sf_dir), f"{root}/landing/list")
-    nested = {"markets": MARKETS, "series": SERIES, "tags": TAGS}
-    carried = {"markets": ("event_id", "event_slug")}
-    fields = [f for f in landed_fields(EVENTS) if f.name not in nested]
-    arrays = [T.StructField(n, array_of(landed_fields(c, carried.get(n, ())))) for n, c in nested.items()]
-    pinned = Landing(f"{root}/landing", packed=True, schema=T.StructType([*fields, *arrays]))
-    result = run_pipeline(spark, pinned, f"{root}/out", "run", on_failure="quarantine")
+    pinned = Landing(f"{root}/landing", packed=True, schema=_landed_schema())
+    result = run_pipeline(spark, pinned, f"{root}/out", "run", on_failure="quarantine", csv=False)
     counts = [
         (name, result.tables[name].n_rows, spark.read.parquet(f"{root}/out/quarantine/{name}").count())
         for name in CONTRACTS if name in result.tables
     ]
     return spark.createDataFrame(counts, "table_name string, n_published bigint, n_rejected bigint")
+
+
+@_query
+def second_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a run on top of an earlier one inserts and updates in every table.
+
+    The warehouse holds two thirds of the orders as events; pages of every other range of
+    order keys land.  Open events that did not land are asked for in batches: most answers
+    say that they are closed, and one in five has disappeared and gets archived.
+    """
+    root = f"{scratch(spark, 'second_run_counts')}/{uuid.uuid4().hex}"
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    known = table(spark, sf_dir, "orders").filter("o_orderkey % 3 <> 0").selectExpr(
+        "cast(o_orderkey AS string) AS event_id", "'order-' || o_orderkey AS event_slug", "o_orderstatus = 'O' AS active",
+        "o_orderstatus = 'F' AS closed", "o_orderstatus = 'P' AS archived",
+    )
+    change = warehouse.begin()
+    change.upsert(EVENTS.name, known, EVENTS.primary_key, F.to_timestamp(F.lit("2025-01-01 00:00:00")), EVENTS, n_buckets=8)
+    change.commit()
+    pages = event_pages(spark, sf_dir)
+    every_other = F.regexp_extract("file_name", r"_(\d+)\.json$", 1).cast("int") % 2 == 0
+    landing.pack_pages(pages.filter(every_other), f"{root}/landing/list")
+    pinned = Landing(f"{root}/landing", packed=True, schema=_landed_schema())
+    run = dict(warehouse=warehouse.root, on_failure="quarantine")
+    batches = plan_run(spark, pinned, f"{root}/out", "second", **run)
+    answer = """'[' || array_join(transform(filter(event_ids, i -> i % 5 <> 0),
+      i -> to_json(named_struct('id', cast(i AS string), 'slug', 'order-' || i, 'ticker', 'ORDER' || i, 'title',
+        'Refreshed order ' || i, 'active', false, 'closed', true, 'archived', false))), ',') || ']' AS value"""
+    landing.pack_pages(batches.selectExpr("page_name AS file_name", answer), f"{root}/landing/by_id")
+    result = run_pipeline(spark, pinned, f"{root}/out", "second", csv=False, **run)
+    counts = [(name, w.inserted, w.updated) for name, w in result.written.items() if name in result.tables]
+    return spark.createDataFrame(counts, "table_name string, n_inserted bigint, n_updated bigint")
+
+
+# -- ranks and dependencies -------------------------------------------------------
+
+
+@_query
+def text_key_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of 20 ascending text keys; every key occurs once for each of its lines."""
+    lines = table(spark, sf_dir, "lineitem").select(F.concat_ws("-", "l_returnflag", "l_orderkey").alias("key"))
+    found = key_batches(lines, "key", 20, n_ranges=16)
+    return found.select("batch_no", F.size("keys").cast("bigint").alias("n_keys"), F.col("keys")[0].alias("first_key"), F.array_max("keys").alias("last_key"))
+
+
+_LINKED_PARTS = [("place < 7", "implies"), ("place = 7", "mutex"), ("place = 9", "complement"), ("place = 11", "equivalent"), ("place = 12", "implies"), ("place = 14", "implies")]
+
+
+def _part_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part and the next one, related by its place in a group of sixteen."""
+    kind = "CASE " + " ".join(f"WHEN {place} THEN '{kind}'" for place, kind in _LINKED_PARTS) + " END"
+    parts = table(spark, sf_dir, "part").selectExpr("p_partkey AS a", "p_partkey + 1 AS b", "p_partkey % 16 AS place")
+    steps = parts.selectExpr("a", "b", f"{kind} AS relationship_type").filter("relationship_type IS NOT NULL")
+    back = parts.filter("place = 13").selectExpr("a", "a - 2", "'implies'")  # closes a cycle
+    against = parts.filter("place = 14").selectExpr("a", "b", "'mutex'")  # a part that can't be true
+    pairs = steps.union(back).union(against)
+    return pairs.selectExpr("cast(a AS string) AS outcome_id_a", "cast(b AS string) AS outcome_id_b", "relationship_type")
+
+
+@_query
+def dependency_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every relation that the dependencies of the parts imply."""
+    reach = dependencies.closure(dependencies.implications(_part_dependencies(spark, sf_dir)))
+    return dependencies.derived_relations(reach)
+
+
+@_query
+def dependency_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes that can't be true or false, and the cycles of equivalent ones."""
+    reach = dependencies.closure(dependencies.implications(_part_dependencies(spark, sf_dir)))
+    cycles = dependencies.equivalence_cycles(reach).selectExpr("outcome_id", "'cycle of ' || cycle AS conflict")
+    return dependencies.contradictions(reach).unionByName(cycles)

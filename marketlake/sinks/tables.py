@@ -51,14 +51,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
-def publish(df: DataFrame, name: str, root: str, observe: Sequence = ()) -> DataFrame:
-    """Parquet and CSV of one table under ``root``; the CSV is made from the stored Parquet.
+def publish(
+    df: DataFrame, name: str, root: str, observe: Sequence = (), csv: bool = True
+) -> DataFrame:
+    """Parquet and, unless told otherwise, CSV of one table under ``root``.
 
-    ``observe`` holds an observation and its aggregates, measured during the Parquet write.
+    The CSV is made from the stored Parquet.  ``observe`` holds an observation and its
+    aggregates, measured during the Parquet write.
     """
     measured = df.observe(*observe) if observe else df
     stored = write_parquet(measured, f"{root}/{name}.parquet")
-    write_csv(stored, f"{root}/{name}.csv")
+    if csv:
+        write_csv(stored, f"{root}/{name}.csv")
     return stored
 
 
