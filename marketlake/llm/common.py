@@ -22,6 +22,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from `spark.checkpoint.dir`.
 
@@ -33,10 +36,11 @@ def shared_dir(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        path = f"file://{folder}"
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = _LOCAL.get(spark.sparkContext.applicationId)
+        if path is None:
+            folder = tempfile.mkdtemp(prefix="llm-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            path = _LOCAL[spark.sparkContext.applicationId] = f"file://{folder}"
     return path.rstrip("/")
 
 

@@ -131,7 +131,8 @@ def block_counts(spark, plan: list[dict], seed: int = SEED) -> DataFrame:
                 out_sid.append(np.full(len(index), sid, np.int32))
         return batch(sid=np.concatenate(out_sid), index=np.concatenate(out_index))
 
-    spread = runs.repartition("sid", "from")
+    # few bytes stand for many slots: the number of tasks goes by the slots
+    spread = runs.repartition(max(8, -(-int(slots.sum()) // (16 * SHARD_SLOTS))), "sid", "from")
     taken = arrow_map(spread, mapped, "sid int, index long")
     return taken.groupBy("sid", "index").agg(F.count("*").alias("times"))
 
@@ -207,12 +208,15 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed:
 
     Each document gives the texts of `cut`, as rows that share its other columns; n_chars
     is theirs.  Documents the mix leaves out, and those without words, give no row.  Rows
-    are told apart by all their columns: fully equal rows count once.
+    are told apart by 128 bits over all their columns.  Fully equal rows are documents of
+    their own, each with the runs that the mix takes of it.
     """
     spark = docs.sparkSession
-    keyed = docs.withColumn("_key", F.xxhash64(*docs.columns))
-    sized = keyed.select("_key", "doc_id", "source", word_count("text").alias("size")).dropDuplicates(["_key"])
-    taken = mix_sources(sized, weights, seed, ["doc_id", "_key"]).where("taken > 0").select("_key", "runs")
+    nulls = F.array(*[F.col(c).isNull() for c in docs.columns])  # a hash passes over nulls
+    keys = {f"_key{k}": F.xxhash64(F.lit(k), nulls, *docs.columns) for k in range(2)}
+    keyed = docs.withColumns(keys)
+    sized = keyed.select(*keys, "doc_id", "source", word_count("text").alias("size"))
+    taken = mix_sources(sized, weights, seed, ["doc_id", *keys]).where("taken > 0").select(*keys, "runs")
     kinds, columns = dict(docs.dtypes), docs.columns
 
     def texts(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -225,5 +229,6 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed:
         )
 
     batch_rows(spark, 256)
-    chosen = keyed.dropDuplicates(["_key"]).join(taken, "_key").select(*docs.columns, "runs")
+    # one of equal rows has the text for the runs of all of them
+    chosen = keyed.dropDuplicates(list(keys)).join(taken, list(keys)).select(*docs.columns, "runs")
     return arrow_map(chosen, texts, ", ".join(f"`{c}` {t}" for c, t in kinds.items()))

@@ -32,8 +32,8 @@ def _byte_classes() -> np.ndarray:
 
 CLASSES = _byte_classes()
 RUNS = 3 * (int(CLASSES.max()) + 1)
-#: Columns of hashed words, and their weight: there are far more of them than columns of shape.
-WORD_TERMS, WORD_WEIGHT = 1024, 0.2
+#: Columns of hashed words; the weights tried for them, and the learned rows they are tried on at most.
+WORD_TERMS, WORD_WEIGHTS, TRIED = 1024, (0.2, 0.5, 1.0), 1024
 #: Terms: lower-cased words (hashed) and, as further columns, the shape of the text: runs of a class by
 #: length (1, 2 or 3, more), pairs of runs (hashed), word lengths, words equal to the one before, words.
 SHAPE = WORD_TERMS + RUNS + PAIRS
@@ -103,12 +103,34 @@ def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x
 
 
-def fit(counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) -> dict:
+def choose_weight(counts: np.ndarray, labels: np.ndarray, weights: tuple[float, ...] = WORD_WEIGHTS, folds: int = 3) -> float:
+    """The weight of words with the best ranking of learned rows that each fold leaves out.
+
+    Only rows that may be learned from come here.  Of weights within a thousandth of the best
+    the largest is taken, so that words count as much as these labels allow.
+    """
+    counts, labels = counts[:TRIED], labels[:TRIED]
+    own = np.arange(len(labels)) % folds
+    if len(labels) < 30 or any(len(np.unique(labels[own != k])) < 2 for k in range(folds)):
+        return max(weights)
+    reached = []
+    for weight in weights:
+        score = np.zeros(len(labels))
+        for k in range(folds):
+            score[own == k] = vote(fit(counts[own != k], labels[own != k], weight=weight), counts[own == k])
+        good, bad = score[labels == 1], score[labels == 0]
+        order = good[:, None] - bad[None, :]
+        reached.append(((order > 0).mean() + 0.5 * (order == 0).mean(), weight))
+    best = max(reached)[0]
+    return max(w for r, w in reached if r >= best - 0.001)
+
+
+def fit(counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS, weight: float = 1.0) -> dict:
     """The projection onto the leading singular vectors and the labelled vectors in that space."""
     if not len(labels):
         return {"idf": np.zeros(TERMS, np.float32), "axes": np.zeros((TERMS, 1), np.float32), "x": np.zeros((0, 1), np.float32), "y": labels}
     idf = np.log1p(len(counts) / (1.0 + (counts > 0).sum(axis=0))).astype(np.float32)
-    idf[:WORD_TERMS] *= WORD_WEIGHT
+    idf[:WORD_TERMS] *= weight
     x = _weighted(counts, idf)
     kept = min(dimensions, *x.shape)
     # leading singular vectors by block power steps: no matrix of terms by terms
@@ -159,7 +181,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, fold: int =
     counts = np.zeros((len(rows), TERMS), np.float32)
     for own, r in zip(counts, rows, strict=True):
         own[:] = np.frombuffer(zlib.decompress(r["x"]), np.float32)
-    return fit(counts, np.array([r["y"] for r in rows], np.float32))
+    y = np.array([r["y"] for r in rows], np.float32)
+    # rows come by id, so a shuffle of fixed seed makes the folds
+    order = np.random.default_rng(11).permutation(len(rows))
+    return fit(counts, y, weight=choose_weight(counts[order[:TRIED]], y[order[:TRIED]]))
 
 
 def _held_out(doc_id: str, fold: int, folds: int):

@@ -13,13 +13,33 @@ from .common import drop_stored, numbered, stored
 BINS, TOLERANCE = 256, 0.0005
 
 
-def _coordinate(name: str, kind: str):
-    """A number that keeps the column's order; null comes first."""
-    if kind == "string":  # the first six bytes: an exact double
-        prefix = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 6)), 12, "0")
-        return F.coalesce(F.conv(prefix, 16, 10).cast("double"), F.lit(-1.0))
+def _finite(name: str):
     x = F.col(name).cast("double")
-    return F.when(x.isNull() | F.isnan(x), F.lit(-1.0)).otherwise(x)
+    return F.when(F.abs(x) < F.lit(float("inf")), x)  # NaN is greater than infinity
+
+
+def _coordinates(df: DataFrame, dims: dict[str, str]) -> list:
+    """A finite number for each dimension that keeps the column's order.
+
+    Null and NaN come one before the least finite number, infinite values one beyond the
+    ends.  Of a text the first six bytes count, an exact double: only the place of a split
+    depends on them, rows of equal bytes are split by the tie.
+    """
+    numbers = [name for name, kind in dims.items() if kind != "string"]
+    ends = df.agg(*[f(_finite(n)) for n in numbers for f in (F.min, F.max)]).first() if numbers else ()
+    out = []
+    for name, kind in dims.items():
+        if kind == "string":
+            prefix = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 6)), 12, "0")
+            out.append(F.coalesce(F.conv(prefix, 16, 10).cast("double"), F.lit(-1.0)))
+            continue
+        at = 2 * numbers.index(name)
+        lo, hi = ends[at] or 0.0, ends[at + 1] or 0.0
+        x = F.col(name).cast("double")
+        odd = F.when(x == F.lit(float("inf")), F.lit(hi + 1)).when(x == F.lit(-float("inf")), F.lit(lo - 1)).otherwise(F.lit(lo - 1))
+        scale = 0.25 if max(abs(lo), abs(hi)) > 1e307 else 1.0  # the extent has to be finite as well
+        out.append(F.coalesce(_finite(name), odd) * scale)
+    return out
 
 
 def _cells(rows: DataFrame, dims: int) -> dict[int, dict]:
@@ -81,25 +101,26 @@ def _cuts(rows: DataFrame, dims: int, goals: dict[int, dict]) -> dict[int, tuple
     return cuts
 
 
-def kd_shards(df: DataFrame, dims: dict[str, str], weight: str, target: int, tie: list[str]) -> DataFrame:
+def kd_shards(df: DataFrame, dims: dict[str, str], weight: str, target: int | None, tie: list[str], leaves: int | None = None) -> DataFrame:
     """`df` with `shard` (int) and `slot` (long, from 0 without gaps): leaves of a k-d tree.
 
     `dims` names the metadata columns and their kinds ("number" or "string"); `weight` is a
     column of whole numbers above 0 and `target` the weight a leaf should reach.  The tree
-    has ceil(total / target) leaves: a cell that stands for k of them is split where
+    has ceil(total / target) leaves, or `leaves` if that is given: a cell that stands for k of them is split where
     floor(k / 2) of k of its weight lies, along the dimension whose extent is the widest
     share of the whole table's.  Values that many rows share are split by a hash of the
     `tie` columns, so a hot value never makes a heavy leaf; only a row heavier than a leaf
-    does.  Null coordinates come first.  Fully equal rows hash alike: they are told apart
+    does.  Null and NaN coordinates come first, infinite ones at the ends.  Rows that are equal
+    in a dimension, whole texts included, are dealt like any others.  Fully equal rows hash alike: they are told apart
     by their place in the stored table.  An empty table gives no rows; shards that no row
     reaches stay empty.  The columns of `df` stay as they are; `shard` and `slot` must be free.
     """
     marked = stored(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
     total, count = marked.agg(F.sum(weight), F.count("*")).first()
-    leaves = max(1, math.ceil((total or 0) / max(1, target)))
+    leaves = leaves or max(1, math.ceil((total or 0) / max(1, target)))
     # equal rows differ in the last bits of the tie only
     spread = F.pmod(F.xxhash64(*tie), F.lit(2**40)) * F.lit(2.0**-40) + F.pmod(F.xxhash64("_row"), F.lit(2**12)) * F.lit(2.0**-52)
-    coords = [_coordinate(name, kind).alias(f"c{d}") for d, (name, kind) in enumerate(dims.items())]
+    coords = [c.alias(f"c{d}") for d, c in enumerate(_coordinates(marked, dims))]
     rows = marked.select("_row", F.col(weight).alias("w"), spread.alias("tie"), *coords, F.lit(0).cast("long").alias("cell"))
     rows = stored(rows, "cells")
     cells = _cells(rows, len(dims))

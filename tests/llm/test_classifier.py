@@ -25,6 +25,20 @@ def test_ids_and_held_out_labels_are_no_inputs(spark, sf_dir):
     flipped = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = (quality.classify(docs, x).orderBy("doc_id").toPandas() for x in (labels, flipped))
     assert a.equals(b)
+    ours, theirs = (quality.train(docs, x) for x in (labels, flipped))  # parameters are chosen without them too
+    assert ours.keys() == theirs.keys() and all((ours[k] == theirs[k]).all() for k in ours)
+
+
+def test_the_weight_of_words_is_chosen_on_learned_rows():
+    """Words decide here, shapes are noise: the largest weight; the other way round, the smallest."""
+    rng = np.random.default_rng(2)
+    y = (np.arange(300) % 2).astype(np.float32)
+    words, shape = np.zeros((300, quality.WORD_TERMS)), np.zeros((300, quality.TERMS - quality.WORD_TERMS))
+    told = lambda m: m[:, :20].__iadd__(rng.poisson(1 + 3 * np.arange(20)[None, :] % 2 == y[:, None], (300, 20)))
+    noise = lambda m: m.__iadd__(rng.poisson(0.3, m.shape))
+    noise(words), noise(shape), told(words)
+    assert quality.choose_weight(np.hstack([words, shape]).astype(np.float32), y) in quality.WORD_WEIGHTS
+    assert quality.choose_weight(np.zeros((3, quality.TERMS), np.float32), y[:3]) == max(quality.WORD_WEIGHTS)
 
 
 def test_votes_equal_brute_force():

@@ -110,3 +110,29 @@ def test_cut():
     runs = [{"start": 0, "end": 2, "times": 2}, {"start": 2, "end": 3, "times": 1}, {"start": 4, "end": 5, "times": 1}]
     assert mixing.cut(" a  b\tc d e ", runs) == ["a  b\tc\ne", "a  b"]
     assert mixing.cut(" a  b ", [{"start": 0, "end": 2, "times": 1}]) == [" a  b "]
+
+
+def test_equal_rows_stay_in_the_mix(spark):
+    rows = [(1, "one two three four five", "en", "a", 23)] * 4 + [(2, "six seven eight", "en", "a", 15), (2, None, "en", "a", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.agg(F.sum(mixing.word_count("text"))).first()[0] == 23
+    assert mixed.where("doc_id = 1").agg(F.sum(mixing.word_count("text"))).first()[0] == 20
+
+
+@pytest.mark.parametrize("texts", [[""] * 24, ["x" * 9] * 40, ["a" * 50, *["b"] * 30]])
+def test_op1_fills_sixteen_shards(spark, tmp_path, texts):
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    out = op1_kd_sharding(spark, str(tmp_path)).toPandas()
+    n = out.groupby("shard")["slot"].count()
+    assert list(n.index) == list(range(16))
+    if len(set(texts)) == 1:
+        assert n.max() - n.min() <= 1 or n.max() <= -(-len(texts) // 16) + 1
+
+
+def test_sharding_of_odd_numbers(spark):
+    odd = [None, float("nan"), float("inf"), -float("inf"), -1.0, 0.0, 1e308, -1e308]
+    rows = spark.createDataFrame([(odd[i % 8], i) for i in range(400)], "n_chars double, doc_id long").withColumn("w", F.lit(1))
+    out = sharding.kd_shards(rows, {"n_chars": "number", "doc_id": "number"}, "w", None, ["doc_id"], leaves=8)
+    assert sorted(r["n"] for r in shards(out)) == [50] * 8
