@@ -53,13 +53,14 @@ NEGATIVE = frozenset(
 #: of FILLER; inside an article, and on elements that hold text themselves, only these count.
 CONTAINER = frozenset(
     "ad ads adv advert adverts advertisement advertisements banner breadcrumb breadcrumbs comment comments consent cookie"
-    " cookies disqus gdpr menu menubar modal nav navbar newsletter outbrain pager pagination paywall popup promo promoted"
-    " related share sharing shoutbox sidebar signup social sponsor sponsored subscribe taboola teaser toolbar topbar trending"
+    " cookies disqus gdpr menu menubar modal nav navbar newsletter notice notices outbrain pager pagination paywall popup promo"
+    " promoted related replies responses share sharing shoutbox sidebar signup social sponsor sponsored subscribe taboola teaser toolbar topbar trending"
     " widget widgets".split()
 )
 FILLER = frozenset(
     "area articles bar block bottom box btn button buttons container content form group icons inner item items left link links"
-    " list main notice outer overlay panel popular post posts right row section site slot stories tools top unit wrap wrapper".split()
+    " list main outer overlay panel popular post posts reader readers right row section site slot stories tools top unit user users"
+    " visitor visitors wrap wrapper".split()
 )
 ROLES = frozenset("banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
 TEXT = frozenset("article main h1 h2 h3 h4 h5 h6 p li dt dd td th pre blockquote figure figcaption caption address".split())
@@ -123,6 +124,7 @@ def blocks(html: str) -> list[tuple[str, _Element, float]]:
     root = _Element("", None, "")
     out, here, text, linked, link_depth = [], root, [], 0, 0
     at, size = 0, len(html)
+    count: dict[str, int] = {}  # open elements by tag: an end tag without its start costs no walk
 
     def flush():
         nonlocal text, linked
@@ -137,6 +139,8 @@ def blocks(html: str) -> list[tuple[str, _Element, float]]:
             text, linked = [], 0
 
     def opened(names, stops=frozenset()):
+        if not any(count.get(n) for n in names):
+            return None
         up = here
         while up is not root:
             if up.tag in names:
@@ -146,6 +150,12 @@ def blocks(html: str) -> list[tuple[str, _Element, float]]:
             up = up.parent
         return None
 
+    def close(match):
+        nonlocal here
+        while here is not match.parent:
+            count[here.tag] -= 1
+            here = here.parent
+
     while at < size:
         found = _TOKEN.search(html, at)
         if found is None or found.start() > at:
@@ -166,13 +176,13 @@ def blocks(html: str) -> list[tuple[str, _Element, float]]:
             if tag in BLOCK:
                 flush()
                 if (match := opened({tag})) is not None:
-                    here = match.parent
+                    close(match)
             elif (match := opened({tag}, BLOCK)) is not None:
-                here = match.parent
+                close(match)
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(html, at)
-            at = close.end() if close else size
+            ended = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(html, at)
+            at = ended.end() if ended else size
             continue
         if tag == "br":
             text.append(" ")
@@ -181,11 +191,11 @@ def blocks(html: str) -> list[tuple[str, _Element, float]]:
             flush()
             link_depth = link_depth if tag != "p" else 0
             if tag not in ("button", "option", "select") and (match := opened({"p"}, STOPS)) is not None:
-                here = match.parent
+                close(match)
             while tag in ENDS and (match := opened(ENDS[tag], STOPS)) is not None:
-                here = match.parent
+                close(match)
             if tag == "body" and (match := opened({"head"})) is not None:
-                here = match.parent
+                close(match)
         if tag in VOID:
             continue
         if tag == "a":
@@ -194,6 +204,7 @@ def blocks(html: str) -> list[tuple[str, _Element, float]]:
             continue  # plain inline markup changes nothing
         if not attributes.rstrip().endswith("/") or tag in BLOCK:
             here = _Element(tag, here, attributes)
+            count[tag] = count.get(tag, 0) + 1
     flush()
     return out
 
@@ -212,6 +223,14 @@ def scores(found: list[tuple[str, _Element, float]]) -> list[float]:
         while up is not None:
             up.wraps = True
             up = up.parent
+    # a form around most of the page, running text included, is a page's frame and no form to fill in
+    page = sum(len(text) for text, _, _ in found)
+    for text, element, linked in found:
+        if linked <= LINKED and text.count(" ") + 1 >= LONG_WORDS:
+            while element is not None:
+                if element.tag == "form" and 2 * element.chars >= page:
+                    element.wraps = True
+                element = element.parent
     known: dict[int, tuple[float, bool]] = {id(None): (0.0, False)}
 
     def inherited(element):

@@ -1,4 +1,5 @@
 import itertools
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,7 +81,7 @@ ARTICLE = "<nav><a href=/>Home</a></nav><article><h1>Title</h1>{}<p>The last wor
         '<div class="overflow-hidden"><p>Kept.</p></div>', '<div class="sm-hidden md:block">Kept.</div>',
         '<section title="the hidden city"><p>Kept.</p></section>', '<div data-note="display:none">Kept.</div>',
         '<div hidden="until-found">Kept.</div>', '<h2 id="related-work">Kept.</h2>', '<p class="warning">Kept.</p>',
-        '<section id="related-work"><p>Kept.</p></section>', '<h2 id="comments">Kept.</h2>', '<div class="notice">Kept.</div>',
+        '<section id="related-work"><p>Kept.</p></section>', '<h2 id="comments">Kept.</h2>', '<div class="warning">Kept.</div>',
         '<div class="author-note"><p>Kept.</p></div>', '<p class="text-header">Kept.</p>',
     ],
 )
@@ -94,6 +95,8 @@ def test_names_and_values_that_hide_nothing(piece):
         "<div hidden>Gone.</div>", '<div hidden="">Gone.</div>', "<div class=x HIDDEN>Gone.</div>", '<div aria-hidden="true">Gone.</div>',
         '<div style="color:red; display : none">Gone.</div>', '<div class="ad">Gone.</div>', '<div class="text-center related-posts">Gone.</div>',
         '<div id="shareButtons">Gone.</div>', '<div role="navigation">Gone.</div>', '<p class="ad">Gone.</p>', '<section id="comments">Gone.</section>',
+        '<div class="notice">Gone.</div>', '<div class="user-comment">Gone.</div>', '<div class="responses"><p>Gone.</p></div>',
+        '<ol class="reader-comments"><li>Gone.</li></ol>',
     ],
 )
 def test_hidden_elements_and_boilerplate_containers(piece):
@@ -120,3 +123,22 @@ def test_short_blocks_without_article_or_main(name):
     menu = "<nav><a href=a>Home</a></nav><ul><li><a href=b>News</a></li><li><a href=c>About us</a></li></ul>"
     assert h.main_text(html) == text
     assert h.main_text(f"{menu}{html}<div class=sidebar>Buy this</div><footer>(c) us</footer>") == text
+
+
+LONG = "It had rained for a week when the boat came in at last, and nobody was there to see it."
+
+
+def test_a_form_around_the_whole_page():
+    menu = "<nav><a href=a>Home</a></nav>"
+    for body in (f"<h2>News</h2><p>{LONG}</p><p>{LONG}</p>", f"<article><h1>News</h1><p>{LONG}</p></article>"):
+        wanted = h.main_text(f"<body>{menu}{body}</body>")
+        assert LONG in wanted
+        assert h.main_text(f'<body><form id="aspnetForm" method=post>{menu}{body}<input type=hidden></form></body>') == wanted
+    login = f"<p>{LONG}</p><p>{LONG}</p><form><label>Name</label><input><p>Send us a message and we will answer as soon as we can, or even sooner.</p></form>"
+    assert h.main_text(login) == f"{LONG}\n{LONG}"
+
+
+def test_wrong_nesting_costs_no_walks():
+    start = time.process_time()
+    assert h.main_text("<p>" + "<b id=x>" * 60_000 + LONG + "</i>" * 60_000) == LONG
+    assert time.process_time() - start < 5
