@@ -12,13 +12,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, batch_rows, mix, new_path, word_hashes, words
+from .common import batch, batch_rows, drop_stored, mix, stored, word_hashes, words
 
 #: Tokens of a block, n-grams of a shard, discount of a pair's count, share of all tokens
-#: from which a word's successors are dealt over all shards.
-BLOCK, SHARD, DISCOUNT, HOT = 1_500_000, 1_500_000, 0.75, 0.0005
-#: Bits of a word's number; the end of a text is a word of its own.
-KEY, END = 40, np.uint64(0x0E4D0E4D0E4D0E4D)
+#: from which a context's successors are dealt over all shards.
+BLOCK, SHARD, DISCOUNT, HOT = 1_000_000, 1_000_000, 0.75, 0.0005
+#: The hash of the end of a text, which is a word of its own.
+END = np.uint64(0x0E4D0E4D0E4D0E4D)
 _ONE = np.uint64(1)
 
 
@@ -101,80 +101,95 @@ CODES = np.concatenate([np.arange(4097.0), 4096 * 1.002 ** np.arange(1, 20_000)]
 
 
 class Trie:
-    """Two levels over the words of a shard: contexts, and under each its successors.
+    """The n-grams of a shard: levels of contexts over its words, and under each context its successors.
 
-    Word numbers are replaced by their places among the shard's words.  The second level
-    is one monotone sequence: a successor is stored relative to its context, as context
-    place * words + word place.  Pointers (monotone) give each context its range, and two
-    bytes a successor code its pair's count: exact to 4096, on a log scale beyond.
+    Word numbers are replaced by their places among the shard's words.  Every level is one
+    monotone sequence: a word is stored relative to the n-gram before it, as that n-gram's
+    place * words + word place.  Pointers (monotone) give each context its range of
+    successors, and two bytes a successor code its count: exact to 4096, on a log scale
+    beyond.
     """
 
-    def __init__(self, vocabulary: EliasFano, contexts: EliasFano, pointers: EliasFano, successors: EliasFano, codes: np.ndarray):
-        self.levels, self.codes = (vocabulary, contexts, pointers, successors), codes
+    def __init__(self, vocabulary: EliasFano, contexts: list[EliasFano], pointers: EliasFano, successors: EliasFano, codes: np.ndarray):
+        self.vocabulary, self.contexts, self.pointers, self.successors, self.codes = vocabulary, contexts, pointers, successors, codes
 
     @classmethod
     def build(cls, context: np.ndarray, word: np.ndarray, count: np.ndarray) -> Trie:
-        """From the distinct (context, word) pairs in ascending order and their counts."""
-        vocabulary = np.unique(np.concatenate([context, word]))
-        first, successor = np.searchsorted(vocabulary, context), np.searchsorted(vocabulary, word)
-        contexts, start = np.unique(first, return_index=True)
-        place = np.repeat(np.arange(len(contexts)), np.diff(np.append(start, len(first))))
-        size = max(1, len(vocabulary))
+        """From distinct n-grams in ascending order: numbers of the context's words (one row a word), successor, count."""
+        columns = [*np.atleast_2d(context), word]
+        vocabulary = np.unique(np.concatenate(columns))
+        size, last = max(1, len(vocabulary)), int(vocabulary[-1]) + 1 if len(vocabulary) else 1
+        at, above, levels = np.zeros(len(word), np.int64), 1, []
+        for column in columns:
+            key = at * size + np.searchsorted(vocabulary, column)
+            new = np.r_[True, key[1:] != key[:-1]][: len(key)]
+            start = np.flatnonzero(new)
+            levels.append(EliasFano.of(key[start], above * size))
+            parents, at, above = at[start], np.cumsum(new) - 1, max(1, len(start))
+        many = np.bincount(parents, minlength=levels[-2].n) if len(word) else np.zeros(0, np.int64)
         codes = np.searchsorted(CODES, count * 1.0, "right") - 1
-        return cls(
-            EliasFano.of(vocabulary, 1 << KEY), EliasFano.of(contexts, size),
-            EliasFano.of(np.append(start, len(first)), len(first) + 1),
-            EliasFano.of(place * size + successor, max(1, len(contexts)) * size), codes.astype(np.uint16),
-        )
+        pointers = EliasFano.of(np.concatenate(([0], np.cumsum(many))), len(word) + 1)
+        return cls(EliasFano.of(vocabulary, last), levels[:-1], pointers, levels[-1], codes.astype(np.uint16))
 
     def to_bytes(self) -> bytes:
-        parts = [p for level in self.levels for p in level.parts()] + [self.codes]
+        levels = [self.vocabulary, self.pointers, self.successors, *self.contexts]
+        parts = [p for level in levels for p in level.parts()] + [self.codes]
         parts = [np.ascontiguousarray(p).view(np.uint8) for p in parts]
         parts = [np.concatenate([p, np.zeros(-len(p) % 8, np.uint8)]) for p in parts]
-        sizes = np.array([len(p) for p in parts], np.int64)
+        sizes = np.array([len(parts), *map(len, parts)], np.int64)
         return b"".join([sizes.tobytes(), *(p.tobytes() for p in parts)])
 
     @classmethod
     def mapped(cls, data: bytes | mmap.mmap) -> Trie:
         """Read in place: nothing is copied out of the mapped levels."""
-        sizes = np.frombuffer(data, np.int64, 17)
-        ends = np.cumsum(sizes) + sizes.nbytes
+        n = int(np.frombuffer(data, np.int64, 1)[0])
+        sizes = np.frombuffer(data, np.int64, n, 8)
+        ends = np.cumsum(sizes) + sizes.nbytes + 8
         parts = [np.frombuffer(data, np.uint8, n, e - n) for n, e in zip(sizes, ends, strict=True)]
         levels = []
-        for k in range(0, 16, 4):
+        for k in range(0, n - 1, 4):
             head, low, high, ones = parts[k : k + 4]
             levels.append(EliasFano(head.view(np.int64), low, high.view(np.uint64), ones.view(np.int64)))
-        return cls(*levels, parts[16].view(np.uint16))
+        return cls(levels[0], levels[3:], levels[1], levels[2], parts[-1].view(np.uint16))
+
+    def _places(self, context: np.ndarray) -> np.ndarray:
+        """The place of each context on the last level of contexts, -1 where it isn't there."""
+        at = np.zeros(np.atleast_2d(context).shape[1], np.int64)
+        for level, column in zip(self.contexts, np.atleast_2d(context), strict=True):
+            at = self._below(level, at, column)
+        return at
+
+    def _below(self, level: EliasFano, at: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """The successor search: the place on `level` of a word after the n-gram at place `at`."""
+        word = _found(self.vocabulary, column)
+        known = np.flatnonzero((at >= 0) & (word >= 0))
+        out = np.full(len(at), -1)
+        out[known] = _found(level, at[known] * max(1, self.vocabulary.n) + word[known])
+        return out
 
     def counts(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The code of each pair; 0 where the trie doesn't hold it."""
-        vocabulary, contexts, pointers, successors = self.levels
-
-        def places(x, level):
-            own, back = np.unique(x, return_inverse=True)
-            return level.find(own)[back]
-
-        first, second = places(context, vocabulary), places(word, vocabulary)
-        known = np.flatnonzero((first >= 0) & (second >= 0))
-        out = np.zeros(len(context), np.uint16)
-        at = places(first[known], contexts)
-        known, at = known[at >= 0], at[at >= 0]
-        found = successors.find(at * max(1, vocabulary.n) + second[known])
-        inside = (found >= 0) & (found >= pointers.get(at).astype(np.int64)) & (found < pointers.get(at + 1).astype(np.int64))
+        """The code of each n-gram; 0 where the trie doesn't hold it."""
+        at = self._places(context)
+        found = self._below(self.successors, at, word)
+        out, known = np.zeros(len(word), np.uint16), np.flatnonzero(found >= 0)
+        at, found = at[known], found[known]
+        inside = (found >= self.pointers.get(at).astype(np.int64)) & (found < self.pointers.get(at + 1).astype(np.int64))
         out[known[inside]] = self.codes[found[inside]]
         return out
 
-
     def branching(self, context: np.ndarray) -> np.ndarray:
         """How many successors each context has."""
-        vocabulary, contexts, pointers, _ = self.levels
-        at = vocabulary.find(context)
-        at = np.where(at >= 0, contexts.find(np.maximum(at, 0)), -1)
-        out, known = np.zeros(len(context), np.int64), np.flatnonzero(at >= 0)
-        out[known] = pointers.get(at[known] + 1).astype(np.int64) - pointers.get(at[known]).astype(np.int64)
+        at = self._places(context)
+        out, known = np.zeros(len(at), np.int64), np.flatnonzero(at >= 0)
+        out[known] = self.pointers.get(at[known] + 1).astype(np.int64) - self.pointers.get(at[known]).astype(np.int64)
         return out
 
 
+def _found(level: EliasFano, x: np.ndarray) -> np.ndarray:
+    own, back = np.unique(x, return_inverse=True)
+    return level.find(own)[back]
+
+
 def _planes(x: np.ndarray, width: int) -> bytes:
     """The low `width` bytes of each number, byte by byte: leading bytes compress well."""
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
@@ -186,11 +201,20 @@ def _numbers(data: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-_BLOCK = "block long, doc_id array<long>, held array<boolean>, size array<int>, tokens binary, hashes binary, counts binary"
+def _squeezed(*parts: bytes) -> bytes:
+    raw = b"".join(parts)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _opened(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
+_BLOCK = "block long, doc_id array<long>, held array<boolean>, size array<int>, tokens binary, words binary, counts binary"
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of whole texts: each token's place among the block's words, most frequent first."""
+    """Blocks of whole texts: each token's place among the block's words, their hashes and learned counts."""
 
     def made(held: list, seq: int) -> pa.RecordBatch:
         ids = pa.concat_arrays([h[0] for h in held])
@@ -198,13 +222,12 @@ def _blocks(docs: DataFrame) -> DataFrame:
         flat, n = pa.concat_arrays([h[2] for h in held]), np.concatenate([h[3] for h in held])
         coded = flat.dictionary_encode()
         token = coded.indices.to_numpy().astype(np.int64)
-        hashes = word_hashes(coded.dictionary)
+        hashes = np.append(word_hashes(coded.dictionary), END)
         ends = np.cumsum(n + 1) - 1
-        full = np.full(len(token) + len(n), len(hashes), np.int64)
+        full = np.full(len(token) + len(n), len(hashes) - 1, np.int64)
         inner = np.ones(len(full), bool)
         inner[ends] = False
         full[inner] = token
-        hashes = np.append(hashes, END)
         train = np.repeat(~out, n + 1)
         order = np.argsort(-np.bincount(full, minlength=len(hashes)), kind="stable")
         place = np.empty(len(order), np.int64)
@@ -213,8 +236,8 @@ def _blocks(docs: DataFrame) -> DataFrame:
         block = TaskContext.get().partitionId() << 32 | seq
         return batch(
             block=[block], doc_id=pa.array([ids.to_pylist()], pa.list_(pa.int64())), held=pa.array([out.tolist()]),
-            size=pa.array([(n + 1).tolist()], pa.list_(pa.int32())), tokens=[_planes(place[full], 4)],
-            hashes=[hashes[order].tobytes()], counts=[_planes(counts, 4)],
+            size=pa.array([(n + 1).tolist()], pa.list_(pa.int32())), tokens=[_squeezed(_planes(place[full], 4))],
+            words=[hashes[order].tobytes()], counts=[_squeezed(_planes(counts, 4))],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,166 +255,257 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _BLOCK)
 
 
+def _dealt(hashes: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places) of a block's words, by ascending shard."""
+    shard = (mix(hashes, 1) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    own, start = np.unique(shard[order], return_index=True)
+    return zip(own.tolist(), np.split(order, start[1:]) if len(own) else [], strict=True)
+
+
+_ASKED = "shard int, block long, kind string, data binary"
+
+
+def _asked(shard, block, kind, data) -> pa.RecordBatch:
+    return batch(
+        shard=pa.array(shard, pa.int32()), block=pa.array([block] * len(shard) if isinstance(block, int) else block, pa.int64()),
+        kind=pa.array(kind, pa.string()), data=pa.array(data, pa.binary()),
+    )
+
+
+def _runs(batches: Iterator[pa.RecordBatch], answer) -> Iterator[pa.RecordBatch]:
+    """`answer(shard, kind, blocks, data)` of each run of rows of one shard and kind."""
+    now, blocks, data = None, [], []
+    for b in batches:
+        columns = (b.column(c).to_pylist() for c in ("shard", "block", "kind"))
+        for shard, block, kind, d in zip(*columns, b.column("data"), strict=True):
+            if now != (shard, kind):
+                if now:
+                    yield from answer(*now, blocks, data)
+                now, blocks, data = (shard, kind), [], []
+            blocks.append(block)
+            data.append(d.as_py())
+    if now:
+        yield from answer(*now, blocks, data)
+
+
+def _number_words(blocks: DataFrame, shards: int) -> DataFrame:
+    """(shard, block, kind, data): each block's words' learned counts in all blocks and their numbers.
+
+    A shard numbers its words by falling count and leaves room for the other shards'
+    numbers, so frequent words have small numbers and no two words share one.  A row of
+    kind `size` holds how many of a shard's words were learned.
+    """
+
+    def asking(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                hashes, counts = np.frombuffer(row["words"], np.uint64), _opened_numbers(row["counts"], 4)
+                found = list(_dealt(hashes, shards))
+                data = [hashes[at].tobytes() + _planes(counts[at], 4) for _, at in found]
+                yield _asked([s for s, _ in found], row["block"], ["word"] * len(found), data)
+
+    def answer(shard, kind, blocks, data):
+        parts = [len(d) // 12 for d in data]
+        hashes = np.concatenate([np.frombuffer(d, np.uint64, n) for d, n in zip(data, parts, strict=True)])
+        counts = np.concatenate([_numbers(d[n * 8 :], 4) for d, n in zip(data, parts, strict=True)])
+        own, back = np.unique(hashes, return_inverse=True)
+        total = np.bincount(back, counts.astype(np.float64), len(own)).astype(np.uint64)
+        number = np.empty(len(own), np.uint64)
+        number[np.argsort(-total.astype(np.int64), kind="stable")] = np.arange(len(own), dtype=np.uint64) * np.uint64(shards) + np.uint64(shard)
+        yield _asked([shard], [-1], ["size"], [np.int64((total > 0).sum()).tobytes()])
+        each = np.split(back, np.cumsum(parts)[:-1])
+        yield _asked([shard] * len(blocks), blocks, [kind] * len(blocks), [_squeezed(_planes(number[x], 6), _planes(total[x], 6)) for x in each])
+
+    batch_rows(blocks.sparkSession, 1)
+    asked = blocks.select("block", "words", "counts").mapInArrow(asking, _ASKED)
+    asked = asked.repartition("shard").sortWithinPartitions("shard", "kind", "block")
+    return asked.mapInArrow(lambda batches: _runs(batches, answer), _ASKED)
+
+
+def _opened_numbers(data: bytes, width: int) -> np.ndarray:
+    return _numbers(_opened(data), width)
+
+
+def _renumbered(row: dict, answers: list[bytes], shards: int) -> pa.RecordBatch:
+    """A block whose words are in the order of their numbers, with their counts over all blocks."""
+    hashes = np.frombuffer(row["words"], np.uint64)
+    number, count = np.zeros(len(hashes), np.uint64), np.zeros(len(hashes), np.uint64)
+    for (_, at), data in zip(_dealt(hashes, shards), answers, strict=True):
+        data = _opened(data)
+        number[at], count[at] = _numbers(data[: len(at) * 6], 6), _numbers(data[len(at) * 6 :], 6)
+    order = np.argsort(number)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    token = place[_opened_numbers(row["tokens"], 4).astype(np.int64)]
+    end = place[np.flatnonzero(hashes == END)]
+    return batch(
+        block=[row["block"]], doc_id=pa.array([row["doc_id"]], pa.list_(pa.int64())), held=pa.array([row["held"]], pa.list_(pa.bool_())),
+        size=pa.array([row["size"]], pa.list_(pa.int32())), tokens=[_squeezed(_planes(np.append(end, token), 4))],
+        words=[_squeezed(_planes(number[order], 6))], counts=[_squeezed(_planes(count[order], 6))],
+    )
+
+
+def _together(blocks: DataFrame, answers: DataFrame, kinds: list[str], made, schema: str) -> DataFrame:
+    """`made(block, answers by kind)` of each block and its answers, which come by ascending shard."""
+
+    def run(batches):
+        block, found = None, {}
+        for b in batches:
+            for row in b.to_pylist():
+                if row["kind"] == "":
+                    if block is not None:
+                        yield made(block, found)
+                    block, found = row, {kind: [] for kind in kinds}
+                else:
+                    found[row["kind"]].append(row["data"])
+        if block is not None:
+            yield made(block, found)
+
+    names = [f.name for f in blocks.schema if f.name != "block"]
+    nothing = [F.lit(None).cast(blocks.schema[n].dataType).alias(n) for n in names]
+    own = blocks.select("block", F.lit("").alias("kind"), F.lit(-1).alias("shard"), *names, F.lit(None).cast("binary").alias("data"))
+    back = answers.where("block >= 0").select("block", "kind", "shard", *nothing, "data")
+    return own.union(back).repartition("block").sortWithinPartitions("block", "kind", "shard").mapInArrow(run, schema)
+
+
 def _gram_hashes(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(mix(context, 5) ^ word, 6)
 
 
 class _Level:
-    """The n-grams of one length in a block, and the order in which the shards are asked for them.
+    """The n-grams of one length in a block in ascending order, and the order in which shards are asked for them.
 
-    Contexts are renumbered by hash, so that the numbers sent to a shard ascend.
+    `first` is the place of an n-gram's context among the n-grams one shorter, whose words'
+    numbers are `columns` and whose hashes are `own`; hashes only choose a shard and name
+    the few hot contexts.
     """
 
-    def __init__(self, context: np.ndarray, token: np.ndarray, valid: np.ndarray, own: np.ndarray, words: np.ndarray, shards: int, hot: np.ndarray):
-        self.shards, self.lower = shards, np.argsort(own)  # the context's number among the n-grams one shorter
-        rank = np.empty(len(own), np.int64)
-        rank[self.lower] = np.arange(len(own))
-        self.contexts = own[self.lower]
+    def __init__(self, context: np.ndarray, token: np.ndarray, valid: np.ndarray, own: np.ndarray, columns: list, words: np.ndarray, shards: int, hot: np.ndarray):
         where = np.flatnonzero(valid)
-        self.grams, inverse = np.unique(rank[context[where]] * len(words) + token[where], return_inverse=True)
+        self.columns, self.words, self.own = columns, words, own
+        self.grams, inverse = np.unique(context[where] * len(words) + token[where], return_inverse=True)
         self.place = np.full(len(token), -1, np.int32)
         self.place[where] = inverse
         self.at = np.zeros(len(self.grams), np.int32)  # a place of each n-gram
         self.at[inverse] = where
         self.first, self.second = (x.astype(np.int32) for x in np.divmod(self.grams, len(words)))
-        spread = np.isin(self.contexts, hot)
-        self.everywhere = np.intersect1d(np.flatnonzero(spread), self.first)
-        one = self.contexts[self.first]
-        self.hashes = _gram_hashes(one, words[self.second])
-        one = np.where(spread[self.first], mix(one ^ words[self.second], 2), one)
+        self.hashes = _gram_hashes(own[self.first], words[self.second])
+        one = np.where(np.isin(own, hot)[self.first], mix(self.hashes, 2), own[self.first])
         self.shard = (mix(one, 1) % np.uint64(shards)).astype(np.int64)
         self.order = np.argsort(self.shard, kind="stable")
 
     def of_shards(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(shard, contexts, n-grams) asked of each shard; of the spread contexts every shard has a part."""
-        ends = np.searchsorted(self.shard[self.order], np.arange(self.shards + 1))
-        for s in range(self.shards):
-            at = self.order[ends[s] : ends[s + 1]]
-            contexts = np.union1d(self.first[at], self.everywhere)
-            if len(contexts):
-                yield s, contexts, at
-
+        """(shard, contexts, n-grams) asked of each shard that has any."""
+        own, start = np.unique(self.shard[self.order], return_index=True)
+        for s, at in zip(own.tolist(), np.split(self.order, start[1:]) if len(own) else [], strict=True):
+            yield s, np.unique(self.first[at]), at
 
-def _before(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A block's tokens, its words' hashes, each token's place in its text, the token before it."""
-    token, size = _numbers(row["tokens"], 4).astype(np.int64), np.array(row["size"], np.int64)
-    hashes = np.frombuffer(row["hashes"], np.uint64)
-    starts = np.cumsum(size) - size
-    before = np.roll(token, 1)
-    before[starts] = int(np.flatnonzero(hashes == END)[0])  # a text begins after an end
-    return token, hashes, np.arange(len(token)) - np.repeat(starts, size), before
+    def longer(self) -> tuple[np.ndarray, np.ndarray, list]:
+        """Context of each token, hashes and columns for the n-grams one longer."""
+        return np.roll(self.place, 1), self.hashes, [*(c[self.first] for c in self.columns), self.words[self.second]]
 
 
 class _Block:
-    """A block's tokens with the order in which its words and n-grams are asked of the shards."""
+    """A numbered block's tokens, and its n-grams of each length."""
 
-    def __init__(self, row: dict, shards: list[int], hot: np.ndarray):
+    def __init__(self, row: dict):
         self.ids, self.held, self.size = row["doc_id"], np.array(row["held"], bool), np.array(row["size"], np.int64)
-        self.token, self.hashes, place, context = _before(row)
-        self.counts = _numbers(row["counts"], 4)
-        self.word_shard = (mix(self.hashes, 1) % np.uint64(shards[0])).astype(np.int64)
-        self.word_order = np.argsort(self.word_shard, kind="stable")
-        self.start, self.context, self.shards, self.hot = place, context, shards, hot
-
-    def levels(self) -> Iterator[tuple[int, _Level]]:
+        tokens = _opened_numbers(row["tokens"], 4).astype(np.int64)
+        self.token, self.words = tokens[1:], _opened_numbers(row["words"], 6)
+        starts = np.cumsum(self.size) - self.size
+        self.start, self.before = np.arange(len(self.token)) - np.repeat(starts, self.size), np.roll(self.token, 1)
+        self.before[starts] = tokens[0]  # a text begins after an end
+        self.train = np.repeat(~self.held, self.size)
+
+    def levels(self, shards: list[int], hot: np.ndarray) -> Iterator[tuple[int, _Level]]:
         """The n-grams of each length, made one after another: a caller holds those of one length."""
-        context, own = self.context, self.hashes
-        for n, many in enumerate(self.shards, 2):  # a text's first words have no context longer than its start
-            level = _Level(context, self.token, self.start >= n - 2, own, self.hashes, many, self.hot)
+        context, own, columns = self.before, mix(self.words, 9), [self.words]
+        for n, many in enumerate(shards, 2):  # a text's first words have no context longer than its start
+            level = _Level(context, self.token, self.start >= n - 2, own, columns, self.words, many, hot)
             yield n, level
-            context, own = np.roll(level.place, 1), level.hashes
+            context, own, columns = level.longer()
             del level
 
-    def questions(self, block: int) -> Iterator[pa.RecordBatch]:
-        train = np.repeat(~self.held, self.size)
-        keys = self.hashes >> np.uint64(64 - KEY)
-        shard, kind, data = [], [], []
-        w_ends = np.searchsorted(self.word_shard[self.word_order], np.arange(self.shards[0] + 1))
-        for s in range(self.shards[0]):
-            at = self.word_order[w_ends[s] : w_ends[s + 1]]
-            if len(at):
-                shard.append(s)
-                kind.append("word")
-                data.append(self.hashes[at].tobytes() + _planes(self.counts[at], 4))
-        yield _asked(shard, block, kind, data)
-        for n, level in self.levels():
-            seen = np.bincount(level.place[train & (level.place >= 0)], minlength=len(level.grams))
-            own = level.contexts >> np.uint64(64 - KEY)
+    def frequent(self, order: int, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(hashes, counts) of the contexts with at least this share of the block's tokens."""
+        own, number, valid = mix(self.words, 9), self.token, np.ones(len(self.token), bool)
+        context = self.before
+        for n in range(1, order):  # a context is no more frequent than its parts
+            counts = np.bincount(number[valid], minlength=len(own))
+            some = counts > share * len(self.token)
+            yield own[some], counts[some]
+            if n == order - 1 or not some.any():
+                return
+            if n == 1:
+                words = some
+                valid = some[context] & some[self.token]
+            else:
+                valid &= some[np.where(valid, number, 0)]
+                context, valid = np.roll(number, 1), np.roll(valid, 1) & words[self.token] & (self.start >= n - 1)
+            grams, inverse = np.unique(context[valid] * len(self.words) + self.token[valid], return_inverse=True)
+            own = _gram_hashes(own[grams // len(self.words)], self.words[grams % len(self.words)])
+            number = np.zeros(len(self.token), np.int64)
+            number[valid] = inverse
+
+    def questions(self, block: int, shards: list[int], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for n, level in self.levels(shards, hot):
+            seen = np.bincount(level.place[self.train & (level.place >= 0)], minlength=len(level.grams))
             shard, data = [], []
             for s, contexts, at in level.of_shards():  # a context once, with the number of its n-grams
                 many = np.bincount(np.searchsorted(contexts, level.first[at]), minlength=len(contexts))
-                shard.append(s)
+                columns = [c[contexts] for c in level.columns]
+                columns[0] = np.diff(columns[0], prepend=np.uint64(0))  # they ascend
                 head = np.array([len(contexts), len(at)], np.int64).tobytes()
-                data.append(b"".join([head, _planes(own[contexts], 5), _planes(many, 4), _planes(keys[level.second[at]], 5), _planes(seen[at], 4)]))
+                shard.append(s)
+                data.append(_squeezed(head, *(_planes(c, 6) for c in columns), _planes(many, 4), _planes(level.words[level.second[at]], 6), _planes(seen[at], 4)))
             del level
             yield _asked(shard, block, [f"gram{n}"] * len(shard), data)
 
 
-_ASKED = "shard int, block long, kind string, data binary"
+def _question(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts (a row for each word), n-grams of each, their last words, how often they were learned."""
+    data = _opened(data)
+    many, grams = (int(x) for x in np.frombuffer(data, np.int64, 2))
+    at = 16 + many * 6 * (n - 1)
+    contexts = np.stack([_numbers(data[16 + many * 6 * k : 16 + many * 6 * (k + 1)], 6) for k in range(n - 1)])
+    contexts[0] = np.cumsum(contexts[0])
+    each, at = _numbers(data[at : at + many * 4], 4).astype(np.int64), at + many * 4
+    return contexts, each, _numbers(data[at : at + grams * 6], 6), _numbers(data[at + grams * 6 :], 4)
 
 
-def _asked(shard, block, kind, data) -> pa.RecordBatch:
-    return batch(
-        shard=pa.array(shard, pa.int32()), block=pa.array([block] * len(shard) if isinstance(block, int) else block, pa.int64()),
-        kind=pa.array(kind, pa.string()), data=pa.array(data, pa.binary()),
-    )
-
+def _gram_answers(hot: np.ndarray):
+    """Sums a shard's counts over all blocks, builds its trie and answers every block from it.
 
-def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums each shard's counts over all blocks, builds its trie and answers every block from it."""
+    A row of kind `hot` holds the hot contexts of the shard with the successors they have in it.
+    """
 
-    def word_counts(shard, blocks, data):
-        parts = [len(d) // 12 for d in data]
-        hashes = np.concatenate([np.frombuffer(d, np.uint64, n) for d, n in zip(data, parts, strict=True)])
-        counts = np.concatenate([_numbers(d[n * 8 :], 4) for d, n in zip(data, parts, strict=True)])
-        own, back = np.unique(hashes, return_inverse=True)
-        total = np.bincount(back, counts.astype(np.float64), len(own)).astype(np.uint64)
-        answers = [x.tobytes() for x in np.split(total[back], np.cumsum(parts)[:-1])]
-        # the shard's own words: how many were learned
-        yield _asked([shard], [-1], ["size"], [np.int64((total > 0).sum()).tobytes()])
-        yield _asked([shard] * len(blocks), blocks, ["word"] * len(blocks), answers)
-
-    def gram_counts(kind, shard, blocks, data):
-        first, second, seen, contexts, parts = [], [], [], [], []
-        for d in data:
-            n, m = np.frombuffer(d, np.int64, 2)
-            a, b, c = 16 + n * 5, 16 + n * 9, 16 + n * 9 + m * 5
-            contexts.append(_numbers(d[16:a], 5))
-            first.append(np.repeat(contexts[-1], _numbers(d[a:b], 4).astype(np.int64)))
-            second.append(_numbers(d[b:c], 5))
-            seen.append(_numbers(d[c:], 4))
-            parts.append(int(m))
-        first, second, seen = np.concatenate(first), np.concatenate(second), np.concatenate(seen)
+    def answer(shard, kind, blocks, data):
+        asked = [_question(d, int(kind[4:])) for d in data]
+        data.clear()
+        grams = np.concatenate([np.vstack([np.repeat(c, each, 1), word]) for c, each, word, _ in asked], 1)
+        seen = np.concatenate([a[3] for a in asked])
         learned = np.flatnonzero(seen)
-        order = learned[np.lexsort((second[learned], first[learned]))]
-        a, b = first[order], second[order]
-        new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)])
-        count = np.add.reduceat(seen[order], new) if len(new) else np.zeros(0, np.uint64)
-        levels = Trie.build(a[new], b[new], count.astype(np.int64)).to_bytes()
+        order = learned[np.lexsort(grams[::-1, learned])]
+        grams, seen = grams[:, order], seen[order]
+        new = np.flatnonzero(np.r_[True, (grams[:, 1:] != grams[:, :-1]).any(0)][: len(order)])
+        count = np.add.reduceat(seen, new) if len(new) else np.zeros(0, np.uint64)
+        grams = grams[:, new]
+        levels = Trie.build(grams[:-1], grams[-1], count.astype(np.int64)).to_bytes()
         memory = mmap.mmap(-1, len(levels))
         memory.write(levels)
         trie = Trie.mapped(memory)
-        codes = np.split(trie.counts(first, second), np.cumsum(parts)[:-1])
-        yield _asked(
-            [shard] * len(blocks), blocks, [kind] * len(blocks),
-            [_planes(trie.branching(c), 4) + _planes(x, 2) for c, x in zip(contexts, codes, strict=True)],
-        )
-
-    now, blocks, data = None, [], []
-
-    def done():
-        if now:
-            yield from word_counts(now[0], blocks, data) if now[1] == "word" else gram_counts(now[1], now[0], blocks, data)
+        own = mix(grams[0], 9)
+        for column in grams[1:-1]:
+            own = _gram_hashes(own, column)
+        names, many = np.unique(own[np.isin(own, hot)], return_counts=True)
+        if len(names):
+            yield _asked([shard], [-1], ["hot"], [names.tobytes() + many.astype(np.int64).tobytes()])
+        for block, (contexts, each, word, _) in zip(blocks, asked, strict=True):
+            codes = trie.counts(np.repeat(contexts, each, 1), word)
+            yield _asked([shard], [block], [kind], [_squeezed(_planes(trie.branching(contexts), 4), _planes(codes, 2))])
 
-    for b in batches:
-        columns = (b.column(c).to_pylist() for c in ("shard", "block", "kind"))
-        for shard, block, kind, d in zip(*columns, b.column("data"), strict=True):
-            if now != (shard, kind):
-                yield from done()
-                now, blocks, data = (shard, kind), [], []
-            blocks.append(block)
-            data.append(d.as_py())
-    yield from done()
+    return answer
 
 
 def score(docs: DataFrame, discount: float = DISCOUNT, order: int = 2) -> DataFrame:
@@ -406,21 +520,20 @@ def score(docs: DataFrame, discount: float = DISCOUNT, order: int = 2) -> DataFr
     n-gram before a word, as far as its text has one, and what p1 is to a pair the
     probability with the context's first word left out is to a longer n-gram.  Counts of
     n-grams come from the tries, exact to 4096 and within 1/500 beyond.  Words are told apart
-    by 64-bit hashes, words and contexts of a trie by 40 bits.  A null held flag counts as
+    by 64-bit hashes, n-grams by the numbers of their words.  A null held flag counts as
     false.  Repeated rows count each time.  An empty table gives no rows.
 
-    Blocks of tokens are stored once.  Each asks the shards for its distinct words and
-    n-grams; a shard sums the counts of all blocks, builds its trie and answers from it; the
-    answers meet their block again.  Everything is a shuffle of packed arrays of bounded
-    size; the successors of the few most frequent contexts are dealt over all shards.
+    Blocks of tokens are stored once.  First their words get counts and numbers, small for
+    frequent words, and the blocks are stored with them.  Then each asks the shards for its
+    distinct n-grams; a shard sums the counts of all blocks, builds its trie and answers from
+    it; the answers meet their block again.  Everything is a shuffle of packed arrays of
+    bounded size.  The n-grams of the few most frequent contexts are dealt over all shards;
+    how many successors these contexts have is summed once and handed to all tasks.
     """
     spark = docs.sparkSession
     batch_rows(spark, 256)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("held", F.lit(False)).alias("held"))
-    path = new_path(spark, "tokens")
-    _blocks(docs).write.option("compression", "zstd").parquet(path)
-    blocks = spark.read.schema(_BLOCK).parquet(path)
-    batch_rows(spark, 1)
+    blocks = stored(_blocks(docs), "tokens")
     lengths = F.aggregate("size", F.lit(0).cast("long"), lambda s, x: s + x)
     kept = F.aggregate(
         F.zip_with("size", "held", lambda n, h: F.when(h, 0).otherwise(n)), F.lit(0).cast("long"), lambda s, x: s + x
@@ -428,66 +541,46 @@ def score(docs: DataFrame, discount: float = DISCOUNT, order: int = 2) -> DataFr
     total, train = blocks.select(lengths.alias("n"), kept.alias("t")).agg(F.sum("n"), F.sum("t")).first()
     if not total:
         return spark.createDataFrame([], _SCORES)
+    word_shards = total * 2 // 3 // SHARD + 1
     # most pairs of a block come several times, longer n-grams seldom
     shards = [total * 2 // 3 // SHARD + 1] + [total * 3 // 2 // SHARD + 1] * (order - 2)
+    answers = stored(_number_words(blocks, word_shards), "words")
+    sizes = answers.where("kind = 'size'").select("data").mapInArrow(_sizes, "n long").agg(F.sum("n")).first()[0]
+    vocabulary, train = int(sizes or 0), int(train)
+    batch_rows(spark, 4)
+    blocks_before, words_before = blocks, answers
+    blocks = stored(_together(blocks, answers, ["word"], lambda row, found: _renumbered(row, found["word"], word_shards), _BLOCK), "blocks")
+    drop_stored(blocks_before)
+    drop_stored(words_before)
 
     def frequent(batches):
         for b in batches:
             for row in b.to_pylist():
-                token, hashes, place, context = _before(row)
-                own, number, valid = hashes, token, np.ones(len(token), bool)
-                for n in range(1, order):  # a context is no more frequent than its parts
-                    counts = np.bincount(number[valid], minlength=len(own))
-                    some = counts > HOT / 2 * len(token)
-                    yield batch(word=own[some].astype(np.int64), n=counts[some])
-                    if n == order - 1 or not some.any():
-                        break
-                    if n == 1:
-                        words = some
-                        valid = some[context] & some[token]
-                    else:
-                        valid &= some[np.where(valid, number, 0)]
-                        context, valid = np.roll(number, 1), np.roll(valid, 1) & words[token] & (place >= n - 1)
-                    grams, inverse = np.unique(context[valid] * len(hashes) + token[valid], return_inverse=True)
-                    own = _gram_hashes(own[grams // len(hashes)], hashes[grams % len(hashes)])
-                    number = np.zeros(len(token), np.int64)
-                    number[valid] = inverse
+                for own, counts in _Block(row).frequent(order, HOT / 2):
+                    yield batch(word=own.astype(np.int64), n=counts)
 
     # contexts of at least the share HOT of all tokens: 1 / HOT of each length at most
-    tally = blocks.select("tokens", "hashes", "size").mapInArrow(frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    batch_rows(spark, 1)
+    tally = blocks.mapInArrow(frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     hot = np.array([r["word"] for r in tally.where(F.col("n") >= HOT / 2 * total).select("word").collect()], np.int64).astype(np.uint64)
 
     def asking(batches):
         for b in batches:
             for row in b.to_pylist():
-                yield from _Block(row, shards, hot).questions(row["block"])
+                yield from _Block(row).questions(row["block"], shards, hot)
 
+    answer = _gram_answers(hot)
     asked = blocks.mapInArrow(asking, _ASKED).repartition("shard", "kind").sortWithinPartitions("shard", "kind", "block")
-    answer_path = new_path(spark, "answers")
-    batch_rows(spark, 16)
-    asked.mapInArrow(_answers, _ASKED).write.option("compression", "zstd").parquet(answer_path)
-    answers = spark.read.schema(_ASKED).parquet(answer_path)
-    sizes = answers.where("kind = 'size'").select("data").mapInArrow(_sizes, "n long").agg(F.sum("n")).first()[0]
-    vocabulary, train = int(sizes or 0), int(train)
+    answers = stored(asked.mapInArrow(lambda batches: _runs(batches, answer), _ASKED), "answers")
+    successors = answers.where("kind = 'hot'").select("data").mapInArrow(_successors, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    many = {r["word"]: r["n"] for r in successors.collect()}  # those of `hot` at most
+    many = np.array([many.get(h, 0) for h in hot.astype(np.int64).tolist()], np.int64)
+    batch_rows(spark, 4)
 
-    def scored(batches):
-        block, found = None, {}
-        for b in batches:
-            for row in b.to_pylist():
-                if row["kind"] == "":
-                    if block is not None:
-                        yield _scored(_Block(block, shards, hot), found, train, vocabulary, discount)
-                    block, found = row, {"word": [], **{f"gram{n}": [] for n in range(2, order + 1)}}
-                else:
-                    found[row["kind"]].append(row["data"])
-        if block is not None:
-            yield _scored(_Block(block, shards, hot), found, train, vocabulary, discount)
+    def scored(row, found):
+        return _scored(row, found, shards, hot, many, train, vocabulary, discount)
 
-    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("doc_id", "array<long>"), ("held", "array<boolean>"), ("size", "array<int>"), ("tokens", "binary"), ("hashes", "binary"), ("counts", "binary"))]
-    own = blocks.select("block", F.lit("").alias("kind"), F.lit(-1).alias("shard"), "doc_id", "held", "size", "tokens", "hashes", "counts", F.lit(None).cast("binary").alias("data"))
-    back = answers.where("block >= 0").select("block", "kind", "shard", *nothing, "data")
-    together = own.union(back).repartition("block").sortWithinPartitions("block", "kind", "shard")
-    return together.mapInArrow(scored, _SCORES)
+    return _together(blocks, answers, [f"gram{n}" for n in range(2, order + 1)], scored, _SCORES)
 
 
 def _sizes(batches):
@@ -495,22 +588,33 @@ def _sizes(batches):
         yield batch(n=[int(np.frombuffer(d.as_py(), np.int64)[0]) for d in b.column("data")])
 
 
+def _successors(batches):
+    for b in batches:
+        for d in b.column("data"):
+            word, n = np.frombuffer(d.as_py(), np.int64).reshape(2, -1)
+            yield batch(word=word, n=n)
+
+
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _scored(block: _Block, found: dict, train: int, vocabulary: int, discount: float) -> pa.RecordBatch:
+def _scored(row: dict, found: dict, shards: list[int], hot: np.ndarray, many: np.ndarray, train: int, vocabulary: int, discount: float) -> pa.RecordBatch:
     """Scores of a block's texts from the shards' answers, which come by ascending shard."""
-    count = np.zeros(len(block.hashes))
-    count[block.word_order] = np.concatenate([np.frombuffer(d, np.uint64) for d in found["word"]]).astype(np.float64)
+    block = _Block(row)
+    count = _opened_numbers(row["counts"], 6).astype(np.float64)
     p1 = (count + 0.5) / (train + 0.5 * (vocabulary + 1))
     n_known = (count[block.token] > 0).astype(np.int64)
     shorter, p = count, p1[block.token]  # counts of the n-grams one shorter, probability of each token
-    for n, level in block.levels():
-        gram, branching = np.zeros(len(level.grams)), np.zeros(len(level.contexts))
+    by_hash = np.argsort(hot)
+    for n, level in block.levels(shards, hot):
+        gram, branching = np.zeros(len(level.grams)), np.zeros(len(level.own))
         for data, (_, contexts, at) in zip(found[f"gram{n}"], level.of_shards(), strict=True):
-            branching[contexts] += _numbers(data[: len(contexts) * 4], 4)
+            data = _opened(data)
+            branching[contexts] = _numbers(data[: len(contexts) * 4], 4)
             gram[at] = CODES[_numbers(data[len(contexts) * 4 :], 2).astype(np.int64)]
-        context = shorter[level.lower][level.first]
+        spread = np.flatnonzero(np.isin(level.own, hot))
+        branching[spread] = many[by_hash][np.searchsorted(hot[by_hash], level.own[spread])]
+        context = shorter[level.first]
         rest = np.where(context > 0, discount * branching[level.first], 1.0)
         own = (np.maximum(gram - discount, 0) + rest * p[level.at]) / np.maximum(context, 1)
         p = np.where(level.place >= 0, np.minimum(own, 1.0)[level.place], p) if len(own) else p
