@@ -36,15 +36,17 @@ class EliasFano:
     def of(cls, values: np.ndarray, universe: int) -> EliasFano:
         n = len(values)
         l = max(0, int(universe // max(1, n)).bit_length() - 1)
-        values = values.astype(np.uint64)
-        bits = ((values[:, None] >> np.arange(l, dtype=np.uint64)) & _ONE).astype(np.uint8)
-        low = np.packbits(bits.ravel(), bitorder="little")
+        values, at = values.astype(np.uint64), np.arange(l, dtype=np.uint64)
+        low = [np.zeros(0, np.uint8)]
+        for i in range(0, n, 1 << 14):  # whole bytes at a time
+            low.append(np.packbits(((values[i : i + (1 << 14), None] >> at) & _ONE).astype(np.uint8).ravel(), bitorder="little"))
+        low = np.concatenate(low)
         low = np.concatenate([low, np.zeros(16 + -len(low) % 8, np.uint8)])
         places = (values >> np.uint64(l)).astype(np.int64) + np.arange(n)
         size = (int(universe) >> l) + n + 2
-        high = np.zeros(-(-size // 64) * 8, np.uint8)
-        np.bitwise_or.at(high, places >> 3, (1 << (places & 7)).astype(np.uint8))
-        high = high.view(np.uint64)
+        high = np.zeros(-(-size // 64) * 64, np.uint8)
+        high[places] = 1
+        high = np.packbits(high, bitorder="little").view(np.uint64)
         ones = np.concatenate(([0], np.cumsum(np.bitwise_count(high).astype(np.int64))))
         return cls(np.array([n, l], np.int64), low, high, ones)
 
@@ -169,19 +171,31 @@ class Trie:
 
     def counts(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The code of each n-gram; 0 where the trie doesn't hold it."""
-        at = self._places(context)
-        found = self._below(self.successors, at, word)
-        out, known = np.zeros(len(word), np.uint16), np.flatnonzero(found >= 0)
-        at, found = at[known], found[known]
-        inside = (found >= self.pointers.get(at).astype(np.int64)) & (found < self.pointers.get(at + 1).astype(np.int64))
-        out[known[inside]] = self.codes[found[inside]]
-        return out
+        return self._codes(self._places(context), word)
 
     def branching(self, context: np.ndarray) -> np.ndarray:
         """How many successors each context has."""
+        return self._widths(self._places(context))
+
+    def answer(self, context: np.ndarray, each: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Successors of each context, and codes of its n-grams: `each` words follow one context."""
         at = self._places(context)
+        return self._widths(at), self._codes(np.repeat(at, each), word)
+
+    def _codes(self, at: np.ndarray, word: np.ndarray) -> np.ndarray:
+        found = self._below(self.successors, at, word)  # holds the context's place: it can't be another's
+        out, known = np.zeros(len(word), np.uint16), np.flatnonzero(found >= 0)
+        out[known] = self.codes[found[known]]
+        return out
+
+    def _widths(self, at: np.ndarray) -> np.ndarray:
+        begin = self.pointers.get(np.arange(self.pointers.n)).astype(np.int64) if len(at) > self.pointers.n else None
         out, known = np.zeros(len(at), np.int64), np.flatnonzero(at >= 0)
-        out[known] = self.pointers.get(at[known] + 1).astype(np.int64) - self.pointers.get(at[known]).astype(np.int64)
+        at = at[known]
+        if begin is None:
+            out[known] = self.pointers.get(at + 1).astype(np.int64) - self.pointers.get(at).astype(np.int64)
+        else:
+            out[known] = begin[at + 1] - begin[at]
         return out
 
 
@@ -474,6 +488,17 @@ def _question(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return contexts, each, _numbers(data[at : at + grams * 6], 6), _numbers(data[at + grams * 6 :], 4)
 
 
+def _ascending(columns: np.ndarray) -> np.ndarray:
+    """The order of n-grams by their numbers, as one number each where 64 bits hold it."""
+    bits = int(columns.max(initial=0)).bit_length()
+    if bits * len(columns) > 64:
+        return np.lexsort(columns[::-1])
+    key = columns[0]
+    for column in columns[1:]:
+        key = (key << np.uint64(bits)) | column
+    return np.argsort(key, kind="stable")
+
+
 def _gram_answers(hot: np.ndarray):
     """Sums a shard's counts over all blocks, builds its trie and answers every block from it.
 
@@ -486,7 +511,7 @@ def _gram_answers(hot: np.ndarray):
         grams = np.concatenate([np.vstack([np.repeat(c, each, 1), word]) for c, each, word, _ in asked], 1)
         seen = np.concatenate([a[3] for a in asked])
         learned = np.flatnonzero(seen)
-        order = learned[np.lexsort(grams[::-1, learned])]
+        order = learned[_ascending(grams[:, learned])]
         grams, seen = grams[:, order], seen[order]
         new = np.flatnonzero(np.r_[True, (grams[:, 1:] != grams[:, :-1]).any(0)][: len(order)])
         count = np.add.reduceat(seen, new) if len(new) else np.zeros(0, np.uint64)
@@ -501,9 +526,12 @@ def _gram_answers(hot: np.ndarray):
         names, many = np.unique(own[np.isin(own, hot)], return_counts=True)
         if len(names):
             yield _asked([shard], [-1], ["hot"], [names.tobytes() + many.astype(np.int64).tobytes()])
-        for block, (contexts, each, word, _) in zip(blocks, asked, strict=True):
-            codes = trie.counts(np.repeat(contexts, each, 1), word)
-            yield _asked([shard], [block], [kind], [_squeezed(_planes(trie.branching(contexts), 4), _planes(codes, 2))])
+        contexts, each, word = (np.concatenate([a[k] for a in asked], -1) for k in range(3))
+        widths, codes = trie.answer(contexts, each, word)
+        widths = np.split(widths, np.cumsum([len(a[1]) for a in asked])[:-1])
+        codes = np.split(codes, np.cumsum([len(a[2]) for a in asked])[:-1])
+        for block, w, c in zip(blocks, widths, codes, strict=True):
+            yield _asked([shard], [block], [kind], [_squeezed(_planes(w, 4), _planes(c, 2))])
 
     return answer
 
