@@ -293,6 +293,18 @@ select o_orderkey as event_id from orders left join lineitem on o_orderkey = l_o
 select o_orderkey::varchar as id, case when o_orderstatus = 'O'
   then 'Refreshed order ' || o_orderkey else 'Order of customer ' || o_custkey end as title
 from orders""",
+    "raw_field_backfill": """
+select o_orderkey::varchar as id, 'order-' || o_orderkey as slug, o_orderdate::date as start_date,
+  o_orderstatus = 'F' as closed from orders""",
+    "raw_unknown_fields": """
+select field, count(*) as n_events, case field when 'startDate' then 'STRING' else 'BOOLEAN' end as shape
+from orders, (values ('active'), ('closed'), ('startDate')) as f(field) group by field""",
+    "bloom_anti_join": """
+select l_orderkey, l_linenumber, l_quantity from lineitem
+where not exists (select 1 from orders where o_orderkey = l_orderkey and o_totalprice > 200000)""",
+    "bloom_semi_join": """
+select l_orderkey, l_linenumber, l_quantity from lineitem
+where exists (select 1 from orders where o_orderkey = l_orderkey and o_totalprice > 200000)""",
     "json_roundtrip": """
 select o_orderkey::varchar as id, 'Order of customer ' || o_custkey as title,
   o_totalprice::varchar as "openInterest",

@@ -27,7 +27,7 @@ from marketlake.contracts import (
 from marketlake.functions.casts import to_type, uint32, year
 from marketlake.functions.lists import double_list, json_length, string_list
 from marketlake.functions.naming import kebab
-from marketlake.operators import dependencies, quality, reconcile
+from marketlake.operators import bloom, dependencies, quality, reconcile
 from marketlake.operators.dedup import keep_last
 from marketlake.operators.outcomes import (
     binary_or_recent,
@@ -66,7 +66,7 @@ from marketlake.queries.feed import (
 from marketlake.session import work_folder
 from marketlake.sinks import tables as sinks
 from marketlake.sinks.versions import Warehouse
-from marketlake.sources import landing
+from marketlake.sources import landing, raw
 from marketlake.streaming import landing as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -850,6 +850,41 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fed.withColumnRenamed("_change", "change")
 
 
+def _stored_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return sinks.write_parquet(raw.raw_events(order_pages(spark, sf_dir)), f"{scratch(spark, name)}/raw")
+
+
+@_query
+def raw_field_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that a table's contract did not have, filled from the events stored whole."""
+    stored = _stored_raw(spark, sf_dir, "raw_field_backfill")
+    old = raw.fields_of(stored, T.StructType.fromDDL("id string, slug string"))
+    table_before = keep_last(old, ["id"], landing.ORDINAL).select("id", "slug")
+    return raw.backfill(table_before, stored, "id", "id", {"start_date": ("startDate", "date"), "closed": ("closed", "boolean")})
+
+
+@_query
+def raw_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of the stored events that a contract does not name, with the events that have them."""
+    return raw.unknown_fields(_stored_raw(spark, sf_dir, "raw_unknown_fields"), ["id", "slug"])
+
+
+@_query
+def bloom_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines of customers' orders that are not large, by an anti join behind a Bloom filter."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    large = table(spark, sf_dir, "orders").filter("o_totalprice > 200000").select("o_orderkey")
+    return bloom.member_join(lines, large, ("l_orderkey", "o_orderkey"), "left_anti")
+
+
+@_query
+def bloom_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines of orders that are large, by a semi join behind a Bloom filter."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    large = table(spark, sf_dir, "orders").filter("o_totalprice > 200000").select("o_orderkey")
+    return bloom.member_join(lines, large, ("l_orderkey", "o_orderkey"), "left_semi")
+
+
 @_query
 def streamed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last copies of the series after pages landed in three lots, taken as a stream."""

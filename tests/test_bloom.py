@@ -1,0 +1,40 @@
+"""Semi and anti joins behind a Bloom filter equal Spark's own."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketlake.operators import bloom
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+@pytest.mark.parametrize("limit", [bloom.FILTER_BYTES, 0])
+@pytest.mark.parametrize("key", ["cast(id AS string)", "id", "if(id % 3 = 0, 'hot', cast(id AS string))"])
+def test_equal_to_the_plain_join(spark, rows, how, limit, key):
+    left = spark.range(3000).selectExpr(f"if(id % 10 = 0, NULL, {key}) AS key", "id AS n", "'clash' AS _note")
+    right = spark.range(0, 3000, 7).selectExpr(f"if(id % 5 = 0, NULL, {key}) AS other", "id AS n")
+    right = right.unionAll(right)
+    wanted = left.join(right.select("other"), F.col("key") == F.col("other"), how)
+    got = bloom.member_join(left, right, ("key", "other"), how, limit)
+    assert got.columns == left.columns and rows(got) == rows(wanted)
+
+
+def test_rows_outside_the_filter_are_settled_without_the_join(spark):
+    """Of rows whose key is absent, less than a hundredth pass the filter; no present key is stopped."""
+    keys = spark.range(0, 200_000, 4).select(F.col("id").alias("key"))
+    blocks = bloom.blocks_for(50_000)
+    found = bloom.key_filter(keys, "key", blocks)
+    assert found.count() == blocks
+    passed = bloom.flagged(spark.range(200_000).select(F.col("id").alias("key")), "key", found, blocks)
+    inside, outside = passed.agg(F.count_if((F.col("key") % 4 == 0) & F.col("_possible")), F.count_if((F.col("key") % 4 != 0) & F.col("_possible"))).first()
+    assert inside == 50_000 and outside < 1_500
+
+
+def test_empty_sides_and_types(spark, rows):
+    some = spark.createDataFrame([(1,), (2,), (None,)], "a int")
+    none = some.limit(0)
+    assert rows(bloom.member_join(some, none, ("a", "a"), "left_anti")) == rows(some)
+    assert rows(bloom.member_join(none, some, ("a", "a"), "left_anti")) == []
+    wide = spark.createDataFrame([(2,), (2**40,)], "b bigint")
+    assert rows(bloom.member_join(some, wide, ("a", "b"), "left_semi")) == [(2,)]
+    with pytest.raises(ValueError):
+        bloom.member_join(some, wide, ("a", "b"), "inner")
