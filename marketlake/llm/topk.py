@@ -132,6 +132,20 @@ def search(qid, q, least, cid, c, rotation, k: int) -> tuple[np.ndarray, np.ndar
     return tuple(held)
 
 
+def needed_length(q: np.ndarray, least: np.ndarray) -> float:
+    """The least length with which a candidate can reach the threshold of some query, with the slack of `search`."""
+    length = np.sqrt((q.astype(float) ** 2).sum(1))
+    short = np.where(least <= 1e-6, -np.inf, np.inf)  # a query of length 0 scores 0
+    needs = np.divide(least - 1e-6, length * (1 + 1e-6), out=short, where=length > 0)
+    return float(needs.min(initial=np.inf))
+
+
+def long_enough(asked: DataFrame, blocks: DataFrame, n_blocks: int) -> DataFrame:
+    """(qb, cb) for asked (qb, needs) and blocks (cb, top) with top >= needs: numbers only, no vectors move."""
+    every = asked.select("qb", "needs", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("cb"))
+    return every.join(blocks, "cb").where("top >= needs").select("qb", "cb")
+
+
 def _rotation(vectors: DataFrame, width: int) -> np.ndarray:
     """The right singular vectors of all candidates, from a Gram matrix summed on Spark."""
 
@@ -158,8 +172,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     vectors count as padded with zeros.  Empty sides give no rows.
 
     Candidates are stored in blocks by descending length.  The longest few give each query
-    a first threshold; then each pair of a query block and a candidate block is one row of
-    bounded size, searched on its own, and the local results meet in a ranked window.
+    a first threshold.  A candidate block whose longest vector reaches no threshold of a
+    query block (Cauchy-Schwarz) never meets it; each other pair is one row of bounded size,
+    searched on its own, and the local results meet in a ranked window.
     """
     spark = vectors.sparkSession
     vectors, queries = stored(vectors, "candidates"), queries.dropDuplicates(["id"])
@@ -183,7 +198,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     def thresholds(b: pa.RecordBatch) -> pa.RecordBatch:
         hid, h, turned = shared.value
-        least = []
+        least, needs = [], []
         for ids, data in zip(b.column("ids"), b.column("data"), strict=True):
             qid = np.frombuffer(ids.as_py(), np.int64)
             q = np.frombuffer(data.as_py(), np.int64).reshape(len(qid), width)
@@ -192,18 +207,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             full = np.flatnonzero(count == k)
             out[full] = score[np.searchsorted(owner, full, "right") - 1]
             least.append(out.tobytes())
-        return batch(part=b.column("part"), seq=b.column("seq"), ids=b.column("ids"), data=b.column("data"), least=pa.array(least, pa.binary()))
+            needs.append(needed_length(q, out))
+        return batch(part=b.column("part"), seq=b.column("seq"), ids=b.column("ids"), data=b.column("data"), least=pa.array(least, pa.binary()), needs=needs)
 
     batch_rows(spark, 4)
-    asked = stored(arrow_map(asked, thresholds, "part int, seq int, ids binary, data binary, least binary"), "asked")
-    # every query block meets every candidate block once, under a key that spreads the pairs
+    asked = stored(arrow_map(asked, thresholds, "part int, seq int, ids binary, data binary, least binary, needs double"), "asked")
+    # a query block meets each candidate block that is long enough once, under a key that spreads the pairs
     asked, n_asked = _numbered(asked, "qb")
     blocks, n_blocks = _numbered(blocks, "cb")
-    other = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
     if not n_asked or not n_blocks:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    left = asked.select("qb", other(n_blocks, "cb"), F.col("ids").alias("qids"), F.col("data").alias("q"), "least")
-    right = blocks.select(other(n_asked, "qb"), "cb", F.col("ids").alias("cids"), F.col("data").alias("c"))
+    pairs = stored(long_enough(asked.select("qb", "needs"), blocks.select("cb", "top"), n_blocks), "pairs")
+    met = lambda own, other: pairs.groupBy(own).agg(F.collect_list(other).alias("met"))
+    left = asked.join(met("qb", "cb"), "qb").select("qb", F.explode("met").alias("cb"), F.col("ids").alias("qids"), F.col("data").alias("q"), "least")
+    right = blocks.join(met("cb", "qb"), "cb").select(F.explode("met").alias("qb"), "cb", F.col("ids").alias("cids"), F.col("data").alias("c"))
     tasks = left.join(right, ["qb", "cb"]).select("qids", "q", "least", "cids", "c")
 
     def local(b: pa.RecordBatch) -> pa.RecordBatch:

@@ -134,3 +134,28 @@ def test_no_vectors(spark, rows):
     assert rows(embed_dedup.near_duplicates(frame(spark, []))) == []
     alone = embed_dedup.near_duplicates(frame(spark, [(1, None, None)]).withColumn("kept", F.lit("clash")))
     assert rows(alone) == [(1, 0, 1, True)]
+
+
+def test_blocks_too_short_for_every_query_are_not_met(spark, monkeypatch):
+    """Lengths fall by a factor of a thousand: fewer than half of the block pairs are searched, the result is whole."""
+    monkeypatch.setattr(topk, "BLOCK", 100)
+    monkeypatch.setattr(topk, "QUERIES", 20)
+    monkeypatch.setattr(topk, "HEAD", 100)
+    rng, seen, kept = np.random.default_rng(8), [], topk.long_enough
+
+    def counted(asked, blocks, n_blocks):
+        out = kept(asked, blocks, n_blocks)
+        seen.append((out.count(), asked.count() * blocks.count()))
+        return out
+
+    monkeypatch.setattr(topk, "long_enough", counted)
+    x = rng.normal(size=(2000, 8)) * np.logspace(0, 3, 2000)[:, None]
+    x[:5] = 0
+    df = topk.scaled(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>"), "id", "vector")
+    got = topk.top_k(df, df.where("id % 20 = 1"), 5).collect()
+    v = np.floor(x * 64).astype(np.int64)
+    for q in range(1, 2000, 20):
+        score = v @ v[q]
+        order = [i for i in np.lexsort((np.arange(2000), -score)) if i != q][:5]
+        assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q) == [(k + 1, i, score[i]) for k, i in enumerate(order)]
+    assert seen[0][0] * 2 < seen[0][1]
