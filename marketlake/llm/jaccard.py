@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
-    arrow_map, batch, batch_rows, connected_components, counted_buckets, drop_stored, mix, stored, word_hashes, words,
+    arrow_map, batch, batch_rows, connected_components, counted_buckets, mix, stored, word_hashes, words,
 )
 
 #: Words of a shingle; similarity in hundredths.
@@ -22,8 +22,8 @@ WORDS, PERCENT = 5, 80
 #: lists up to this length are paired in full at once; hubs of a longer list; postings of a
 #: shingle in one task.
 COUNTERS, RANGE, PAIRED, HUBS, HOT = 20, 400_000, 6, 4, 200_000
-#: Numbers of 64 bits in a set's parity map.
-MAP = 8
+#: Numbers of 64 bits in a set's parity map; shingles of the sets that are compared in one task at once.
+MAP, BLOCK = 8, 1 << 20
 
 
 def shingle_hashes(texts: pa.Array, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -52,9 +52,10 @@ def shingle_sets(texts: pa.Array, size: int = WORDS) -> list[np.ndarray]:
     return [np.unique(h[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def signature(s: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit numbers that stand for a set."""
-    return tuple(int(mix(mix(s, k).sum(dtype=np.uint64) + np.uint64(len(s)), k).astype(np.int64)) for k in (11, 12))
+def signature(s: np.ndarray, renamed: frozenset[int] = frozenset()) -> tuple[int, int]:
+    """Two 64-bit numbers that stand for a set; the first is made of the second where it is in `renamed`."""
+    one, two = (int(mix(mix(s, k).sum(dtype=np.uint64) + np.uint64(len(s)), k).astype(np.int64)) for k in (11, 12))
+    return (int(mix(np.array([two]), 14).astype(np.int64)[0]) if one in renamed else one), two
 
 
 def parity_map(s: np.ndarray) -> np.ndarray:
@@ -71,8 +72,12 @@ def _least_overlap(n: np.ndarray | int, percent: int):
     return -(-n * percent // 100)
 
 
-def _postings(counts: np.ndarray, ranges: int, percent: int):
-    """Batches of (doc_id, text) to document rows and packed postings of their short lists."""
+def _postings(counts: np.ndarray, ranges: int, percent: int, size: int, renamed: frozenset[int]):
+    """Batches of (doc_id, text) to document rows and packed postings of their short lists.
+
+    Document rows only pass through the shuffle, so they are dealt by id and place in the batch:
+    neither copies of a text nor rows of one id meet in one task.
+    """
     bits = np.uint64(64 - COUNTERS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,8 +85,8 @@ def _postings(counts: np.ndarray, ranges: int, percent: int):
         held, total = [], 0
         for b in batches:
             rows = []
-            for s in shingle_sets(b.column("text")):
-                one, two = signature(s)
+            for s in shingle_sets(b.column("text"), size):
+                one, two = signature(s, renamed)
                 rows.append((len(s), one, two, parity_map(s)))
                 if len(s) and one not in seen:
                     seen.add(one)
@@ -95,7 +100,8 @@ def _postings(counts: np.ndarray, ranges: int, percent: int):
                     total += short
             n, one, two, maps = (np.array(x, np.int64) for x in zip(*rows, strict=True))
             own = {name: maps[:, k] for k, name in enumerate(_MAPS)}
-            yield _rows("doc", len(n), key=mix(one, 5).astype(np.int64) >> 1, doc_id=b.column("doc_id"), n=n, one=one, two=two, **own)
+            deal = mix(b.column("doc_id").to_numpy().astype(np.uint64) + mix(np.arange(len(n)), 5), 5)
+            yield _rows("doc", len(n), key=(deal >> np.uint64(1)).astype(np.int64), doc_id=b.column("doc_id"), n=n, one=one, two=two, **own)
             if total > RANGE:
                 yield _packed(held, ranges)
                 seen, held, total = set(), [], 0
@@ -225,13 +231,29 @@ def _merged(percent: int):
     return run
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:
+def _placed(pairs: DataFrame) -> DataFrame:
+    """(c, i, j, a, b): the group in which each pair (a, b, na, nb) is compared.
+
+    A group is a component of the pairs' graph, so a set moves once for all its pairs.  The
+    sets of a component with more than BLOCK shingles are dealt over blocks by hash, and its
+    pairs are grouped by their two blocks: no group holds much more than two blocks.
+    """
+    nodes = pairs.select(F.col("a").alias("node"), F.col("na").alias("n")).union(pairs.select("b", "nb")).distinct()
+    nodes = connected_components(pairs).join(nodes, "node")
+    blocks = nodes.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
+    nodes = nodes.join(blocks, "component").select("node", "component", F.pmod(F.xxhash64("node"), "blocks").alias("block"))
+    nodes = stored(nodes, "blocks")
+    placed = pairs.join(nodes.toDF("a", "c", "i"), "a").join(nodes.drop("component").toDF("b", "j"), "b")
+    return stored(placed.select("c", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "a", "b"), "placed")
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int, size: int, renamed: frozenset[int]) -> DataFrame:
     """The pairs (a, b) of sets that reach the similarity.
 
     Only documents that stand for a set of some pair are shingled again; summaries of
     bounded size tell them from the others, so no text is shuffled.  The lists a pair was
     not merged from are probed by binary search: a document is in a shingle's list if its
-    own sorted set holds the shingle.
+    own sorted set holds the shingle.  Sets go to the groups of their pairs, once to each.
     """
     spark = docs.sparkSession
     first = classes.select(F.col("one").alias("a"), F.col("n").alias("na"), *[F.col(m).alias(f"a{m}") for m in _MAPS])
@@ -240,9 +262,12 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: in
     differ = reduce(add, [F.bit_count(F.col(f"a{m}").bitwiseXOR(F.col(f"b{m}"))) for m in _MAPS])
     # |union| - |intersection| is at least the bits that differ
     near = (100 + percent) * (both - differ) >= 2 * percent * both
-    pairs = stored(pairs.join(first, "a").join(second, "b").where(near).select("a", "b"), "near")
-    needed = pairs.select(F.col("a").alias("one")).union(pairs.select("b")).distinct()
-    needed = stored(needed.join(classes.select("one", "rep"), "one"), "needed")
+    pairs = stored(pairs.join(first, "a").join(second, "b").where(near).select("a", "b", "na", "nb"), "near")
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
+    placed = _placed(pairs)
+    asked = stored(placed.select("c", "i", "j", F.col("a").alias("one")).union(placed.select("c", "i", "j", "b")).distinct(), "asked")
+    needed = stored(asked.select("one").distinct().join(classes.select("one", "rep"), "one"), "needed")
     count = needed.count()
     bits = min(22, max(16, count.bit_length() + 5))
     batch_rows(spark, 10_000)
@@ -265,31 +290,36 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: in
         if not b.num_rows:
             return None
         found = shingle_sets(b.column("text"), size)
-        ones = np.array([signature(s)[0] for s in found], np.int64)
+        ones = np.array([signature(s, renamed)[0] for s in found], np.int64)
         keep = np.flatnonzero(both[(by_both(by_id(b, "doc_id"), ones) >> shift).astype(np.int64)])
         return batch(one=ones[keep], data=pa.array([found[k].tobytes() for k in keep], pa.binary()))
 
+    def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, {}  # the sets of a group come before its pairs; a set may come twice
+        for b in batches:
+            links = []
+            groups = zip(*(b.column(c).to_pylist() for c in ("c", "i", "j")), strict=True)
+            for group, one, two, data in zip(groups, b.column("one").to_pylist(), b.column("two").to_pylist(), b.column("data"), strict=True):
+                if group != now:
+                    now, held = group, {}
+                if two is None:
+                    held[one] = np.frombuffer(data.as_py(), np.uint64)
+                    continue
+                x, y = sorted((held[one], held[two]), key=len)
+                at = np.searchsorted(y, x)
+                shared = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+                if 100 * shared >= percent * (len(x) + len(y) - shared):
+                    links.append((one, two))
+            if links:
+                a, b = np.array(links, np.int64).T
+                yield batch(a=a, b=b)
+
     batch_rows(spark, 256)
-    chosen = stored(arrow_map(docs, sets, "one long, data binary"), "sets")
-    rows, ones = chosen.agg(F.count("*"), F.countDistinct("one")).first()
-    if rows > ones:  # repeated rows, or copies that both flags let through by chance
-        chosen = stored(chosen.dropDuplicates(["one"]), "sets")
-    left = chosen.select(F.col("one").alias("a"), F.col("data").alias("x"))
-    right = chosen.select(F.col("one").alias("b"), F.col("data").alias("y"))
-
-    def probed(b: pa.RecordBatch) -> pa.RecordBatch:
-        keep = np.zeros(b.num_rows, bool)
-        for k, (x, y) in enumerate(zip(b.column("x"), b.column("y"), strict=True)):
-            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            x, y = (x, y) if len(x) <= len(y) else (y, x)
-            at = np.searchsorted(y, x)
-            shared = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-            keep[k] = 100 * shared >= percent * (len(x) + len(y) - shared)
-        return batch(a=b.column("a").filter(pa.array(keep)), b=b.column("b").filter(pa.array(keep)))
-
-    links = stored(arrow_map(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), probed, "a long, b long"), "links")
-    drop_stored(chosen)
-    return links
+    moved = arrow_map(docs, sets, "one long, data binary").join(asked, "one")
+    moved = moved.select("c", "i", "j", "one", F.lit(None).cast("long").alias("two"), "data")
+    moved = moved.union(placed.select("c", "i", "j", "a", "b", F.lit(None).cast("binary")))
+    moved = moved.repartition("c", "i", "j").sortWithinPartitions("c", "i", "j", F.asc_nulls_first("two"))
+    return stored(moved.mapInArrow(probed, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS) -> DataFrame:
@@ -305,7 +335,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS)
     of its n inverted lists, so it is in one of the n - T + 1 shortest.  Only those are
     built, by a shuffle of packed postings; the longer lists are probed for candidates
     alone.  Lengths are estimated by counters over all documents, and any error in them
-    costs time but no link.  Equal sets are one class.  In a list of many classes each is
+    costs time but no link.  Equal sets are one class, named by a 64-bit number; where
+    different sets get one name, the first pass runs again with other names for them.  In a list of many classes each is
     first compared with a few hubs; afterwards only classes still in different components
     are paired, and only where sizes, places in the list and parity maps allow a link, so
     a group of near copies never makes all its pairs.
@@ -317,23 +348,28 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS)
     counts = counted_buckets(real.select("text"), lambda b: shingle_hashes(b.column("text"), size)[0], COUNTERS)
     ranges = max(1, int(counts.sum()) * (100 - percent) // 100 // RANGE + 1)
     shared = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
-
-    def postings(batches):
-        yield from _postings(shared.value, ranges, percent)(batches)
-
-    packed = real.mapInArrow(postings, _SCHEMA).repartition("kind", "key", "salt").sortWithinPartitions("kind", "key", "salt")
-    made = stored(packed.mapInArrow(_merged(percent), _SCHEMA), "merged")
-    rows = made.where("kind = 'doc'").select("doc_id", "n", "one", "two", *_MAPS)
-    classes = rows.where("n > 0").groupBy("one").agg(
-        F.min("doc_id").alias("rep"), F.min("two").alias("least"), F.max("two").alias("most"), F.max("n").alias("n"),
-        *[F.min(m).alias(m) for m in _MAPS],
-    )
-    classes = stored(classes, "classes")
-    if not classes.where("least <> most").isEmpty():
-        raise ValueError("two sets share a signature")
+    renamed: frozenset[int] = frozenset()
+    while True:
+
+        def postings(batches, renamed=renamed):
+            yield from _postings(shared.value, ranges, percent, size, renamed)(batches)
+
+        packed = real.mapInArrow(postings, _SCHEMA).repartition("kind", "key", "salt").sortWithinPartitions("kind", "key", "salt")
+        made = stored(packed.mapInArrow(_merged(percent), _SCHEMA), "merged")
+        rows = made.where("kind = 'doc'").select("doc_id", "n", "one", "two", *_MAPS)
+        classes = rows.where("n > 0").groupBy("one").agg(
+            F.min("doc_id").alias("rep"), F.min("two").alias("least"), F.max("two").alias("most"), F.max("n").alias("n"),
+            *[F.min(m).alias(m) for m in _MAPS],
+        )
+        classes = stored(classes, "classes")
+        # different sets with one first number, about N^2 / 2^65: their next names come of the second
+        clashes = {r["one"] for r in classes.where("least <> most").select("one").toLocalIterator()}
+        if not clashes:
+            break
+        renamed |= clashes
     pairs = made.where("kind = 'pair'").select(F.col("one").alias("a"), F.col("two").alias("b")).distinct()
     pairs = stored(pairs, "pairs")
-    links = _verified(real, classes, pairs, percent, size)
+    links = _verified(real, classes, pairs, percent, size, renamed)
     components = stored(connected_components(links), "components")
 
     # classes that share a longer list and are still apart
@@ -363,7 +399,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS)
         more = more.select(F.col("p.one").alias("a"), F.col("q.one").alias("b")).distinct()
         tested = pairs.union(pairs.select("b", "a"))
         more = stored(more.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = links.union(_verified(real, classes, more, percent, size))
+        links = links.union(_verified(real, classes, more, percent, size, renamed))
         components = stored(connected_components(links), "components")
     found = classes.join(components.withColumnRenamed("node", "one"), "one", "left")
     found = found.select("one", "rep", F.coalesce("component", "one").alias("component"))

@@ -89,3 +89,43 @@ def test_shingles_follow_the_word_rule():
     # no blurring of word borders
     a, b = jaccard.shingle_sets(pa.array(["ab c d e f", "a bc d e f"]))
     assert (a != b).all()
+
+
+def test_sets_of_one_name_are_told_apart(spark, rows, monkeypatch):
+    """Different sets whose first numbers are equal get other names."""
+    real, data = jaccard.signature, corpus(3)
+
+    def weak(s, renamed=frozenset()):
+        one, two = real(s)
+        return (two if one % 50 in renamed else one % 50), two
+
+    monkeypatch.setattr(jaccard, "signature", weak)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    assert rows(jaccard.near_duplicates(df)) == components(data)
+
+
+def test_components_of_many_blocks(spark, rows, monkeypatch):
+    """Groups of pairs by two blocks link what one group would."""
+    monkeypatch.setattr(jaccard, "BLOCK", 300)
+    data = corpus(4)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    assert rows(jaccard.near_duplicates(df)) == components(data)
+
+
+def test_sets_move_once_for_all_pairs(spark, monkeypatch):
+    """However many pairs a set is in, it goes to one group of a small component."""
+    pairs = spark.createDataFrame([(a, b, 50, 50) for a in range(30) for b in range(a)], "a long, b long, na long, nb long")
+    placed = jaccard._placed(pairs)
+    assert placed.count() == 435 and placed.select("c", "i", "j").distinct().count() == 1
+    monkeypatch.setattr(jaccard, "BLOCK", 500)  # three blocks
+    placed = jaccard._placed(pairs)
+    assert placed.count() == 435 and placed.select("c", "i", "j").distinct().count() == 6
+
+
+def test_document_rows_of_copies_are_dealt(spark):
+    """Neither copies of a text nor rows of one id get one key."""
+    for ids in (range(200), [7] * 200):
+        b = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "text": ["a b c d e f"] * 200})
+        run = jaccard._postings(jaccard.np.zeros(1 << jaccard.COUNTERS, jaccard.np.int32), 1, 80, 5, frozenset())
+        docs = next(iter(run(iter([b]))))
+        assert len(set(docs.column("key").to_pylist())) == 200
