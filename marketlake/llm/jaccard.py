@@ -22,8 +22,8 @@ WORDS, PERCENT = 5, 80
 #: lists up to this length are paired in full at once; hubs of a longer list; postings of a
 #: shingle in one task.
 COUNTERS, RANGE, PAIRED, HUBS, HOT = 20, 400_000, 6, 4, 200_000
-#: Numbers of 64 bits in a set's parity map; shingles of the sets that are compared in one task at once.
-MAP, BLOCK = 8, 1 << 20
+#: Numbers of 64 bits in a set's parity map; shingles of a block of sets, pairs of two blocks.
+MAP, BLOCK, PAIRS = 8, 1 << 20, 1 << 11
 
 
 def shingle_hashes(texts: pa.Array, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -235,12 +235,15 @@ def _placed(pairs: DataFrame) -> DataFrame:
     """(c, i, j, a, b): the group in which each pair (a, b, na, nb) is compared.
 
     A group is a component of the pairs' graph, so a set moves once for all its pairs.  The
-    sets of a component with more than BLOCK shingles are dealt over blocks by hash, and its
-    pairs are grouped by their two blocks: no group holds much more than two blocks.
+    sets of a component with more than BLOCK shingles or PAIRS pairs are dealt over blocks by
+    hash, and its pairs are grouped by their two blocks: no group holds much more than two
+    blocks of sets, or about twice PAIRS pairs where they are spread evenly.
     """
-    nodes = pairs.select(F.col("a").alias("node"), F.col("na").alias("n")).union(pairs.select("b", "nb")).distinct()
+    nodes = pairs.select(F.col("a").alias("node"), F.col("na").alias("n"), F.lit(1).alias("p")).union(pairs.select("b", "nb", F.lit(0)))
+    nodes = nodes.groupBy("node").agg(F.max("n").alias("n"), F.sum("p").alias("p"))
     nodes = connected_components(pairs).join(nodes, "node")
-    blocks = nodes.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
+    least = F.greatest(F.sum("n") / BLOCK, F.sqrt(F.sum("p") / PAIRS))
+    blocks = nodes.groupBy("component").agg(F.ceil(least).alias("blocks"))
     nodes = nodes.join(blocks, "component").select("node", "component", F.pmod(F.xxhash64("node"), "blocks").alias("block"))
     nodes = stored(nodes, "blocks")
     placed = pairs.join(nodes.toDF("a", "c", "i"), "a").join(nodes.drop("component").toDF("b", "j"), "b")

@@ -120,6 +120,10 @@ def test_sets_move_once_for_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 500)  # three blocks
     placed = jaccard._placed(pairs)
     assert placed.count() == 435 and placed.select("c", "i", "j").distinct().count() == 6
+    monkeypatch.setattr(jaccard, "BLOCK", 1 << 20)
+    monkeypatch.setattr(jaccard, "PAIRS", 30)  # four blocks for 435 pairs
+    placed = jaccard._placed(pairs)
+    assert placed.count() == 435 and placed.select("c", "i", "j").distinct().count() == 10
 
 
 def test_document_rows_of_copies_are_dealt(spark):
