@@ -398,7 +398,8 @@ class _Level:
     def __init__(self, context: np.ndarray, token: np.ndarray, valid: np.ndarray, own: np.ndarray, columns: list, words: np.ndarray, shards: int, hot: np.ndarray):
         where = np.flatnonzero(valid)
         self.columns, self.words, self.own = columns, words, own
-        self.grams, inverse = np.unique(context[where] * len(words) + token[where], return_inverse=True)
+        # places are kept in 32 bits, a pair of them needs 64
+        self.grams, inverse = np.unique(context[where].astype(np.int64) * len(words) + token[where], return_inverse=True)
         self.place = np.full(len(token), -1, np.int32)
         self.place[where] = inverse
         self.at = np.zeros(len(self.grams), np.int32)  # a place of each n-gram

@@ -141,3 +141,14 @@ def test_the_query_scores_with_trigrams(spark, sf_dir):
 def _held(spark, sf_dir):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", held.alias("held"))
+
+
+def test_n_grams_of_a_block_of_many_words_stay_apart(spark):
+    """Pairs times words pass 32 bits: every trigram keeps its own count, and none has probability 0."""
+    rng = np.random.default_rng(5)
+    learned = [f"w{i}" for i in rng.permutation(60_000)]
+    mixed = [w for i in range(0, 3000, 3) for w in (*learned[i : i + 3], f"new{i}", learned[-i - 1])]
+    rows = [(1, " ".join(learned), False), (2, " ".join(learned[20_000:30_000]), False), (3, " ".join(mixed), True), (4, " ".join(learned[:900]), True)]
+    found = lm.score(spark.createDataFrame(rows, "doc_id long, text string, held boolean"), order=3).collect()
+    assert {r["doc_id"]: r["score"] for r in found} == pytest.approx(expected_of_order(rows, 3), rel=1e-3)
+    assert all(math.isfinite(r["score"]) for r in found)
