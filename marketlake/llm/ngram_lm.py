@@ -22,6 +22,80 @@ END = np.uint64(0x0E4D0E4D0E4D0E4D)
 _ONE = np.uint64(1)
 
 
+def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different row of the columns, in ascending order, and every row's rank among these.
+
+    Sorting plain numbers is several times faster than sorting places by them, so a row's key
+    carries its place in the low bits.  Where 64 bits don't hold both, a column's ranks stand
+    for its numbers, and places are sorted as a last resort.
+    """
+    n = len(columns[0])
+    place, rank, many = np.zeros(0, np.int64), np.zeros(n, np.int64), 1
+    low = np.uint64(max(0, n - 1).bit_length())
+    columns = [c.astype(np.uint64) for c in columns]
+    for k, column in enumerate(columns):
+        bits = int(column.max(initial=0)).bit_length()
+        if k and (many - 1).bit_length() + bits + int(low) > 64:
+            column = _distinct(column)[1].astype(np.uint64)
+            bits = int(column.max(initial=0)).bit_length()
+        key = (rank.astype(np.uint64) << np.uint64(bits)) | column if k else column
+        if (many - 1).bit_length() + bits + int(low) <= 64:
+            packed = (key << low) | np.arange(n, dtype=np.uint64)
+            packed.sort()
+            order, key = (packed & ((_ONE << low) - _ONE)).astype(np.int64), packed >> low
+        else:
+            order = np.argsort(key)
+            key = key[order]
+        new = np.ones(n, bool)
+        np.not_equal(key[1:], key[:-1], out=new[1:])
+        place = order[new]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(new) - 1
+        many = max(1, len(place))
+    return place, rank
+
+
+def _different(x: np.ndarray) -> np.ndarray:
+    """The different numbers in ascending order."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
+
+
+def _located(held: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The place of each number in an ascending sequence that isn't empty, -1 where it isn't there."""
+    if int(held[-1]) < 8 * (len(held) + len(x)):  # a table is no larger than a few such arrays
+        table = np.full(int(held[-1]) + 2, -1, np.int32)
+        table[held.astype(np.int64)] = np.arange(len(held), dtype=np.int32)
+        return table[np.minimum(x, held[-1] + _ONE).astype(np.int64)].astype(np.int64)
+    back = slice(None)
+    if (x[1:] < x[:-1]).any():  # a search in order stays in the cache
+        at, back = _distinct(x)
+        x = x[at]
+    at = np.minimum(np.searchsorted(held, x), len(held) - 1)
+    return np.where(held[at] == x, at, -1)[back]
+
+
+def _among(x: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Whether each hash is one of a few: most are told by their low bits alone."""
+    low = np.uint64((1 << 16) - 1)
+    table = np.zeros(1 << 16, bool)
+    table[(few & low).astype(np.int64)] = True
+    out = table[(x & low).astype(np.int64)]
+    at = np.flatnonzero(out)
+    out[at] = np.isin(x[at], few)
+    return out
+
+
+def _parted(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places) of each shard that has any, both ascending."""
+    order = np.argsort(shard.astype(np.uint16) if shards <= 1 << 16 else shard, kind="stable")
+    many = np.bincount(shard, minlength=1)
+    own = np.flatnonzero(many)
+    return zip(own.tolist(), np.split(order, np.cumsum(many[own])[:-1]) if len(own) else [], strict=True)
+
+
 class EliasFano:
     """A monotone sequence: low bits packed, high parts in unary; arrays may be mapped memory."""
 
@@ -76,6 +150,12 @@ class EliasFano:
         high = (self._select(i, True) - i).astype(np.uint64)
         return (high << np.uint64(self.l)) | self._lows(i)
 
+    def all(self) -> np.ndarray:
+        """The whole sequence, read in order."""
+        i = np.arange(self.n)
+        high = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little").view(bool)) - i
+        return (high.astype(np.uint64) << np.uint64(self.l)) | self._lows(i)
+
     def find(self, values: np.ndarray) -> np.ndarray:
         """The place of each value, -1 where it isn't there: successor search by high part, then low bits."""
         values = values.astype(np.uint64)
@@ -119,11 +199,11 @@ class Trie:
     def build(cls, context: np.ndarray, word: np.ndarray, count: np.ndarray) -> Trie:
         """From distinct n-grams in ascending order: numbers of the context's words (one row a word), successor, count."""
         columns = [*np.atleast_2d(context), word]
-        vocabulary = np.unique(np.concatenate(columns))
+        vocabulary = _different(np.concatenate(columns).astype(np.uint64))
         size, last = max(1, len(vocabulary)), int(vocabulary[-1]) + 1 if len(vocabulary) else 1
         at, above, levels = np.zeros(len(word), np.int64), 1, []
         for column in columns:
-            key = at * size + np.searchsorted(vocabulary, column)
+            key = at * size + (_located(vocabulary, column.astype(np.uint64)) if len(column) else 0)
             new = np.r_[True, key[1:] != key[:-1]][: len(key)]
             start = np.flatnonzero(new)
             levels.append(EliasFano.of(key[start], above * size))
@@ -200,8 +280,11 @@ class Trie:
 
 
 def _found(level: EliasFano, x: np.ndarray) -> np.ndarray:
-    own, back = np.unique(x, return_inverse=True)
-    return level.find(own)[back]
+    """The place of each number, -1 where it isn't there; for many numbers the level is read once, in order."""
+    if not level.n or 8 * len(x) < level.n:
+        own, back = np.unique(x, return_inverse=True)
+        return level.find(own)[back]
+    return _located(level.all(), x.astype(np.uint64))
 
 
 def _planes(x: np.ndarray, width: int) -> bytes:
@@ -271,10 +354,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
 def _dealt(hashes: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, places) of a block's words, by ascending shard."""
-    shard = (mix(hashes, 1) % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    own, start = np.unique(shard[order], return_index=True)
-    return zip(own.tolist(), np.split(order, start[1:]) if len(own) else [], strict=True)
+    return _parted((mix(hashes, 1) % np.uint64(shards)).astype(np.int64), shards)
 
 
 _ASKED = "shard int, block long, kind string, data binary"
@@ -398,23 +478,25 @@ class _Level:
     def __init__(self, context: np.ndarray, token: np.ndarray, valid: np.ndarray, own: np.ndarray, columns: list, words: np.ndarray, shards: int, hot: np.ndarray):
         where = np.flatnonzero(valid)
         self.columns, self.words, self.own = columns, words, own
-        # places are kept in 32 bits, a pair of them needs 64
-        self.grams, inverse = np.unique(context[where].astype(np.int64) * len(words) + token[where], return_inverse=True)
+        at, inverse = _distinct(context[where], token[where])
         self.place = np.full(len(token), -1, np.int32)
         self.place[where] = inverse
-        self.at = np.zeros(len(self.grams), np.int32)  # a place of each n-gram
-        self.at[inverse] = where
-        self.first, self.second = (x.astype(np.int32) for x in np.divmod(self.grams, len(words)))
+        self.at = where[at].astype(np.int32)  # a place of each n-gram
+        self.first, self.second = context[self.at].astype(np.int32), token[self.at].astype(np.int32)
         self.hashes = _gram_hashes(own[self.first], words[self.second])
-        one = np.where(np.isin(own, hot)[self.first], mix(self.hashes, 2), own[self.first])
-        self.shard = (mix(one, 1) % np.uint64(shards)).astype(np.int64)
-        self.order = np.argsort(self.shard, kind="stable")
+        self.hot = _among(own, hot)
+        one = np.where(self.hot[self.first], mix(self.hashes, 2), own[self.first])
+        self.shards, self.shard = shards, (mix(one, 1) % np.uint64(shards)).astype(np.int64)
+
+    def __len__(self) -> int:
+        return len(self.at)
 
-    def of_shards(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(shard, contexts, n-grams) asked of each shard that has any."""
-        own, start = np.unique(self.shard[self.order], return_index=True)
-        for s, at in zip(own.tolist(), np.split(self.order, start[1:]) if len(own) else [], strict=True):
-            yield s, np.unique(self.first[at]), at
+    def of_shards(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(shard, contexts, how many n-grams each has, n-grams) asked of each shard that has any."""
+        for s, at in _parted(self.shard, self.shards):
+            first = self.first[at]  # ascending, as the n-grams are
+            start = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
+            yield s, first[start], np.diff(start, append=len(first)), at
 
     def longer(self) -> tuple[np.ndarray, np.ndarray, list]:
         """Context of each token, hashes and columns for the n-grams one longer."""
@@ -465,10 +547,9 @@ class _Block:
 
     def questions(self, block: int, shards: list[int], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
         for n, level in self.levels(shards, hot):
-            seen = np.bincount(level.place[self.train & (level.place >= 0)], minlength=len(level.grams))
+            seen = np.bincount(level.place[self.train & (level.place >= 0)], minlength=len(level))
             shard, data = [], []
-            for s, contexts, at in level.of_shards():  # a context once, with the number of its n-grams
-                many = np.bincount(np.searchsorted(contexts, level.first[at]), minlength=len(contexts))
+            for s, contexts, many, at in level.of_shards():  # a context once, with the number of its n-grams
                 columns = [c[contexts] for c in level.columns]
                 columns[0] = np.diff(columns[0], prepend=np.uint64(0))  # they ascend
                 head = np.array([len(contexts), len(at)], np.int64).tobytes()
@@ -489,17 +570,6 @@ def _question(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return contexts, each, _numbers(data[at : at + grams * 6], 6), _numbers(data[at + grams * 6 :], 4)
 
 
-def _ascending(columns: np.ndarray) -> np.ndarray:
-    """The order of n-grams by their numbers, as one number each where 64 bits hold it."""
-    bits = int(columns.max(initial=0)).bit_length()
-    if bits * len(columns) > 64:
-        return np.lexsort(columns[::-1])
-    key = columns[0]
-    for column in columns[1:]:
-        key = (key << np.uint64(bits)) | column
-    return np.argsort(key, kind="stable")
-
-
 def _gram_answers(hot: np.ndarray):
     """Sums a shard's counts over all blocks, builds its trie and answers every block from it.
 
@@ -509,28 +579,29 @@ def _gram_answers(hot: np.ndarray):
     def answer(shard, kind, blocks, data):
         asked = [_question(d, int(kind[4:])) for d in data]
         data.clear()
-        grams = np.concatenate([np.vstack([np.repeat(c, each, 1), word]) for c, each, word, _ in asked], 1)
-        seen = np.concatenate([a[3] for a in asked])
-        learned = np.flatnonzero(seen)
-        order = learned[_ascending(grams[:, learned])]
-        grams, seen = grams[:, order], seen[order]
-        new = np.flatnonzero(np.r_[True, (grams[:, 1:] != grams[:, :-1]).any(0)][: len(order)])
-        count = np.add.reduceat(seen, new) if len(new) else np.zeros(0, np.uint64)
-        grams = grams[:, new]
-        levels = Trie.build(grams[:-1], grams[-1], count.astype(np.int64)).to_bytes()
+        contexts, each, word, seen = (np.concatenate([a[k] for a in asked], -1) for k in range(4))
+        ends = [np.cumsum([len(a[k]) for a in asked])[:-1] for k in (1, 2)]
+        asked.clear()
+        # many blocks ask for the same: each context and n-gram is looked for once
+        at, context = _distinct(*contexts)
+        contexts, under = contexts[:, at], np.repeat(context, each)
+        at, gram = _distinct(under, word)
+        word, under = word[at], under[at]
+        count = np.bincount(gram, seen, len(at)).astype(np.int64)
+        new = np.flatnonzero(count)
+        levels = Trie.build(contexts[:, under[new]], word[new], count[new]).to_bytes()
         memory = mmap.mmap(-1, len(levels))
         memory.write(levels)
         trie = Trie.mapped(memory)
-        own = mix(grams[0], 9)
-        for column in grams[1:-1]:
+        own = mix(contexts[0], 9)
+        for column in contexts[1:]:
             own = _gram_hashes(own, column)
-        names, many = np.unique(own[np.isin(own, hot)], return_counts=True)
+        many = np.bincount(under[new], minlength=len(own))
+        names = np.flatnonzero(_among(own, hot) & (many > 0))
         if len(names):
-            yield _asked([shard], [-1], ["hot"], [names.tobytes() + many.astype(np.int64).tobytes()])
-        contexts, each, word = (np.concatenate([a[k] for a in asked], -1) for k in range(3))
-        widths, codes = trie.answer(contexts, each, word)
-        widths = np.split(widths, np.cumsum([len(a[1]) for a in asked])[:-1])
-        codes = np.split(codes, np.cumsum([len(a[2]) for a in asked])[:-1])
+            yield _asked([shard], [-1], ["hot"], [own[names].tobytes() + many[names].astype(np.int64).tobytes()])
+        widths, codes = trie.answer(contexts, np.bincount(under, minlength=len(own)), word)
+        widths, codes = np.split(widths[context], ends[0]), np.split(codes[gram], ends[1])
         for block, w, c in zip(blocks, widths, codes, strict=True):
             yield _asked([shard], [block], [kind], [_squeezed(_planes(w, 4), _planes(c, 2))])
 
@@ -636,12 +707,12 @@ def _scored(row: dict, found: dict, shards: list[int], hot: np.ndarray, many: np
     shorter, p = count, p1[block.token]  # counts of the n-grams one shorter, probability of each token
     by_hash = np.argsort(hot)
     for n, level in block.levels(shards, hot):
-        gram, branching = np.zeros(len(level.grams)), np.zeros(len(level.own))
-        for data, (_, contexts, at) in zip(found[f"gram{n}"], level.of_shards(), strict=True):
+        gram, branching = np.zeros(len(level)), np.zeros(len(level.own))
+        for data, (_, contexts, _, at) in zip(found[f"gram{n}"], level.of_shards(), strict=True):
             data = _opened(data)
             branching[contexts] = _numbers(data[: len(contexts) * 4], 4)
             gram[at] = CODES[_numbers(data[len(contexts) * 4 :], 2).astype(np.int64)]
-        spread = np.flatnonzero(np.isin(level.own, hot))
+        spread = np.flatnonzero(level.hot)
         branching[spread] = many[by_hash][np.searchsorted(hot[by_hash], level.own[spread])]
         context = shorter[level.first]
         rest = np.where(context > 0, discount * branching[level.first], 1.0)

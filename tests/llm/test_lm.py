@@ -152,3 +152,46 @@ def test_n_grams_of_a_block_of_many_words_stay_apart(spark):
     found = lm.score(spark.createDataFrame(rows, "doc_id long, text string, held boolean"), order=3).collect()
     assert {r["doc_id"]: r["score"] for r in found} == pytest.approx(expected_of_order(rows, 3), rel=1e-3)
     assert all(math.isfinite(r["score"]) for r in found)
+
+
+@pytest.mark.parametrize(("columns", "top"), [(1, 7), (1, 2**63), (2, 9), (2, 2**40), (3, 2**20), (3, 2**48)])
+@pytest.mark.parametrize("n", [0, 1, 2000])
+def test_different_rows_and_their_ranks(columns, top, n):
+    rng = np.random.default_rng(n + columns)
+    rows = [np.concatenate([x, x[: n // 2]]) for x in rng.integers(0, top, (columns, n), dtype=np.uint64)]
+    place, rank = lm._distinct(*rows)
+    own = sorted(set(zip(*(r.tolist() for r in rows), strict=True)))
+    assert list(zip(*(r[place].tolist() for r in rows), strict=True)) == own
+    assert [own[k] for k in rank] == list(zip(*(r.tolist() for r in rows), strict=True))
+
+
+@pytest.mark.parametrize("top", [3000, 2**45])  # by a table, by a search
+def test_a_level_read_in_order_finds_the_same(top):
+    rng = np.random.default_rng(4)
+    values = np.unique(rng.integers(0, top, 2000, dtype=np.uint64))
+    level, asked = lm.EliasFano.of(values, top), np.concatenate([values[::-1], rng.integers(0, 2 * top, 3000, dtype=np.uint64)])
+    assert (level.all() == values).all()
+    at = lm._found(level, asked)
+    assert (at == level.find(asked)).all()
+    assert (values[at[at >= 0]] == asked[at >= 0]).all() and (at[: len(values)] >= 0).all()
+
+
+def test_what_many_blocks_ask_is_looked_for_once(monkeypatch):
+    tokens = [0, 1, 2, 1, 2, 1, 3, 0]
+    row = {
+        "doc_id": [1], "held": [False], "size": [len(tokens)], "tokens": lm._squeezed(lm._planes(np.array([0, *tokens]), 4)),
+        "words": lm._squeezed(lm._planes(np.array([5, 9, 2**31, 2**40], np.uint64), 6)),
+    }
+    none = np.zeros(0, np.uint64)
+    data = lm._Block(row).questions(3, [1, 1], none)
+    asked = [b.column("data")[0].as_py() for b in data]
+    looked, answer = [], lm.Trie.answer
+    monkeypatch.setattr(lm.Trie, "answer", lambda self, context, each, word: (looked.append(len(word)), answer(self, context, each, word))[1])
+    for n, question in enumerate(asked, 2):
+        own = {tuple(tokens[i : i + n]) for i in range(len(tokens) - n + 1)} | ({(0, 0)} if n == 2 else {(0, 0, 1)})
+        once = [b.column("data")[0].as_py() for b in lm._gram_answers(none)(0, f"gram{n}", [1], [question])]
+        twice = [b.column("data")[0].as_py() for b in lm._gram_answers(none)(0, f"gram{n}", [1, 2], [question] * 2)]
+        contexts, _, word, seen = lm._question(question, n)
+        codes = lambda d: lm._numbers(lm._opened(d)[contexts.shape[1] * 4 :], 2)  # noqa: B023, E731
+        assert len(word) <= len(own) and looked[-2:] == [len(word)] * 2
+        assert twice[0] == twice[1] and (codes(once[0]) == seen).all() and (codes(twice[0]) == 2 * seen).all()
