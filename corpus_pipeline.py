@@ -30,7 +30,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     first = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.xxhash64(*COLUMNS), "_row")
     ranked = rows.select("_row", first.alias("first")).join(found, "_row")
     kept = ranked.groupBy("component_id").agg(F.min("first")["_row"].alias("_row")).select("_row")
-    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
+    # a number a row beside its text: texts stream past the numbers and are never sorted
+    return rows.join(kept.hint("shuffle_hash"), "_row", "left_semi").select(*COLUMNS)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

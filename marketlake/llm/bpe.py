@@ -17,7 +17,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, batch, batch_rows, drop_stored, new_path, stored
+from .common import arrow_map, batch, batch_rows, drop_stored, new_path, released, stored
 
 #: Words that the lexicon holds at most, words a task remembers before it starts afresh, texts of a batch.
 LEXICON, REMEMBERED, ROWS = 65_536, 400_000, 256
@@ -226,7 +226,7 @@ def frequent_words(docs: DataFrame, size: int = LEXICON) -> list[bytes]:
         tally = pa.concat_arrays(held).value_counts()
         return batch(word=tally.field("values").cast(pa.string()), n=tally.field("counts"))
 
-    tally = docs.select("text").mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    tally = docs.select("text").mapInArrow(released(counted), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     tally = stored(tally, "words")
     # the least count that leaves at most `size` words, from how many words have each count
     left, least = size, None
@@ -323,7 +323,7 @@ def encode(
             yield finish(model, out) if finish else out
 
     batch_rows(spark, ROWS)
-    return docs.mapInArrow(run, schema or ", ".join([*(f"`{c}` {t}" for c, t in kinds), "ids array<int>"]))
+    return docs.mapInArrow(released(run), schema or ", ".join([*(f"`{c}` {t}" for c, t in kinds), "ids array<int>"]))
 
 
 def _around(special: re.Pattern, text: str) -> list[str]:

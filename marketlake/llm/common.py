@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -73,6 +74,23 @@ def batch_rows(spark: SparkSession, rows: int) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def released(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """`function` of a task's batches; the memory it freed goes back to the system when the task ends.
+
+    Spark keeps a task's Python worker for other tasks, and the allocators keep what was
+    freed in it: without this, workers that have nothing to do hold the most that any task took.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+        if trim:
+            trim(0)
+
+    return run
+
+
 def arrow_map(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:
@@ -85,7 +103,7 @@ def arrow_map(
                 if out is not None and out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def batch(**columns) -> pa.RecordBatch:
@@ -190,7 +208,7 @@ def counted_buckets(keys: DataFrame, function: Callable[[pa.RecordBatch], np.nda
         if total:
             yield batch(slice=pa.array(list(total), pa.int32()), data=pa.array([x.tobytes() for x in total.values()], pa.binary()))
 
-    parts = keys.mapInArrow(own, "slice int, data binary").repartition("slice").mapInArrow(added, "slice int, data binary")
+    parts = keys.mapInArrow(released(own), "slice int, data binary").repartition("slice").mapInArrow(released(added), "slice int, data binary")
     out = np.zeros((slices, size // slices), np.int64)
     for r in parts.collect():
         out[r["slice"]] = np.frombuffer(r["data"], np.int64)

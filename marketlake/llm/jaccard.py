@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
-    arrow_map, batch, batch_rows, connected_components, counted_buckets, mix, stored, word_hashes, words,
+    arrow_map, batch, batch_rows, connected_components, counted_buckets, mix, released, stored, word_hashes, words,
 )
 
 #: Words of a shingle; similarity in hundredths.
@@ -322,7 +322,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: in
     moved = moved.select("c", "i", "j", "one", F.lit(None).cast("long").alias("two"), "data")
     moved = moved.union(placed.select("c", "i", "j", "a", "b", F.lit(None).cast("binary")))
     moved = moved.repartition("c", "i", "j").sortWithinPartitions("c", "i", "j", F.asc_nulls_first("two"))
-    return stored(moved.mapInArrow(probed, "a long, b long"), "links")
+    return stored(moved.mapInArrow(released(probed), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS) -> DataFrame:
@@ -357,8 +357,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS)
         def postings(batches, renamed=renamed):
             yield from _postings(shared.value, ranges, percent, size, renamed)(batches)
 
-        packed = real.mapInArrow(postings, _SCHEMA).repartition("kind", "key", "salt").sortWithinPartitions("kind", "key", "salt")
-        made = stored(packed.mapInArrow(_merged(percent), _SCHEMA), "merged")
+        packed = real.mapInArrow(released(postings), _SCHEMA).repartition("kind", "key", "salt").sortWithinPartitions("kind", "key", "salt")
+        made = stored(packed.mapInArrow(released(_merged(percent)), _SCHEMA), "merged")
         rows = made.where("kind = 'doc'").select("doc_id", "n", "one", "two", *_MAPS)
         classes = rows.where("n > 0").groupBy("one").agg(
             F.min("doc_id").alias("rep"), F.min("two").alias("least"), F.max("two").alias("most"), F.max("n").alias("n"),

@@ -149,12 +149,16 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int
 
     No block is taken more often than its source's target asks (rounded up), so no
     document exceeds MAX_REPEATS times its size.  Draws depend on the seed and on the
-    documents only.  Repeated rows count as documents of their own; documents without
-    words take none.  An empty table gives no rows.  `key` names the columns that order
-    documents (all of them by default).
+    documents only, not on how these are stored.  Repeated rows count as documents of their
+    own; documents without words take none.  An empty table gives no rows.  `key` names the
+    columns that order documents first (all of them by default).
     """
-    spark = docs.sparkSession
-    order = [c for c in docs.columns if c in (key or docs.columns)]
+    spark, columns = docs.sparkSession, docs.columns
+    order = [c for c in columns if c in (key or columns)]
+    order += [c for c in columns if c not in order] + ["_copy"]
+    # equal rows are told apart by a number among them
+    docs = docs.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    docs = docs.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).drop("_copies")
     docs = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "docs")
     plan = _plan(docs, weights)
     known = spark.createDataFrame(
@@ -162,7 +166,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int
         "sid int, _source string, source_size long, target double, _block int",
     )
     docs = docs.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")  # MAX_SOURCES rows at most
-    placed = numbered(docs.select("_row", "sid", "size", "_block", *[c for c in order if c not in ("size",)]), "sid", [*order, "_row"], docs.count(), "size")
+    placed = numbered(docs.select("_row", "sid", "size", "_block", *[c for c in order if c not in ("size",)]), "sid", order, docs.count(), "size")
     first, last = F.floor(F.col("before") / F.col("_block")), F.floor((F.col("before") + F.col("size") - 1) / F.col("_block"))
     pieces = placed.where("size > 0").select("_row", "sid", "size", "before", "_block", F.explode(F.sequence(first, last)).alias("index"))
     start = F.greatest(F.col("index") * F.col("_block") - F.col("before"), F.lit(0))
@@ -175,7 +179,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int
         F.array_sort(F.collect_list(F.struct("start", "end", "times"))).alias("runs"),
     )
     out = docs.join(taken, "_row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
-    return out.drop("_row", "_block", "sid")
+    return out.drop("_row", "_copy", "_block", "sid")
 
 
 _FIND = re.compile(WORD).finditer
@@ -216,7 +220,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed:
     keys = {f"_key{k}": F.xxhash64(F.lit(k), nulls, *docs.columns) for k in range(2)}
     keyed = docs.withColumns(keys)
     sized = keyed.select(*keys, "doc_id", "source", word_count("text").alias("size"))
-    taken = mix_sources(sized, weights, seed, ["doc_id", *keys]).where("taken > 0").select(*keys, "runs")
+    taken = stored(mix_sources(sized, weights, seed, ["doc_id", *keys]).select(*keys, "runs"), "runs")
     kinds, columns = dict(docs.dtypes), docs.columns
 
     def texts(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -229,6 +233,10 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed:
         )
 
     batch_rows(spark, 256)
-    # one of equal rows has the text for the runs of all of them
-    chosen = keyed.dropDuplicates(list(keys)).join(taken, list(keys)).select(*docs.columns, "runs")
+    # one of equal rows has the text for the runs of all of them; where there are none, no text is grouped
+    again = stored(taken.groupBy(*keys).count().where("count > 1").select(*keys), "again")
+    if not again.isEmpty():
+        keyed = keyed.join(again, list(keys), "left_anti").union(keyed.join(again, list(keys), "left_semi").dropDuplicates(list(keys)))
+    # runs are small beside their text: texts stream past them and are never sorted
+    chosen = keyed.join(taken.where("runs is not null").hint("shuffle_hash"), list(keys)).select(*docs.columns, "runs")
     return arrow_map(chosen, texts, ", ".join(f"`{c}` {t}" for c, t in kinds.items()))

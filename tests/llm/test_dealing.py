@@ -6,7 +6,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from marketlake.llm import mixing, sharding
+from marketlake.llm.common import batch, released
 from marketlake.llm.queries import op1_kd_sharding, op8_source_mixing
 
 DIMS = {"source": "string", "n_chars": "number", "doc_id": "number"}
@@ -136,3 +138,43 @@ def test_sharding_of_odd_numbers(spark):
     rows = spark.createDataFrame([(odd[i % 8], i) for i in range(400)], "n_chars double, doc_id long").withColumn("w", F.lit(1))
     out = sharding.kd_shards(rows, {"n_chars": "number", "doc_id": "number"}, "w", None, ["doc_id"], leaves=8)
     assert sorted(r["n"] for r in shards(out)) == [50] * 8
+
+
+def test_a_mix_does_not_depend_on_how_rows_are_stored(spark, tmp_path):
+    rows = [(i // 2, " ".join(f"w{i * k % 89}" for k in range(40 + i % 7)), "en", "ab"[i % 2], i) for i in range(300)]
+    rows += [(1000, "one two three four five six seven eight", "en", "a", 1)] * 5 + [(None, None, "en", "b", None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).repartition(1).write.parquet(f"{tmp_path}/one")
+    spark.createDataFrame(rows[::-1], schema).repartition(7).write.parquet(f"{tmp_path}/many")
+    one, many = (mixing.mixed_documents(spark.read.parquet(f"{tmp_path}/{d}")) for d in ("one", "many"))
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
+
+
+def test_texts_are_not_sorted(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").dropDuplicates(["doc_id"])
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir)
+    for df in (mixing.mixed_documents(docs), kept):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        sorts = [line for line in plan.splitlines() if "Sort" in line]
+        assert "ShuffledHashJoin" in plan and not any("text#" in line for line in sorts)
+        assert not any("SortMergeJoin" in line for line in plan.split("ShuffledHashJoin")[0].splitlines())
+
+
+def test_a_worker_gives_back_what_a_task_took(spark):
+    def held(batches):
+        for b in batches:
+            kept = [np.ones(1 << 12) for _ in range(1 << 12)]  # 128 MB in pieces below the size that is mapped alone
+            yield b.slice(0, len(kept[:1]))
+
+    def rss(batches):
+        for _ in batches:
+            with open("/proc/self/statm") as f:
+                yield batch(pages=[int(f.read().split()[1])])
+
+    one = spark.range(1).coalesce(1)
+    before = one.mapInArrow(rss, "pages long").first()[0]
+    for _ in range(3):
+        one.mapInArrow(released(held), "id long").collect()
+    assert one.mapInArrow(rss, "pages long").first()[0] - before < (64 << 20) // 4096
