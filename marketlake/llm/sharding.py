@@ -107,7 +107,7 @@ def kd_shards(df: DataFrame, dims: dict[str, str], weight: str, target: int | No
     `dims` names the metadata columns and their kinds ("number" or "string"); `weight` is a
     column of whole numbers above 0 and `target` the weight a leaf should reach.  The tree
     has ceil(total / target) leaves, or `leaves` if that is given: a cell that stands for k of them is split where
-    floor(k / 2) of k of its weight lies, along the dimension whose extent is the widest
+    floor(k / 2) of k of its weight lies (a side with fewer rows than leaves leaves the rest to the other), along the dimension whose extent is the widest
     share of the whole table's.  Values that many rows share are split by a hash of the
     `tie` columns, so a hot value never makes a heavy leaf; only a row heavier than a leaf
     does.  Null and NaN coordinates come first, infinite ones at the ends.  Rows that are equal
@@ -141,10 +141,9 @@ def kd_shards(df: DataFrame, dims: dict[str, str], weight: str, target: int | No
         if not goals:
             break
         cuts = _cuts(rows, len(dims), goals)
-        plan, after = [], {}
+        plan, sides = [], []
         for c, (dim, value, tied) in cuts.items():
-            first, k = stands[c]
-            after[number], after[number + 1] = (first, k // 2), (first + k // 2, k - k // 2)
+            sides.append((number, *stands[c]))
             plan.append((c, dim, value, tied, number))
             number += 2
         table = _table(rows.sparkSession, plan, "cell long, dim int, value double, edge double, to long")
@@ -154,7 +153,13 @@ def kd_shards(df: DataFrame, dims: dict[str, str], weight: str, target: int | No
         old = rows
         rows = stored(rows.join(table, "cell", "left").withColumn("cell", cell).drop("dim", "value", "edge", "to"), "cells")
         drop_stored(old)
-        cells, stands = _cells(rows, len(dims)), after
+        cells, stands = _cells(rows, len(dims)), {}
+        for c, first, k in sides:
+            here, there = (cells[side]["n"] if side in cells else 0 for side in (c, c + 1))
+            left = k // 2
+            if here and there and here + there >= k:  # a few heavy rows can't fill the leaves their weight asks for
+                left = max(min(left, here), k - there)
+            stands[c], stands[c + 1] = (first, left), (first + left, k - left)
     leaf = _table(rows.sparkSession, [(c, first) for c, first in done.items()] or [(0, 0)], "cell long, shard int")
     placed = rows.join(leaf, "cell").select("_row", "shard")
     placed = numbered(placed, "shard", ["_row"], count).drop("before")
