@@ -149,16 +149,17 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int
 
     No block is taken more often than its source's target asks (rounded up), so no
     document exceeds MAX_REPEATS times its size.  Draws depend on the seed and on the
-    documents only, not on how these are stored.  Repeated rows count as documents of their
-    own; documents without words take none.  An empty table gives no rows.  `key` names the
-    columns that order documents first (all of them by default).
+    documents only.  Repeated rows count as documents of their own; documents without
+    words take none.  An empty table gives no rows.  `key` names the columns that order
+    documents first: with it, the mix does not depend on how these are stored.  Without it
+    all columns order them, and then their places in the stored table.
     """
     spark, columns = docs.sparkSession, docs.columns
     order = [c for c in columns if c in (key or columns)]
-    order += [c for c in columns if c not in order] + ["_copy"]
-    # equal rows are told apart by a number among them
-    docs = docs.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    docs = docs.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).drop("_copies")
+    order += [c for c in columns if c not in order] + ["_copy" if key else "_row"]
+    if key:  # equal rows are told apart by a number among them
+        docs = docs.groupBy(*columns).agg(F.count("*").alias("_copies"))
+        docs = docs.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).drop("_copies")
     docs = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "docs")
     plan = _plan(docs, weights)
     known = spark.createDataFrame(
@@ -166,7 +167,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int
         "sid int, _source string, source_size long, target double, _block int",
     )
     docs = docs.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")  # MAX_SOURCES rows at most
-    placed = numbered(docs.select("_row", "sid", "size", "_block", *[c for c in order if c not in ("size",)]), "sid", order, docs.count(), "size")
+    placed = numbered(docs.select("_row", "sid", "size", "_block", *[c for c in order if c not in ("size", "_row")]), "sid", order, docs.count(), "size")
     first, last = F.floor(F.col("before") / F.col("_block")), F.floor((F.col("before") + F.col("size") - 1) / F.col("_block"))
     pieces = placed.where("size > 0").select("_row", "sid", "size", "before", "_block", F.explode(F.sequence(first, last)).alias("index"))
     start = F.greatest(F.col("index") * F.col("_block") - F.col("before"), F.lit(0))
