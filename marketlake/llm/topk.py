@@ -146,6 +146,26 @@ def long_enough(asked: DataFrame, blocks: DataFrame, n_blocks: int) -> DataFrame
     return every.join(blocks, "cb").where("top >= needs").select("qb", "cb")
 
 
+def longest(blocks: DataFrame, width: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, vectors) at the front of the stored blocks of the longest candidates: `rows` at most, from 8 blocks at most.
+
+    Blocks are chosen by numbers, so no other block's vectors move, and only the rows wanted reach the driver.
+    """
+    order = [F.col("top").desc(), "part", "seq"]
+    sizes = blocks.select("part", "seq", "top", (F.octet_length("ids") / 8).cast("int").alias("n")).orderBy(*order).limit(8).collect()
+    ids, vectors = [np.zeros(0, np.int64)], [np.zeros((0, width), np.int64)]
+    for part, seq, _, n in sizes:
+        if rows <= 0:
+            break
+        take = min(n, rows)
+        some = blocks.where((F.col("part") == part) & (F.col("seq") == seq))
+        found = some.select(F.substring("ids", 1, take * 8), F.substring("data", 1, take * width * 8)).first()
+        ids.append(np.frombuffer(found[0], np.int64))
+        vectors.append(np.frombuffer(found[1], np.int64).reshape(take, width))
+        rows -= take
+    return np.concatenate(ids), np.concatenate(vectors)
+
+
 def _rotation(vectors: DataFrame, width: int) -> np.ndarray:
     """The right singular vectors of all candidates, from a Gram matrix summed on Spark."""
 
@@ -171,8 +191,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     no part; a repeated query id counts once; equal scores go to the smaller id.  Shorter
     vectors count as padded with zeros.  Empty sides give no rows.
 
-    Candidates are stored in blocks by descending length.  The longest few give each query
-    a first threshold.  A candidate block whose longest vector reaches no threshold of a
+    Candidates are stored in blocks by descending length.  The longest few, the only vectors
+    that reach the driver, give each query a first threshold.  A candidate block whose longest vector reaches no threshold of a
     query block (Cauchy-Schwarz) never meets it; each other pair is one row of bounded size,
     searched on its own, and the local results meet in a ranked window.
     """
@@ -187,14 +207,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     n_queries = queries.count()
     asked = stored(_packed(queries.repartition(max(1, -(-n_queries // QUERIES))), width, QUERIES), "queries")
 
-    # the longest candidates: HEAD rows at most, whatever the size of the table
-    head = [np.zeros(0, np.int64), np.zeros((0, width), np.int64)]
-    for row in blocks.orderBy(F.col("top").desc(), "part", "seq").limit(8).toLocalIterator():
-        ids = np.frombuffer(row["ids"], np.int64)
-        head = [np.r_[head[0], ids], np.r_[head[1], np.frombuffer(row["data"], np.int64).reshape(len(ids), width)]]
-        if len(head[0]) >= HEAD:
-            break
-    shared = spark.sparkContext.broadcast((head[0][:HEAD], head[1][:HEAD], rotation))
+    head = longest(blocks, width, HEAD)
+    shared = spark.sparkContext.broadcast((*head, rotation))
 
     def thresholds(b: pa.RecordBatch) -> pa.RecordBatch:
         hid, h, turned = shared.value
@@ -218,10 +232,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     if not n_asked or not n_blocks:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     pairs = stored(long_enough(asked.select("qb", "needs"), blocks.select("cb", "top"), n_blocks), "pairs")
-    met = lambda own, other: pairs.groupBy(own).agg(F.collect_list(other).alias("met"))
+    # Packed blocks are many times their stored size, by which Spark would broadcast them: the lists of numbers are
+    # what is hashed, and the blocks of a pair meet in a merge join.
+    met = lambda own, other: pairs.groupBy(own).agg(F.collect_list(other).alias("met")).hint("shuffle_hash")
     left = asked.join(met("qb", "cb"), "qb").select("qb", F.explode("met").alias("cb"), F.col("ids").alias("qids"), F.col("data").alias("q"), "least")
     right = blocks.join(met("cb", "qb"), "cb").select(F.explode("met").alias("qb"), "cb", F.col("ids").alias("cids"), F.col("data").alias("c"))
-    tasks = left.join(right, ["qb", "cb"]).select("qids", "q", "least", "cids", "c")
+    tasks = left.hint("merge").join(right, ["qb", "cb"]).select("qids", "q", "least", "cids", "c")
 
     def local(b: pa.RecordBatch) -> pa.RecordBatch:
         turned, found = shared.value[2], []

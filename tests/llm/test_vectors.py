@@ -159,3 +159,31 @@ def test_blocks_too_short_for_every_query_are_not_met(spark, monkeypatch):
         order = [i for i in np.lexsort((np.arange(2000), -score)) if i != q][:5]
         assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q) == [(k + 1, i, score[i]) for k, i in enumerate(order)]
     assert seen[0][0] * 2 < seen[0][1]
+
+
+def test_packed_blocks_are_never_broadcast(spark, rows, monkeypatch):
+    """Their stored size says little about the size of their vectors, so no plan may go by it."""
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    plans, mapped = [], topk.arrow_map
+
+    def planned(df, function, schema):
+        if "cids" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return mapped(df, function, schema)
+
+    monkeypatch.setattr(topk, "arrow_map", planned)
+    data = [(i, [float(i % 7), 1.0], 0) for i in range(400)]  # repeated vectors take next to no room when stored
+    vectors = topk.scaled(frame(spark, data), "vec_id", "embedding")
+    assert rows(topk.top_k(vectors, vectors.where("id % 20 = 0"), 20)) == sorted(best(data, 20), key=repr)
+    assert len(plans) == 1 and "Broadcast" not in plans[0] and "SortMergeJoin" in plans[0]
+
+
+def test_the_driver_gets_the_longest_rows_only(spark, monkeypatch):
+    data = [(i, [float(i), 0.0, 1.0], 0) for i in range(1000)]
+    vectors = topk.scaled(frame(spark, data), "vec_id", "embedding").orderBy(F.col("norm").desc()).coalesce(1)
+    blocks = topk.stored(topk._packed(vectors, 3, 100), "blocks")
+    ids, found = topk.longest(blocks, 3, 250)
+    assert ids.tolist() == list(range(999, 749, -1)) and found.shape == (250, 3)
+    assert (found[:, 0] == 64 * ids).all()
+    assert len(topk.longest(blocks, 3, 5000)[0]) == 800  # 8 blocks at most
+    assert len(topk.longest(blocks.where("false"), 3, 10)[0]) == 0
