@@ -52,6 +52,43 @@ def test_an_unusable_copy_moves_without_its_columns(spark):
     assert "condition_id" in below and "_usable" in below
 
 
+def test_a_market_moves_as_one_struct(spark, rows):
+    """Taken apart before the sort, its fields are a generated method too long to be compiled."""
+    names = [f.name for f in feed.landed_fields(MARKETS, ("event_id", "event_slug"))]
+    reward = feed.T.StructField("clobRewards", feed.T.ArrayType(feed.T.StructType([feed.field("id")])))
+    fields = [*[feed.field(n) for n in names], reward, feed.field("unknownField")]
+    schema = feed.T.StructType([*feed.EVENT_KEYS, feed.T.StructField("markets", feed.array_of(fields)), feed.T.StructField("ord", feed.T.LongType())])
+
+    def market(m, **own):
+        return {f.name: None for f in fields} | {"id": m, "slug": m, "conditionId": "c", "outcomes": '["x","y"]', "unknownField": "u", "clobRewards": [{"id": "r"}]} | own
+
+    landed = [
+        ("e1", "s1", [market("a", question="old"), None, market("b", image="i" * 501)], 1),
+        ("e2", "s2", [market("a", question="new", volume24Hr="1.5")], 2), ("e3", "s3", None, 3), ("e4", "s4", [], 4),
+        ("e5", "s5", [market("c", outcomes="no list"), market("d", outcomes=None), market("f", outcomes=None, startDate="2001-01-01"), market("g", outcomes='["x"]', startDate="2000")], 5),
+    ]
+    built = build_markets(spark.createDataFrame(landed, schema), ["ord"], 2000)
+    assert built.columns == MARKETS.names
+    assert rows(built, "market_id", "event_id", "question", "volume_24_hr", "image") == [
+        ("a", "e2", "new", "1.5", None), ("b", "e1", None, None, None), ("c", "e5", None, None, None), ("f", "e5", None, None, None),
+    ]
+    below = optimized(built).split("Window [")[1]
+    assert "volume" not in below and "_element" in below
+
+
+def test_json_lists_are_counted_once():
+    from marketlake.operators.outcomes import binary_or_recent
+
+    assert str(binary_or_recent(2000)).count("json_array_length") == 1
+
+
+def test_landed_text_is_made_in_its_own_projection(spark, sf_dir):
+    """Inside from_json, which has no generated code, the whole text would be put together by interpreted expressions."""
+    plan = optimized(feed.events(spark, sf_dir, [*feed.EVENT_KEYS]))
+    parsing = [line for line in plan.splitlines() if "from_json" in line]
+    assert parsing and not any("named_struct" in line or "date_format" in line for line in parsing)
+
+
 def test_an_upsert_into_an_empty_table_joins_nothing(spark, tmp_path):
     old = sinks.create_table(spark, TAGS, f"{tmp_path}/old")
     row = {c: None for c in TAGS.names} | {"tag_id": "t"}
