@@ -79,6 +79,9 @@ def _names_where(conditions: Mapping[str, str], earlier: str | None = None) -> s
     found = ", ".join(f"CASE WHEN {c} THEN '{name}' END" for name, c in conditions.items())
     names = f"array_compact(array({found}))" if conditions else NO_NAMES
     if earlier is not None:
+        if conditions:  # the same names; array_compact is interpreted, with all rules below it
+            found = ", ".join(f"CASE WHEN {c} THEN '{name}' ELSE '' END" for name, c in conditions.items())
+            names = f"array_remove(array({found}), '')"
         some.append(f"{earlier} IS NOT NULL")
         names = f"concat(coalesce(transform({earlier}, c -> concat(c, '|castable')), {NO_NAMES}), {names})"
     return f"CASE WHEN {' OR '.join(some) or 'false'} THEN {names} END"

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake.contracts import MARKETS, TAGS
+from marketlake.operators import quality
 from marketlake.plans.bronze import build_markets
 from marketlake.queries import feed, registry
 from marketlake.sinks import tables as sinks
@@ -89,6 +90,12 @@ def test_landed_text_is_made_in_its_own_projection(spark, sf_dir):
     assert parsing and not any("named_struct" in line or "date_format" in line for line in parsing)
 
 
+def test_failed_rules_are_named_by_generated_code():
+    rules = quality._names_where({"a|b": "x > 1", "c": "y"}, "earlier")
+    assert "array_compact" not in rules
+    assert quality._names_where({}, "earlier").count("array()") == 2
+
+
 def test_an_upsert_into_an_empty_table_joins_nothing(spark, tmp_path):
     old = sinks.create_table(spark, TAGS, f"{tmp_path}/old")
     row = {c: None for c in TAGS.names} | {"tag_id": "t"}
