@@ -10,6 +10,7 @@ from marketlake.operators import quality
 from marketlake.plans.bronze import build_markets
 from marketlake.queries import feed, registry
 from marketlake.sinks import tables as sinks
+from marketlake.sources import landing
 
 
 @pytest.fixture
@@ -96,6 +97,24 @@ def test_failed_rules_are_named_by_generated_code():
     assert quality._names_where({}, "earlier").count("array()") == 2
 
 
+def test_pages_sort_their_documents_without_a_made_up_comparator(spark, sf_dir):
+    plan = optimized(feed.event_pages(spark, sf_dir))
+    assert "sort_array(" in plan and "lambdafunction" not in plan
+
+
+def test_parsed_events_are_not_built_anew(spark, rows):
+    """Names of misshapen values stay beside the events; pages and events keep their places."""
+    schema = feed.T.StructType([feed.field("id"), feed.T.StructField("tags", feed.array_of([feed.field("id")]))])
+    texts = ['[{"id":1,"tags":[{"id":2}]},{"id":2,"tags":"x"},{"id":3},null]', "[]", "{}", None, '[{"id":4,"tags":[]}]', '[{"id":5,"tags":null}]']
+    pages = spark.createDataFrame([(0, 0, i, t) for i, t in enumerate(texts)], "_source_rank int, _feed_rank int, _page_no long, value string")
+    got = landing.page_rows(pages, schema)
+    assert rows(got, "_page_no", "_pos", "_malformed", "_wrong_shape", "id") == sorted([
+        (0, 0, False, None, "1"), (0, 1, False, ["tags"], "2"), (0, 2, False, None, "3"), (0, 3, False, None, None),
+        (1, None, False, None, None), (2, None, True, None, None), (3, None, True, None, None), (4, 0, False, None, "4"), (5, 0, False, None, "5"),
+    ], key=repr)
+    assert "transform(" not in optimized(got)
+
+
 def test_an_upsert_into_an_empty_table_joins_nothing(spark, tmp_path):
     old = sinks.create_table(spark, TAGS, f"{tmp_path}/old")
     row = {c: None for c in TAGS.names} | {"tag_id": "t"}
