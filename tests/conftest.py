@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from marketlake.session import ENGINE_SETTINGS  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -26,6 +28,23 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="session")
+def started_with(spark):
+    return {key: spark.conf.get(key, None) for key in ENGINE_SETTINGS}
+
+
+@pytest.fixture(autouse=True)
+def own_settings(request):
+    """Queries leave the engine's settings set, because their results are lazy; no test passes them on to the next."""
+    if "spark" not in request.fixturenames:
+        yield
+        return
+    spark, started = request.getfixturevalue("spark"), request.getfixturevalue("started_with")
+    yield
+    for key, value in started.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     path = "/root/testdata/sf0.001"
